@@ -34,17 +34,16 @@ def tokenize_zh(text: Column) -> Column:
     return F.filter(F.split(marked, r"\s+"), lambda t: t != "")
 
 
+def _ngrams_of(tokens: Column, n: int) -> Column:
+    size = F.size(tokens)
+    starts = F.when(size >= n, F.sequence(F.lit(1), size - (n - 1)))
+    gram = lambda i: F.struct(F.lit(n).alias("n"), F.array_join(F.slice(tokens, i, F.lit(n)), " ").alias("gram"))
+    return F.coalesce(F.transform(starts, gram), F.array().cast("array<struct<n:int,gram:string>>"))
+
+
 def ngrams(tokens: Column, order: int = MAX_ORDER) -> Column:
     """All n-grams of a token array up to ``order``, as ``(n, gram)``; tokens hold no spaces, so a gram joins them."""
-    size = F.size(tokens)
-    by_length = [
-        F.transform(
-            F.when(size >= n, F.sequence(F.lit(1), size - (n - 1))),
-            lambda i, n=n: F.struct(F.lit(n).alias("n"), F.array_join(F.slice(tokens, i, F.lit(n)), " ").alias("gram")),
-        )
-        for n in range(1, order + 1)
-    ]
-    return F.filter(F.flatten(F.filter(F.array(*by_length), lambda a: a.isNotNull())), lambda g: g.isNotNull())
+    return F.concat(*[_ngrams_of(tokens, n) for n in range(1, order + 1)])
 
 
 def gram_counts(df: DataFrame, key: str, hyp: str, ref: str, order: int = MAX_ORDER) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from functools import reduce
 from typing import NamedTuple
 
@@ -47,11 +48,16 @@ def unit_counts(df: DataFrame, text: str) -> DataFrame:
     return word_counts(lines, F.split("lines", "\n"))
 
 
+def _pairs_in(word: Column) -> Column:
+    """Adjacent two-character strings of a word."""
+    starts = F.when(F.char_length(word) > 1, F.sequence(F.lit(1), F.char_length(word) - 1))
+    pairs = F.transform(starts, lambda i: F.substring(word, i, F.lit(2)))
+    return F.coalesce(pairs, F.array().cast("array<string>"))
+
+
 def pair_counts(words: DataFrame, word: str = "word", weight: str = "cnt") -> DataFrame:
     """Adjacent character pairs over distinct words, weighted by how often each word occurs."""
-    starts = F.sequence(F.lit(1), F.char_length(word) - 1)
-    pairs = F.transform(starts, lambda i: F.substring(F.col(word), i, F.lit(2)))
-    exploded = words.filter(F.char_length(word) > 1).select(F.explode(pairs).alias("pair"), weight)
+    exploded = words.select(F.explode(_pairs_in(F.col(word))).alias("pair"), weight)
     return exploded.groupBy("pair").agg(F.sum(weight).cast("bigint").alias("cnt"))
 
 
@@ -69,16 +75,18 @@ def train_bpe(
     vocab_size: int = 16_384,
     min_frequency: int = 4,
     num_merges: int | None = None,
-    round_size: int = 64,
-    rewrite_after: int = 48,
+    tracked_pairs: int = 20_000,
+    rewrite_after: int = 12,
 ) -> Bpe:
     """Learn merges over distinct byte-level words ``(word, cnt)``.
 
-    The words stay distributed, one symbol per character. Each round counts pairs on the cluster (partial sums first)
-    and brings the best ``round_size`` to the driver, which accepts every pair that is certain to be the next best in
-    turn (``_certain_prefix``), so one job yields many merges and none differs from taking them singly. The rewritten
-    words are written out after ``rewrite_after`` merges; until then a round replays them as ``replace`` calls. Words
-    that have become one symbol are dropped.
+    The words stay distributed, one symbol per character. One full count gives the driver the ``tracked_pairs`` most
+    frequent pairs; it then chooses every pair that is certain to be next in turn (``_certain_prefix``), and a job over
+    the words holding those pairs returns how their merging changes the counts, at most a few rows per token. Pairs
+    below the tracked ones can only become rarer, so the table stays exact until it is used up and counted anew.
+    The words are rewritten after ``rewrite_after`` merges; until then a job replays the merges as ``replace`` calls.
+    Training ends at ``vocab_size`` tokens, after ``num_merges`` merges if given, or when no pair occurs
+    ``min_frequency`` times.
     """
     spark = words.sparkSession
     words = cut_lineage(words)
@@ -87,48 +95,102 @@ def train_bpe(
     tokens = [*SPECIAL_TOKENS, *alphabet]
     ids = {token: i for i, token in enumerate(tokens)}
     merges: list[tuple[int, str, str]] = []
+    most = float("inf") if num_merges is None else num_merges
 
     spelled = F.translate("word", "".join(alphabet), "".join(_symbol(ids[c]) for c in alphabet))
     state = words.select(spelled.alias("word"), "cnt").filter(F.char_length("word") > 1)
+    # Merging costs far more per byte than reading: one partition per core, however small the table.
+    state = state.repartition(spark.sparkContext.defaultParallelism).persist()
     pending: list[tuple[str, str]] = []
-    most = float("inf") if num_merges is None else num_merges
+    known: dict[str, int] | None = None
+    floor = 0  # no pair outside ``known`` is more frequent than this
     while len(tokens) < vocab_size and len(merges) < most:
-        current = _apply(state, pending)
-        counted = pair_counts(current).filter(F.col("cnt") >= min_frequency)
-        best = counted.orderBy(F.desc("cnt"), "pair").limit(round_size).collect()
-        if not best:
-            break
-        ranked = [(r.pair, r.cnt) for r in best]
-        for pair in _certain_prefix(ranked, len(ranked) < round_size, tokens, ids):
-            if len(tokens) >= vocab_size or len(merges) >= most:
+        if known is None:
+            known, floor = _frequent_pairs(_apply(state, pending), min_frequency, tracked_pairs)
+        ranked = heapq.nsmallest(65, known.items(), key=lambda item: (-item[1], item[0]))
+        if not ranked:
+            if floor < min_frequency:
                 break
+            known = None
+            continue
+        unseen = ranked[64][1] if len(ranked) > 64 else floor
+        chosen = _certain_prefix(ranked[:64], unseen, tokens, ids)
+        room = int(min(vocab_size - len(tokens), most - len(merges), len(chosen)))
+        step: list[tuple[str, str]] = []
+        repeats = False
+        for pair in chosen[:room]:
             left, right = (tokens[_symbol_id(s)] for s in pair)
             merged = left + right
+            repeats = repeats or merged in ids
             if merged not in ids:
                 ids[merged] = len(tokens)
                 tokens.append(merged)
             merges.append((len(merges), left, right))
-            pending.append((pair, _symbol(ids[merged])))
+            step.append((pair, _symbol(ids[merged])))
+        if repeats:
+            known = None  # a known token became more frequent, and pairs outside the table with it
+        elif len(tokens) < vocab_size and len(merges) < most:
+            changes = _count_changes(_apply(state, pending), step).collect()
+            known = _updated(known, changes, {symbol for _, symbol in step}, floor)
+        pending += step
         if len(pending) >= rewrite_after:
-            state, pending = cut_lineage(_apply(state, pending)), []
+            rewritten = cut_lineage(_apply(state, pending)).persist()
+            state.unpersist()
+            state, pending = rewritten, []
+    state.unpersist()
     vocab = spark.createDataFrame(list(zip(tokens, range(len(tokens)))), VOCAB_SCHEMA)
     return Bpe(vocab, spark.createDataFrame(merges, MERGE_SCHEMA))
 
 
-def _apply(state: DataFrame, pending: list[tuple[str, str]]) -> DataFrame:
-    if not pending:
+def _frequent_pairs(state: DataFrame, least: int, tracked: int) -> tuple[dict[str, int], int]:
+    """The most frequent pairs, and a count that no other pair exceeds."""
+    counted = pair_counts(state).filter(F.col("cnt") >= least)
+    rows = counted.orderBy(F.desc("cnt"), "pair").limit(tracked + 1).collect()
+    floor = least - 1 if len(rows) <= tracked else rows[-1].cnt
+    return {r.pair: r.cnt for r in rows if r.cnt > floor} or {r.pair: r.cnt for r in rows[:1]}, floor
+
+
+def _merged(word: Column, merges: list[tuple[str, str]]) -> Column:
+    return reduce(lambda col, m: F.replace(col, F.lit(m[0]), F.lit(m[1])), merges, word)
+
+
+def _apply(state: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    if not merges:
         return state
-    merged = reduce(lambda col, m: F.replace(col, F.lit(m[0]), F.lit(m[1])), pending, F.col("word"))
-    return state.select(merged.alias("word"), "cnt").filter(F.char_length("word") > 1)
+    return state.select(_merged(F.col("word"), merges).alias("word"), "cnt").filter(F.char_length("word") > 1)
+
+
+def _count_changes(state: DataFrame, step: list[tuple[str, str]]) -> DataFrame:
+    """How pair counts change by ``step``, from the words it touches alone."""
+    touched = state.filter(reduce(lambda a, b: a | b, [F.contains("word", F.lit(pair)) for pair, _ in step]))
+    both = touched.select("word", _merged(F.col("word"), step).alias("after"), "cnt")
+    signed = F.concat(
+        F.transform(_pairs_in(F.col("word")), lambda p: F.struct(p.alias("pair"), F.lit(-1).alias("sign"))),
+        F.transform(_pairs_in(F.col("after")), lambda p: F.struct(p.alias("pair"), F.lit(1).alias("sign"))),
+    )
+    each = both.select(F.explode(signed).alias("p"), "cnt")
+    summed = each.groupBy(F.col("p.pair").alias("pair")).agg(F.sum(F.col("cnt") * F.col("p.sign")).alias("change"))
+    return summed.filter(F.col("change") != 0)
+
+
+def _updated(known: dict[str, int], changes, made: set[str], floor: int) -> dict[str, int]:
+    """Tracked counts after a step. Only pairs with a new symbol may join; those at or below the floor leave."""
+    for row in changes:
+        if row.pair in known or made & set(row.pair):
+            known[row.pair] = known.get(row.pair, 0) + row.change
+            if known[row.pair] <= floor:
+                del known[row.pair]
+    return known
 
 
-def _certain_prefix(ranked: list[tuple[str, int]], complete: bool, tokens: list[str], ids: dict[str, int]) -> list[str]:
+def _certain_prefix(ranked: list[tuple[str, int]], unseen: int, tokens: list[str], ids: dict[str, int]) -> list[str]:
     """The leading pairs that would also be chosen, in this order, if counts were redone after every single merge.
 
     Merging (a, b) only changes counts of pairs touching a or b, and a pair with the new symbol occurs at most as often
     as the pair touching a or b that it replaces. So while the pairs share no symbol their counts stand, and anything
     new is at most as frequent as the first pair left out: pairs counted strictly more often than that are certain.
     A pair of equal symbols, or one spelling a known token, may create more frequent pairs: it ends the prefix.
+    ``unseen`` is the count that no pair outside ``ranked`` exceeds.
     """
     used: set[str] = set()
     made: set[str] = set()
@@ -142,10 +204,7 @@ def _certain_prefix(ranked: list[tuple[str, int]], complete: bool, tokens: list[
             break
         used.update(pair)
         made.add(merged)
-    if stop < len(ranked):
-        bound = ranked[stop][1]
-    else:
-        bound = 0 if complete else ranked[-1][1]
+    bound = ranked[stop][1] if stop < len(ranked) else unseen
     return [pair for i, (pair, count) in enumerate(ranked[:stop]) if i == 0 or count > bound]
 
 
