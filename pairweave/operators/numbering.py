@@ -58,7 +58,8 @@ def number_rows(
     )
     inside = Window.partitionBy(*keys).orderBy(*order)
     earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
-    joined = df.join(offsets, keys)
+    # One row per slice, so the offsets of a partition always fit a hash table and the rows are sorted only once.
+    joined = df.join(offsets.hint("shuffle_hash"), keys)
     added = {out: F.col("_offset") + F.row_number().over(inside) - 1}
     for name, column in running.items():
         added[name] = F.col(f"_from_{name}") + F.coalesce(F.sum(column).over(earlier), F.lit(0)).cast("bigint")

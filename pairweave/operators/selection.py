@@ -39,13 +39,13 @@ def beam_step(
     scored = live_candidates(cands, first_step, eos).withColumn("new_score", F.col("score") + F.col("logp"))
     scored = scored.withColumn("scaled", length_scaled(F.col("new_score"), F.col("len") + 1, alpha))
     best = Window.partitionBy("item_id").orderBy(F.desc("scaled"), "beam", "token")
-    chosen = scored.withColumn("new_beam", F.row_number().over(best) - 1).filter(F.col("new_beam") < beam_size)
+    chosen = scored.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= beam_size)
     finished = F.col("token") == eos
     if "finished" in cands.columns:
         finished = finished | F.col("finished")
     return chosen.select(
         "item_id",
-        "new_beam",
+        (F.col("place") - 1).alias("new_beam"),
         F.col("beam").alias("from_beam"),
         "token",
         "new_score",

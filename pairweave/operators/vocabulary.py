@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import heapq
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -84,7 +83,7 @@ def train_bpe(
     frequent pairs; it then chooses every pair that is certain to be next in turn (``_certain_prefix``), and a job over
     the words holding those pairs returns how their merging changes the counts, at most a few rows per token. Pairs
     below the tracked ones can only become rarer, so the table stays exact until it is used up and counted anew.
-    The words are rewritten after ``rewrite_after`` merges; until then a job replays the merges as ``replace`` calls.
+    The words are rewritten after ``rewrite_after`` merges; until then a job replays the merges on the fly.
     Training ends at ``vocab_size`` tokens, after ``num_merges`` merges if given, or when no pair occurs
     ``min_frequency`` times.
     """
@@ -150,27 +149,33 @@ def _frequent_pairs(state: DataFrame, least: int, tracked: int) -> tuple[dict[st
     return {r.pair: r.cnt for r in rows if r.cnt > floor} or {r.pair: r.cnt for r in rows[:1]}, floor
 
 
-def _merged(word: Column, merges: list[tuple[str, str]]) -> Column:
-    return reduce(lambda col, m: F.replace(col, F.lit(m[0]), F.lit(m[1])), merges, word)
+def _merged(merges: list[tuple[str, str]]) -> str:
+    """SQL for ``word`` after the merges, one after the other. Symbols lie above U+00FF, so no quoting is needed.
+
+    The merges are data to one expression, so that all rounds share compiled code.
+    """
+    pairs, symbols = (" ".join(column) for column in zip(*merges))
+    steps = f"arrays_zip(split('{pairs}', ' '), split('{symbols}', ' '))"
+    return f"aggregate({steps}, word, (w, m) -> replace(w, m['0'], m['1']))"
 
 
 def _apply(state: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     if not merges:
         return state
-    return state.select(_merged(F.col("word"), merges).alias("word"), "cnt").filter(F.char_length("word") > 1)
+    return state.selectExpr(f"{_merged(merges)} AS word", "cnt").where("char_length(word) > 1")
 
 
 def _count_changes(state: DataFrame, step: list[tuple[str, str]]) -> DataFrame:
     """How pair counts change by ``step``, from the words it touches alone."""
-    touched = state.filter(reduce(lambda a, b: a | b, [F.contains("word", F.lit(pair)) for pair, _ in step]))
-    both = touched.select("word", _merged(F.col("word"), step).alias("after"), "cnt")
-    signed = F.concat(
-        F.transform(_pairs_in(F.col("word")), lambda p: F.struct(p.alias("pair"), F.lit(-1).alias("sign"))),
-        F.transform(_pairs_in(F.col("after")), lambda p: F.struct(p.alias("pair"), F.lit(1).alias("sign"))),
-    )
-    each = both.select(F.explode(signed).alias("p"), "cnt")
-    summed = each.groupBy(F.col("p.pair").alias("pair")).agg(F.sum(F.col("cnt") * F.col("p.sign")).alias("change"))
-    return summed.filter(F.col("change") != 0)
+    pairs = " ".join(pair for pair, _ in step)
+    touched = state.where(f"exists(split('{pairs}', ' '), p -> contains(word, p))")
+    both = touched.selectExpr("word", f"{_merged(step)} AS after", "cnt")
+    signed = [
+        f"transform(sequence(1, char_length({w}) - 1), i -> struct(substring({w}, i, 2) AS pair, {sign} AS sign))"
+        for w, sign in (("word", -1), ("after", 1))
+    ]
+    each = both.selectExpr("cnt", f"inline(concat({signed[0]}, if(char_length(after) > 1, {signed[1]}, array())))")
+    return each.groupBy("pair").agg(F.expr("sum(cnt * sign) AS change")).where("change <> 0")
 
 
 def _updated(known: dict[str, int], changes, made: set[str], floor: int) -> dict[str, int]:
