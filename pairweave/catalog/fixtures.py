@@ -9,7 +9,7 @@ from pairweave.functions.text import normalize_text, pretokenize
 from pairweave.operators.vocabulary import Bpe, lookup_ids, train_bpe, unit_counts, word_vocabulary
 from pairweave.plans.buckets import Plan, plan_buckets
 from pairweave.plans.preprocess import piece_counts
-from pairweave.session import cut_lineage, scratch_path
+from pairweave.session import cut_lineage, scratch_path, spread
 
 NUM_CUTS = 8
 WORD_VOCABULARY = 2000
@@ -27,13 +27,19 @@ def length_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source and target lengths, one pair per line item."""
     source = F.col("l_quantity").cast("int") + 2
     target = F.greatest(F.lit(2).cast("bigint"), source + F.col("l_suppkey") % 7 - 3).cast("int")
-    return table(spark, sf_dir, "lineitem").select(
+    rows = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))
+    return rows.select(
         F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("pair_id"),
         source.alias("src_len"),
         target.alias("tgt_len"),
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, text)`` of all documents, over all cores."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def cell_sizes(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     """Least rows per cell and most rows per shard, in proportion to the table as in a real run."""
     rows = table(spark, sf_dir, "lineitem").count()
@@ -63,7 +69,7 @@ def line_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = F.arrays_zip(
         F.slice(lines, F.lit(1), F.size(lines) - 1).alias("a"), F.slice(lines, F.lit(2), F.size(lines) - 1).alias("b")
     )
-    each = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(pairs).alias("line_no", "p"))
+    each = documents(spark, sf_dir).select("doc_id", F.posexplode(pairs).alias("line_no", "p"))
     key = F.col("doc_id") * 1_000_000 + F.col("line_no")
     return each.select(key.alias("pair_id"), F.col("p.a").alias("src_text"), F.col("p.b").alias("tgt_text"))
 
@@ -77,7 +83,7 @@ def nested_pairs(pairs: DataFrame) -> DataFrame:
 
 def word_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The most frequent pieces of all documents."""
-    counts = piece_counts(table(spark, sf_dir, "documents"), "text")
+    counts = piece_counts(documents(spark, sf_dir), "text")
     return cut_lineage(word_vocabulary(counts, WORD_VOCABULARY))
 
 
@@ -99,7 +105,7 @@ def encoded_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_model(spark: SparkSession, sf_dir: str) -> Bpe:
     """A few merges over the units of all documents."""
-    return train_bpe(unit_counts(table(spark, sf_dir, "documents"), "text"), num_merges=MERGES)
+    return train_bpe(unit_counts(documents(spark, sf_dir), "text"), num_merges=MERGES)
 
 
 def drop_every_fifth(text):

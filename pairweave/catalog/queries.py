@@ -147,39 +147,39 @@ def comparison_report(spark, sf_dir):
 
 @query
 def normalized_text(spark, sf_dir):
-    return fx.table(spark, sf_dir, "documents").select("doc_id", normalize_text(F.col("text")).alias("normalized"))
+    return fx.documents(spark, sf_dir).select("doc_id", normalize_text(F.col("text")).alias("normalized"))
 
 
 @query(key="pretokenize")
 def pretokenize_text(spark, sf_dir):
     pieces = pretokenize(normalize_text(F.col("text")))
-    return fx.table(spark, sf_dir, "documents").select("doc_id", F.array_join(pieces, " ").alias("pieces"))
+    return fx.documents(spark, sf_dir).select("doc_id", F.array_join(pieces, " ").alias("pieces"))
 
 
 @query
 def unit_split(spark, sf_dir):
     units = byte_units(normalize_text(F.col("text")))
-    return fx.table(spark, sf_dir, "documents").select("doc_id", F.array_join(units, "|").alias("units"))
+    return fx.documents(spark, sf_dir).select("doc_id", F.array_join(units, "|").alias("units"))
 
 
 @query
 def word_counts(spark, sf_dir):
-    return piece_counts(fx.table(spark, sf_dir, "documents"), "text")
+    return piece_counts(fx.documents(spark, sf_dir), "text")
 
 
 @query
 def byte_unit_counts(spark, sf_dir):
-    return unit_counts(fx.table(spark, sf_dir, "documents"), "text")
+    return unit_counts(fx.documents(spark, sf_dir), "text")
 
 
 @query
 def word_vocab(spark, sf_dir):
-    return word_vocabulary(piece_counts(fx.table(spark, sf_dir, "documents"), "text"), fx.WORD_VOCABULARY)
+    return word_vocabulary(piece_counts(fx.documents(spark, sf_dir), "text"), fx.WORD_VOCABULARY)
 
 
 @query(key="pair_counts")
 def pair_frequency(spark, sf_dir):
-    counts = pair_counts(unit_counts(fx.table(spark, sf_dir, "documents"), "text"))
+    counts = pair_counts(unit_counts(fx.documents(spark, sf_dir), "text"))
     return counts.select(F.substring("pair", 1, 1).alias("left"), F.substring("pair", 2, 1).alias("right"), "cnt")
 
 
@@ -228,7 +228,7 @@ def vocab_compatible(spark, sf_dir):
 
 @query(key="segment_runs")
 def segment_text(spark, sf_dir):
-    words = piece_counts(fx.table(spark, sf_dir, "documents"), "text").filter(F.col("word").rlike(r"^[\p{L}\p{M}]+$"))
+    words = piece_counts(fx.documents(spark, sf_dir), "text").filter(F.col("word").rlike(r"^[\p{L}\p{M}]+$"))
     unspaced = F.regexp_replace(normalize_text(F.col("src_text")), " ", "")
     runs = fx.bitext(spark, sf_dir).select("pair_id", unspaced.alias("text"))
     return segment_runs(runs, "text", words, "segmented", r"[\p{L}\p{M}]+").select("pair_id", "segmented")
@@ -321,14 +321,8 @@ def length_histogram(spark, sf_dir):
 
 @query
 def optimal_cuts(spark, sf_dir):
-    pairs = fx.length_pairs(spark, sf_dir)
-    sides = [
-        lengths.optimal_cuts(lengths.length_histogram(pairs, f"{s}_len"), fx.NUM_CUTS).select(
-            F.lit(s).alias("side"), "bucket", "start", "end"
-        )
-        for s in ("src", "tgt")
-    ]
-    return sides[0].unionByName(sides[1])
+    pairs = lengths.pair_histogram(fx.length_pairs(spark, sf_dir))
+    return lengths.optimal_cuts(lengths.side_histograms(pairs), fx.NUM_CUTS, by=["side"])
 
 
 @query

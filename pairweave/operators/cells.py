@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pairweave.operators.lengths import (
     LengthRange,
     assign_range,
-    collect_ranges,
+    collect_sides,
     optimal_cuts,
     pair_histogram,
-    side_histogram,
+    side_histograms,
 )
 from pairweave.session import cut_lineage
 
@@ -40,8 +40,7 @@ def build_grid(df: DataFrame, num_cuts: int) -> Grid:
     length pair, however many sentences there are.
     """
     pairs = cut_lineage(pair_histogram(df))
-    src = collect_ranges(optimal_cuts(side_histogram(pairs, "src_len"), num_cuts))
-    tgt = collect_ranges(optimal_cuts(side_histogram(pairs, "tgt_len"), num_cuts))
+    src, tgt = collect_sides(optimal_cuts(side_histograms(pairs), num_cuts, by=["side"]))
     return Grid(src, tgt, pairs)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -31,9 +33,10 @@ def pair_histogram(df: DataFrame) -> DataFrame:
     return df.groupBy("src_len", "tgt_len").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def side_histogram(pairs: DataFrame, length: str) -> DataFrame:
-    """One side's histogram out of a pair histogram."""
-    return pairs.groupBy(F.col(length).alias("len")).agg(F.sum("cnt").alias("cnt"))
+def side_histograms(pairs: DataFrame) -> DataFrame:
+    """``(side, len, cnt)`` of both sides out of a pair histogram."""
+    sides = F.expr("stack(2, 'src', src_len, 'tgt', tgt_len)").alias("side", "len")
+    return pairs.select(sides, "cnt").groupBy("side", "len").agg(F.sum("cnt").alias("cnt"))
 
 
 def small_cuts(hist: DataFrame) -> DataFrame:
@@ -42,19 +45,21 @@ def small_cuts(hist: DataFrame) -> DataFrame:
     return hist.select(F.col("len").cast("int").alias("start"), F.coalesce(following, F.col("len") + 1).cast("int").alias("end"))
 
 
-def optimal_cuts(hist: DataFrame, num_cuts: int) -> DataFrame:
-    """Exactly ``num_cuts`` ranges ``(bucket, start, end)`` with the least total padding, ties to the smallest cut.
+def optimal_cuts(hist: DataFrame, num_cuts: int, by: Sequence[str] = ()) -> DataFrame:
+    """Exactly ``num_cuts`` ranges ``(*by, bucket, start, end)`` with the least total padding, ties to the smallest cut.
 
     Spark reduces the data to one row per distinct length; that histogram (checked to be small) is gathered as two
     arrays and cut in one vectorised call. The number of lengths is bounded by the longest sentence, not by the data.
+    ``by`` names columns of ``hist`` that separate independent histograms, such as the two sides of a grid.
     """
-    gathered = hist.agg(F.array_sort(F.collect_list(F.struct(F.col("len").cast("bigint").alias("len"), F.col("cnt").cast("bigint").alias("cnt")))).alias("h"))
+    entry = F.struct(F.col("len").cast("bigint").alias("len"), F.col("cnt").cast("bigint").alias("cnt"))
+    gathered = hist.groupBy(*by).agg(F.array_sort(F.collect_list(entry)).alias("h"))
     checked = F.when(
         F.size("h") > MAX_DISTINCT_LENGTHS, F.raise_error(F.lit("too many distinct lengths for one cut plan"))
     ).otherwise(F.col("h"))
-    cut = _cuts_udf(num_cuts)
-    ranges = gathered.select(checked.alias("h")).select(F.posexplode(cut(F.col("h.len"), F.col("h.cnt"))).alias("bucket", "r"))
-    return ranges.select("bucket", "r.start", "r.end")
+    cut = _cuts_udf(num_cuts)(F.col("h.len"), F.col("h.cnt"))
+    ranges = gathered.select(*by, checked.alias("h")).select(*by, F.posexplode(cut).alias("bucket", "r"))
+    return ranges.select(*by, "bucket", "r.start", "r.end")
 
 
 def _cuts_udf(num_cuts: int):
@@ -126,25 +131,29 @@ def _relax(best, layer, size, rows, tokens):
 
 def collect_ranges(cuts: DataFrame) -> list[LengthRange]:
     """The edge list as plain values: at most ``num_cuts`` rows, whatever the data size."""
-    return [LengthRange(r.start, r.end) for r in cuts.orderBy("start").select("start", "end").collect()]
+    return sorted(LengthRange(r.start, r.end) for r in cuts.select("start", "end").collect())
+
+
+def collect_sides(cuts: DataFrame) -> tuple[list[LengthRange], list[LengthRange]]:
+    """The edge lists of both sides out of cuts made by ``side``."""
+    rows = cuts.select("side", "start", "end").collect()
+    src, tgt = (sorted(LengthRange(r.start, r.end) for r in rows if r.side == side) for side in ("src", "tgt"))
+    return src, tgt
 
 
 def range_of(length: Column, ranges: list[LengthRange]) -> Column:
-    """The range holding a length, or null. A comparison chain over the edge list: no join and no shuffle."""
-    kind = "struct<bucket:int,start:int,end:int>"
-    found = F.lit(None).cast(kind)
-    for bucket, r in reversed(list(enumerate(ranges))):
-        value = F.struct(F.lit(bucket).alias("bucket"), F.lit(r.start).alias("start"), F.lit(r.end).alias("end")).cast(kind)
-        found = F.when((length >= r.start) & (length < r.end), value).otherwise(found)
-    return found
+    """Ordinal of the range holding a length, or null. Comparisons with the edge list: no join and no shuffle."""
+    if not ranges:
+        return F.lit(None).cast("int")
+    begun = reduce(lambda a, b: a + b, [(length >= r.start).cast("int") for r in ranges])
+    last = F.element_at(F.lit([r.end for r in ranges]), F.greatest(begun, F.lit(1)))
+    return F.when((begun > 0) & (length < last), begun - 1)
 
 
 def assign_range(df: DataFrame, length: str, ranges: list[LengthRange], prefix: str) -> DataFrame:
     """Add ``{prefix}_bucket``, ``{prefix}_start`` and ``{prefix}_end``; null where no range holds the length."""
-    bucket = range_of(F.col(length), ranges)
-    return df.withColumn("_r", bucket).select(
-        *df.columns,
-        F.col("_r.bucket").alias(f"{prefix}_bucket"),
-        F.col("_r.start").alias(f"{prefix}_start"),
-        F.col("_r.end").alias(f"{prefix}_end"),
+    bucket = f"{prefix}_bucket"
+    edge = lambda values: F.element_at(F.lit(values or [0]), F.col(bucket) + 1)
+    return df.withColumn(bucket, range_of(F.col(length), ranges)).withColumns(
+        {f"{prefix}_start": edge([r.start for r in ranges]), f"{prefix}_end": edge([r.end for r in ranges])}
     )

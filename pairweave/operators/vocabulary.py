@@ -43,8 +43,9 @@ def word_counts(df: DataFrame, words: Column) -> DataFrame:
 
 def unit_counts(df: DataFrame, text: str) -> DataFrame:
     """Occurrences per byte-level unit of normalised text, the input of subword training."""
-    lines = df.select(byte_level_lines(normalize_text(F.col(text))).alias("lines")).filter(F.col("lines") != "")
-    return word_counts(lines, F.split("lines", "\n"))
+    lines = df.select(byte_level_lines(normalize_text(F.col(text))).alias("lines"))
+    # An empty text has one empty line. Filtering the texts instead would spell each of them twice.
+    return word_counts(lines, F.split("lines", "\n")).filter(F.col("word") != "")
 
 
 def _pairs_in(word: Column) -> Column:

@@ -36,3 +36,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once; later stages start from the files, also after an executor is lost."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores.
+
+    A scan of a few large row groups would leave most cores idle in the costly text steps that follow. Where the scan
+    already has enough splits, as it does on large tables, nothing is moved. Select the needed columns first.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
