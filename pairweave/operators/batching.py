@@ -22,7 +22,7 @@ def assign_batches(sharded: DataFrame, size: int | Column, shard: Sequence[str],
     ).drop("_place")
 
 
-def assign_batches_global(df: DataFrame, size: int, key: str = "pair_id", slices: int = 256) -> DataFrame:
+def assign_batches_global(df: DataFrame, size: int, key: str = "pair_id", slices: int = 1024) -> DataFrame:
     """Batches over a whole data set in key order, numbered slice by slice rather than in one task."""
     sliced = range_slice(df, key, "_slice", slices)
     numbered = number_rows(sliced, [], "_slice", [key], "_place").drop("_slice")

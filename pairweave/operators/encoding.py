@@ -95,6 +95,6 @@ def decode_ids(df: DataFrame, vocab: DataFrame, ids: str, out: str, spaces: bool
         raise ValueError("token ids must be dense from 0")
     tokens = F.split(F.lit("\n".join(r.token for r in rows)), "\n")
     shown = F.filter(F.col(ids), lambda i: ~i.isin(PAD, BOS, EOS, UNK) & (i >= 0) & (i < len(rows)))
-    spelled = F.array_join(F.transform(shown, lambda i: F.element_at(tokens, i + 1)), "")
+    spelled = F.array_join(F.transform(shown, lambda i: F.get(tokens, i)), "")
     text = unspell(spelled)
     return df.withColumn(out, text if spaces else F.replace(text, F.lit(" "), F.lit("")))

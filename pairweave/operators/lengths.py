@@ -146,14 +146,14 @@ def range_of(length: Column, ranges: list[LengthRange]) -> Column:
     if not ranges:
         return F.lit(None).cast("int")
     begun = reduce(lambda a, b: a + b, [(length >= r.start).cast("int") for r in ranges])
-    last = F.element_at(F.lit([r.end for r in ranges]), F.greatest(begun, F.lit(1)))
-    return F.when((begun > 0) & (length < last), begun - 1)
+    # ``get`` gives null for an ordinal of -1; ``element_at`` is not null-safe in its index under ANSI mode.
+    return F.when(length < F.get(F.lit([r.end for r in ranges]), begun - 1), begun - 1)
 
 
 def assign_range(df: DataFrame, length: str, ranges: list[LengthRange], prefix: str) -> DataFrame:
     """Add ``{prefix}_bucket``, ``{prefix}_start`` and ``{prefix}_end``; null where no range holds the length."""
     bucket = f"{prefix}_bucket"
-    edge = lambda values: F.element_at(F.lit(values or [0]), F.col(bucket) + 1)
+    edge = lambda values: F.get(F.lit(values or [0]), F.col(bucket))
     return df.withColumn(bucket, range_of(F.col(length), ranges)).withColumns(
         {f"{prefix}_start": edge([r.start for r in ranges]), f"{prefix}_end": edge([r.end for r in ranges])}
     )

@@ -34,7 +34,7 @@ def smoothed_token_loss(logits: Column, label: Column, eps: float = LABEL_SMOOTH
     top = F.array_max(logits)
     total = lambda values: F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
     log_sum = top + F.log(total(F.transform(logits, lambda x: F.exp(x - top))))
-    picked = log_sum - F.element_at(logits, label + 1)
+    picked = log_sum - F.get(logits, label)
     mean = log_sum - total(logits) / F.size(logits)
     return (1 - eps) * picked + eps * mean
 

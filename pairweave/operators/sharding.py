@@ -74,9 +74,9 @@ def batch_size_for(src_end: Column, tgt_end: Column, budget: int = DEFAULT_TOKEN
 
 
 def spread_batch_size(shards: DataFrame, size: Callable[[Column, Column], Column] = batch_size_for) -> DataFrame:
-    """Work out one batch size per distinct cell and copy it to all shards of the cell."""
+    """Work out one batch size per distinct cell (at most ``num_cuts`` squared) and copy it to all shards of the cell."""
     sizes = shards.select(*CELL).distinct().withColumn("suggested_batch_size", size(F.col("src_end"), F.col("tgt_end")))
-    return shards.drop("suggested_batch_size").join(sizes, CELL)
+    return shards.drop("suggested_batch_size").join(F.broadcast(sizes), CELL)
 
 
 def reset_batch_size(shards: DataFrame) -> DataFrame:

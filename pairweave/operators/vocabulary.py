@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pairweave.functions.arrays import SPECIAL_TOKENS, UNK
 from pairweave.functions.text import byte_level_lines, normalize_text
-from pairweave.session import cut_lineage
+from pairweave.session import remove, rewrite
 
 VOCAB_SCHEMA = "token string, id int"
 MERGE_SCHEMA = "rank int, left string, right string"
@@ -84,12 +84,13 @@ def train_bpe(
     frequent pairs; it then chooses every pair that is certain to be next in turn (``_certain_prefix``), and a job over
     the words holding those pairs returns how their merging changes the counts, at most a few rows per token. Pairs
     below the tracked ones can only become rarer, so the table stays exact until it is used up and counted anew.
-    The words are rewritten after ``rewrite_after`` merges; until then a job replays the merges on the fly.
+    The words are rewritten after ``rewrite_after`` merges, and the table before is dropped; until then a job replays
+    the merges on the fly.
     Training ends at ``vocab_size`` tokens, after ``num_merges`` merges if given, or when no pair occurs
     ``min_frequency`` times.
     """
     spark = words.sparkSession
-    words = cut_lineage(words)
+    words, table = rewrite(words, "words")
     letters = words.select(F.explode(F.split("word", "")).alias("c")).filter(F.col("c") != "").distinct()
     alphabet = sorted(r.c for r in letters.collect())  # byte-level spelling: at most 256 characters
     tokens = [*SPECIAL_TOKENS, *alphabet]
@@ -134,10 +135,12 @@ def train_bpe(
             known = _updated(known, changes, {symbol for _, symbol in step}, floor)
         pending += step
         if len(pending) >= rewrite_after:
-            rewritten = cut_lineage(_apply(state, pending)).persist()
+            rewritten, new_table = rewrite(_apply(state, pending), "words")
             state.unpersist()
-            state, pending = rewritten, []
+            remove(spark, table)
+            state, table, pending = rewritten.persist(), new_table, []
     state.unpersist()
+    remove(spark, table)
     vocab = spark.createDataFrame(list(zip(tokens, range(len(tokens)))), VOCAB_SCHEMA)
     return Bpe(vocab, spark.createDataFrame(merges, MERGE_SCHEMA))
 

@@ -38,6 +38,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def rewrite(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as a table in the shared folder; returns it read back, and its path for ``remove``.
+
+    For loops that would otherwise leave one checkpoint per round behind.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table made by ``rewrite`` once nothing reads it any more."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over at least as many partitions as there are cores.
 

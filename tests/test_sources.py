@@ -6,7 +6,7 @@ from pairweave.operators.translation import translate_batches
 from pairweave.operators.vocabulary import train_bpe, unit_counts
 from pairweave.plans.evaluate import evaluate
 from pairweave.plans.preprocess import loss_report, tokenize_pairs
-from pairweave.session import scratch_path, shared_dir
+from pairweave.session import remove, rewrite, scratch_path, shared_dir, spread
 from pairweave.sources import bitext, tables
 from pairweave.streaming.rowwise import append_placed, place_stream, stream_bitext
 
@@ -150,3 +150,18 @@ def test_stream_gives_what_a_batch_gives(spark, tmp_path):
 def test_shared_folder(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
     assert scratch_path(spark, "a").startswith(shared_dir(spark))
+
+
+def test_rewritten_tables_are_removed(spark):
+    table, path = rewrite(spark.range(5), "numbers")
+    assert table.count() == 5
+    remove(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_spread_moves_only_narrow_scans(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == cores
+    wide = spark.range(0, 100, 1, cores + 3)
+    assert spread(wide) is wide
