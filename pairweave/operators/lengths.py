@@ -15,6 +15,9 @@ RANGES = "array<struct<start:int,end:int>>"
 #: More distinct lengths than any sentence corpus has. The histogram, never the rows, goes into the one planning task.
 MAX_DISTINCT_LENGTHS = 2_000_000
 
+#: Edges up to this length are looked up in a constant array, longer ones compared.
+MAX_TABLE_LENGTH = 100_000
+
 
 class LengthRange(NamedTuple):
     """Half-open range of lengths: ``start <= length < end``."""
@@ -141,19 +144,27 @@ def collect_sides(cuts: DataFrame) -> tuple[list[LengthRange], list[LengthRange]
     return src, tgt
 
 
-def range_of(length: Column, ranges: list[LengthRange]) -> Column:
-    """Ordinal of the range holding a length, or null. Comparisons with the edge list: no join and no shuffle."""
-    if not ranges:
-        return F.lit(None).cast("int")
+def _by_table(length: Column, ranges: list[LengthRange], values: Sequence[int]) -> Column:
+    """The value of the range holding a length, out of one constant array indexed by length."""
+    cells = [""] * (ranges[-1].end if ranges else 0)
+    for r, value in zip(ranges, values):
+        cells[r.start : r.end] = [str(value)] * (r.end - r.start)
+    return F.get(F.split(F.lit(",".join(cells)), ",").try_cast("array<int>"), length)
+
+
+def _by_comparison(length: Column, ranges: list[LengthRange], values: Sequence[int]) -> Column:
+    """The same for ranges that reach too far for a table."""
     begun = reduce(lambda a, b: a + b, [(length >= r.start).cast("int") for r in ranges])
-    # ``get`` gives null for an ordinal of -1; ``element_at`` is not null-safe in its index under ANSI mode.
-    return F.when(length < F.get(F.lit([r.end for r in ranges]), begun - 1), begun - 1)
+    inside = length < F.get(F.lit([r.end for r in ranges]), begun - 1)
+    return F.when(inside, F.get(F.lit(list(values)), begun - 1))
 
 
 def assign_range(df: DataFrame, length: str, ranges: list[LengthRange], prefix: str) -> DataFrame:
-    """Add ``{prefix}_bucket``, ``{prefix}_start`` and ``{prefix}_end``; null where no range holds the length."""
-    bucket = f"{prefix}_bucket"
-    edge = lambda values: F.get(F.lit(values or [0]), F.col(bucket))
-    return df.withColumn(bucket, range_of(F.col(length), ranges)).withColumns(
-        {f"{prefix}_start": edge([r.start for r in ranges]), f"{prefix}_end": edge([r.end for r in ranges])}
-    )
+    """Add ``{prefix}_bucket``, ``{prefix}_start`` and ``{prefix}_end``; null where no range holds the length.
+
+    A projection over constants: no join and no shuffle. ``ranges`` must be sorted. (``get`` is used because
+    ``element_at`` is not null-safe in its index under ANSI mode.)
+    """
+    place = _by_table if not ranges or ranges[-1].end <= MAX_TABLE_LENGTH else _by_comparison
+    values = {"bucket": range(len(ranges)), "start": [r.start for r in ranges], "end": [r.end for r in ranges]}
+    return df.withColumns({f"{prefix}_{name}": place(F.col(length), ranges, v) for name, v in values.items()})

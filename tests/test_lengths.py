@@ -1,8 +1,10 @@
 from itertools import combinations
 
 import numpy as np
+import pytest
 from hypothesis import given, settings, strategies as st
 
+from pairweave.operators import lengths
 from pairweave.operators.lengths import (
     LengthRange,
     assign_range,
@@ -95,8 +97,16 @@ def test_empty_and_single_length(spark):
     assert collect_ranges(optimal_cuts(length_histogram(lengths_frame(spark, [9, 9]), "n"), 1)) == [LengthRange(9, 10)]
 
 
-def test_lengths_outside_all_ranges_get_null(spark):
-    rows = assign_range(lengths_frame(spark, [2, 3, 6, 7, 9]), "n", [LengthRange(3, 7), LengthRange(9, 10)], "x").collect()
+@pytest.mark.parametrize("table_length", [100_000, 0])
+def test_lengths_outside_all_ranges_get_null(spark, monkeypatch, table_length):
+    monkeypatch.setattr(lengths, "MAX_TABLE_LENGTH", table_length)
+    ranges = [LengthRange(3, 7), LengthRange(9, 10)]
+    rows = assign_range(lengths_frame(spark, [0, 2, 3, 6, 7, 9, 10, 500, None]), "n", ranges, "x").collect()
+    inside = {3: (0, 3, 7), 6: (0, 3, 7), 9: (1, 9, 10)}
     assert {r.n: (r.x_bucket, r.x_start, r.x_end) for r in rows} == {
-        2: (None, None, None), 3: (0, 3, 7), 6: (0, 3, 7), 7: (None, None, None), 9: (1, 9, 10)
+        n: inside.get(n, (None, None, None)) for n in (0, 2, 3, 6, 7, 9, 10, 500, None)
     }
+
+
+def test_no_ranges_hold_nothing(spark):
+    assert assign_range(lengths_frame(spark, [0, 4]), "n", [], "x").filter("x_start IS NOT NULL").count() == 0
