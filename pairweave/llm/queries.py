@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pairweave.llm.decontamination import find_contamination
 from pairweave.llm.exact_dedup import exact_dedup
+from pairweave.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +46,50 @@ WITH t AS (
 )
 SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM g
 """
+
+
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 16 length buckets and a batch of at most 8,192 padded tokens."""
+    return pack(documents(spark, sf_dir), buckets=16, budget=8192)
+
+
+ORACLES["op3_packing"] = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens FROM documents
+), u AS (
+  SELECT *, CAST(1 AS BIGINT) << greatest(0, length(bin(n_tokens)) - 10) AS unit FROM t
+), c AS (
+  SELECT *, greatest(1, ((n_tokens + unit - 1) // unit) * unit) AS cell FROM u
+), h AS (
+  SELECT cell, row_number() OVER (ORDER BY cell) AS i, CAST(sum(count(*)) OVER (ORDER BY cell) AS BIGINT) AS below FROM c GROUP BY cell
+), p AS (
+  SELECT 0 AS i, 0 AS below, 0 AS cell UNION ALL SELECT i, below, cell FROM h
+), best(k, j, size, prev) AS (
+  SELECT 1, i, cell * below, CAST(0 AS BIGINT) FROM h
+  UNION ALL
+  SELECT k + 1, j2, size2, prev2 FROM (
+    SELECT b.k, h.i AS j2, min(b.size + h.cell * (h.below - p.below)) AS size2,
+      arg_min(b.j, (b.size + h.cell * (h.below - p.below)) * 1000000 + b.j) AS prev2
+    FROM best b JOIN p ON p.i = b.j JOIN h ON h.i > b.j WHERE b.k < 16 GROUP BY b.k, h.i
+  )
+), path(k, j) AS (
+  SELECT (SELECT max(k) FROM best), (SELECT max(i) FROM h)
+  UNION ALL
+  SELECT path.k - 1, b.prev FROM path JOIN best b ON b.k = path.k AND b.j = path.j WHERE path.k > 1
+), b AS (
+  SELECT cell AS width, lag(cell, 1, 0) OVER (ORDER BY cell) AS low, row_number() OVER (ORDER BY cell) - 1 AS bucket
+  FROM path JOIN h ON h.i = path.j
+), r AS (
+  SELECT c.doc_id, c.n_tokens, b.bucket, b.width, greatest(1, 8192 // b.width) AS per_batch,
+    row_number() OVER (PARTITION BY b.bucket ORDER BY md5('0:' || coalesce(CAST(c.doc_id AS VARCHAR), '')), c.doc_id, c.n_tokens) - 1 AS place
+  FROM c JOIN b ON c.cell > b.low AND c.cell <= b.width
+)
+SELECT doc_id, n_tokens, CAST(bucket AS INTEGER) AS bucket, width, place // per_batch AS batch, place % per_batch AS slot FROM r
+"""
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item with at most a fifth of its words edited."""
+    return find_contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
