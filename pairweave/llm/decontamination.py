@@ -23,18 +23,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pairweave.llm.words import by_size, window_hashes, words_of
+from pairweave.llm.words import by_size, plain, window_hashes, words_of
 
 #: Words of items that one broadcast holds at most, but for a single longer item.
 BLOCK_WORDS = 1_000_000
 MATCH = "doc_id bigint, item_id bigint, distance bigint, item_words bigint, end_word bigint"
 _FILTER_BITS = 22
-_PUNCTUATION = bytes(32 if chr(c) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else c for c in range(256))
-
-
-def plain(text: str | None) -> bytes:
-    """Lower case, ASCII punctuation as blanks."""
-    return (text or "").lower().encode().translate(_PUNCTUATION)
 
 
 def budget_of(m: int, similarity: float) -> int:

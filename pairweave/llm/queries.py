@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pairweave.llm.decontamination import find_contamination
 from pairweave.llm.exact_dedup import exact_dedup
 from pairweave.llm.packing import pack
+from pairweave.llm.toxicity import fit_severity, score_severity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +94,10 @@ SELECT doc_id, n_tokens, CAST(bucket AS INTEGER) AS bucket, width, place // per_
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item with at most a fifth of its words edited."""
     return find_contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expected severity of every document, by a model of at most 10,000 labelled documents."""
+    docs = documents(spark, sf_dir)
+    return score_severity(docs, fit_severity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))

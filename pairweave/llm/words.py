@@ -18,6 +18,12 @@ _POWERS: dict[tuple[int, int], np.ndarray] = {}
 _TABLES = {s: np.random.default_rng(7 + s).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for s in _BASES}
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
+_PUNCTUATION = bytes(32 if chr(c) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else c for c in range(256))
+
+
+def plain(text: str | None) -> bytes:
+    """Lower case, ASCII punctuation as blanks; null counts as empty."""
+    return (text or "").lower().encode().translate(_PUNCTUATION)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
