@@ -7,8 +7,8 @@ are lower case with ASCII punctuation as blanks. Features are those whose docume
 other labelled documents.
 
 The labels are binary, so the grades of training documents come from the data: 0 for a document labelled not toxic;
-1 to 3 for toxic ones, by thirds of the share of their words that carry a *marker* (a feature whose odds are at least ``e**3`` times as high
-in toxic documents). A toxic label without any marker is the lowest grade: such labels are partly noise.
+1 to 3 for toxic ones, by thirds of how many *markers* they hold (features whose odds are at least
+``e**3`` times as high in toxic documents). A toxic label without any marker is the lowest grade: such labels are partly noise.
 
 The model is fitted on at most ``max_labelled`` labelled documents (10,000; the ones with the least hash of the id) and
 holds at most ``max_features`` words. Those two parameters bound everything that reaches the driver or is broadcast; the
@@ -168,20 +168,17 @@ def fit_severity(docs: DataFrame, labels: DataFrame, max_labelled: int = 10_000,
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, shares = [], []
-            for text in batch.column(0).to_pylist():
-                counts, n_words = feature_counts(text, wanted)
-                found = active(counts, n_words)
-                rows.append(sorted(index[f] for f in found if f in index))
-                shares.append(sum(counts[f] for f in {f for f, level in found if (f, level) in markers}) / max(1, n_words))
-            yield pa.RecordBatch.from_pydict({"toxic": batch.column(1), "features": pa.array(rows, pa.list_(pa.int32())), "share": pa.array(shares, pa.float64())})
-
-    rows = sample.mapInArrow(present, "toxic int, features array<int>, share double").collect()
+            found = [[f for f in active(*feature_counts(t, wanted)) if f in index] for t in batch.column(0).to_pylist()]
+            rows = [sorted(index[f] for f in fs) for fs in found]
+            held = [sum(f in markers for f in fs) for fs in found]
+            yield pa.RecordBatch.from_pydict({"toxic": batch.column(1), "features": pa.array(rows, pa.list_(pa.int32())), "held": pa.array(held, pa.int32())})
+
+    rows = sample.mapInArrow(present, "toxic int, features array<int>, held int").collect()
     remove(docs.sparkSession, path)
-    rows.sort(key=lambda r: (r.toxic, r.share, r.features))  # the fit does not depend on the order of the tasks
-    toxic, share = np.array([r.toxic for r in rows]), np.array([r.share for r in rows])
-    cuts = np.quantile(share[toxic == 1], [1 / 3, 2 / 3])
-    grades = np.where(toxic == 1, 1 + (share > cuts[0]).astype(int) + (share > cuts[1]), 0)
+    rows.sort(key=lambda r: (r.toxic, r.held, r.features))  # the fit does not depend on the order of the tasks
+    toxic, held = np.array([r.toxic for r in rows]), np.array([r.held for r in rows])
+    cuts = np.quantile(held[toxic == 1], [1 / 3, 2 / 3])
+    grades = np.where(toxic == 1, 1 + (held > cuts[0]).astype(int) + (held > cuts[1]), 0)
     weights, thresholds = fit_ordinal([np.array(r.features, np.int64) for r in rows], grades, len(index))
     return SeverityModel({f: float(weights[i]) for f, i in index.items()}, [float(t) for t in thresholds])
 
