@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pairweave.llm.decontamination import find_contamination
 from pairweave.llm.exact_dedup import exact_dedup
 from pairweave.llm.packing import pack
+from pairweave.llm.secrets import find_secrets, secret_digest
 from pairweave.llm.toxicity import fit_severity, score_severity
+from pairweave.llm.warc import read_archives, write_archives
+from pairweave.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -101,3 +104,34 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The expected severity of every document, by a model of at most 10,000 labelled documents."""
     docs = documents(spark, sf_dir)
     return score_severity(docs, fit_severity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive, in segments of at most 32 KiB, and read back."""
+    path = scratch_path(spark, "warc")
+    write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+    return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op6_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), g AS (
+  SELECT page_id, html, sha1(html) AS hex, first_value(page_id) OVER w AS first_id, row_number() OVER w AS place
+  FROM p WINDOW w AS (PARTITION BY html ORDER BY page_id NULLS LAST)
+), d AS (
+  SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(hex, i * 5 + 1, 5) AS INTEGER)) AS twenty FROM g
+)
+SELECT page_id, strlen(html) AS payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((twenty[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31), 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN place = 1 THEN NULL ELSE first_id END AS refers_to
+FROM d
+"""
+
+
+@query
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return secret_digest(find_secrets(documents(spark, sf_dir)))
