@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pairweave.llm.decontamination import find_contamination
 from pairweave.llm.exact_dedup import exact_dedup
 from pairweave.llm.packing import pack
+from pairweave.llm.pii import find_personal_data, personal_data_digest
 from pairweave.llm.secrets import find_secrets, secret_digest
 from pairweave.llm.toxicity import fit_severity, score_severity
 from pairweave.llm.warc import read_archives, write_archives
@@ -135,3 +136,9 @@ FROM d
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
     return secret_digest(find_secrets(documents(spark, sf_dir)))
+
+
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return personal_data_digest(find_personal_data(documents(spark, sf_dir)))
