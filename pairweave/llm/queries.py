@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairweave.llm.decontamination import find_contamination
 from pairweave.llm.exact_dedup import exact_dedup
+from pairweave.llm.jaccard_join import jaccard_join
 from pairweave.llm.packing import pack
 from pairweave.llm.pii import find_personal_data, personal_data_digest
-from pairweave.llm.secrets import find_secrets, secret_digest
+from pairweave.llm.secret_scan import find_secrets, secret_digest
 from pairweave.llm.toxicity import fit_severity, score_severity
 from pairweave.llm.warc import read_archives, write_archives
 from pairweave.session import scratch_path
@@ -142,3 +143,9 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
     return personal_data_digest(find_personal_data(documents(spark, sf_dir)))
+
+
+@query
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near duplicates (five words, 0.8) and its number of links."""
+    return jaccard_join(documents(spark, sf_dir)).select("doc_id", "class_id", "copy_id", "n_links", "n_texts", "n_grams")
