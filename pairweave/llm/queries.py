@@ -12,6 +12,7 @@ from pairweave.llm.jaccard_join import jaccard_join
 from pairweave.llm.packing import pack
 from pairweave.llm.pii import find_personal_data, personal_data_digest
 from pairweave.llm.secret_scan import find_secrets, secret_digest
+from pairweave.llm.substring_dedup import substring_dedup
 from pairweave.llm.toxicity import fit_severity, score_severity
 from pairweave.llm.warc import read_archives, write_archives
 from pairweave.session import scratch_path
@@ -149,3 +150,30 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of near duplicates (five words, 0.8) and its number of links."""
     return jaccard_join(documents(spark, sf_dir)).select("doc_id", "class_id", "copy_id", "n_links", "n_texts", "n_grams")
+
+
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document when windows of 20 words that start earlier elsewhere are removed."""
+    found = substring_dedup(documents(spark, sf_dir), window=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op1_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words, row_number() OVER (ORDER BY doc_id NULLS LAST) AS place FROM documents
+), w AS (
+  SELECT place, i, hash(array_to_string(words[i : i + 19], ' ')) AS h, md5(array_to_string(words[i : i + 19], ' ')) AS m
+  FROM (SELECT place, words, unnest(range(1, len(words) - 18)) AS i FROM d WHERE len(words) >= 20)
+), r AS (
+  SELECT place, i FROM (SELECT place, i, row_number() OVER (PARTITION BY h, m ORDER BY place, i) AS n FROM w) WHERE n > 1
+), c AS (
+  SELECT DISTINCT place, i + unnest(range(20)) AS i FROM r
+), k AS (
+  SELECT d.place, list(e.i ORDER BY e.i) AS keep FROM d, (SELECT place, unnest(range(1, len(words) + 1)) AS i FROM d) e
+  WHERE d.place = e.place AND NOT EXISTS (SELECT 1 FROM c WHERE c.place = e.place AND c.i = e.i) GROUP BY d.place
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(len(keep), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(array_to_string(list_transform(keep, lambda i: words[i]), ' '), '')) AS kept_sha256
+FROM d LEFT JOIN k USING (place)
+"""
