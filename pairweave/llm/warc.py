@@ -133,11 +133,12 @@ def write_archives(
     rows = pages.select("page_id", "url", "html").mapInArrow(_payloads, _PAYLOADS)
     order = F.struct(F.col("page_id").isNull().alias("last"), "page_id")
     first = rows.select("page_id", "payload_digest").groupBy("payload_digest").agg(F.min(order).alias("f"))
-    first = first.select(F.col("payload_digest").alias("digest"), F.col("f.page_id").alias("first"))
-    same = (rows.payload_digest == first.digest) & rows.page_id.eqNullSafe(first["first"])
-    copies = Window.partitionBy("payload_digest", "page_id").orderBy("url")
-    placed = rows.join(first.hint("merge"), same, "left").withColumn("copy", F.row_number().over(copies).cast("int"))
-    response = (F.col("digest").isNotNull() & (F.col("copy") == 1)) | (F.col("payload_bytes") < least_bytes)
+    # One key for the join and for numbering copies, so that a page is shuffled once.
+    key = lambda page: F.concat_ws(":", "payload_digest", page)
+    first = first.select(key(F.col("f.page_id")).alias("key"), F.lit(True).alias("is_first"))
+    placed = rows.withColumn("key", key(F.col("page_id"))).join(first.hint("merge"), "key", "left")
+    placed = placed.withColumn("copy", F.row_number().over(Window.partitionBy("key").orderBy("url")).cast("int"))
+    response = (F.col("is_first").isNotNull() & (F.col("copy") == 1)) | (F.col("payload_bytes") < least_bytes)
     kind = F.when(response, "response").otherwise("revisit")
     ready = placed.select("page_id", "url", "payload_digest", "copy", kind.alias("record_type"), F.when(response, F.col("html")).alias("html"))
 
