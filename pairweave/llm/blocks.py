@@ -81,11 +81,12 @@ class BlockStore:
     def blocks(self) -> DataFrame:
         return self.spark.table(self.table)
 
-    def with_answers(self, answers: DataFrame, name: str) -> DataFrame:
-        """Blocks with an array ``name`` of their rows of ``answers`` (all columns but ``block``); null where there are none."""
+    def with_answers(self, answers: DataFrame, name: str, blocks: DataFrame | None = None) -> DataFrame:
+        """Blocks (those of the store, or ``blocks`` made from them) with an array ``name`` of their rows of ``answers``
+        (all columns but ``block``); null where there are none."""
         columns = [c for c in answers.columns if c != "block"]
         per_block = answers.groupBy("block").agg(F.collect_list(F.struct(*columns)).alias(name))
-        return self.blocks.join(per_block.hint("shuffle_hash"), "block", "left")
+        return (self.blocks if blocks is None else blocks).join(per_block.hint("shuffle_hash"), "block", "left")
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
@@ -125,3 +126,13 @@ def from_planes(data: bytes, dtype: type) -> np.ndarray:
     """The inverse of ``planes``."""
     size = np.dtype(dtype).itemsize
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys as differences, by planes: what the keys of one bucket share costs nothing."""
+    return planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    """The inverse of ``pack_keys``."""
+    return np.cumsum(from_planes(data, np.uint64), dtype=np.uint64)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pairweave.llm.decontamination import find_contamination
 from pairweave.llm.exact_dedup import exact_dedup
 from pairweave.llm.jaccard_join import jaccard_join
+from pairweave.llm.language_model import score_documents
 from pairweave.llm.packing import pack
 from pairweave.llm.pii import find_personal_data, personal_data_digest
 from pairweave.llm.secret_scan import find_secrets, secret_digest
@@ -177,3 +178,9 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
   sha256(coalesce(array_to_string(list_transform(keep, lambda i: words[i]), ' '), '')) AS kept_sha256
 FROM d LEFT JOIN k USING (place)
 """
+
+
+@query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document under a bigram model of four fifths of them."""
+    return score_documents(documents(spark, sf_dir), order=2)

@@ -181,7 +181,6 @@ def substring_dedup(docs: DataFrame, window: int = 20) -> DataFrame:
             break
     asked = blocks.mapInArrow(_ask_windows(below, window, store.bits), "bucket int, block bigint, " + ", ".join(f"{n} binary" for n, _ in _COLUMNS))
     answers, _ = rewrite(asked.groupBy("bucket").applyInPandas(earlier_windows, "bucket int, block bigint, size int, bits binary"), "answers")
-    per_block = store.with_answers(answers, "answers").select("block", "answers")
-    return blocks.join(per_block.hint("shuffle_hash"), "block", "left").mapInArrow(
+    return store.with_answers(answers, "answers", blocks).mapInArrow(
         _remove(below, window), "doc_id bigint, n_words bigint, n_removed bigint, kept_text string"
     )
