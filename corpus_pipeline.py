@@ -2,17 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-STAGES: list = []
+from pairweave.llm.decontamination import drop_contaminated
+from pairweave.llm.exact_dedup import exact_dedup
+from pairweave.llm.jaccard_join import jaccard_join
+from pairweave.llm.packing import pack
+from pairweave.llm.rows import keep_rows
+from pairweave.llm.toxicity import drop_toxic, fit_severity
+from pairweave.session import rewrite
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ordinal model does not reject."""
+    return drop_toxic(docs, fit_severity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of texts that are equal but for blanks."""
+    old = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    return keep_rows(docs, exact_dedup(docs.filter(old), docs.filter(~old)).filter("kept"))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each class of near duplicates."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("first")
+    return keep_rows(docs, jaccard_join(docs).groupBy("class_key").agg(first).select("first.doc_id", "first.text_hash"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A bucket, batch and slot for each document."""
+    return pack(docs)
+
+
+STAGES = [("toxicity", toxicity), ("exact_dedup", exact), ("near_duplicates", near), ("decontamination", decontamination), ("packing", packing)]
 
 #: Ordinal regression and minimum-hash banding have no SQL form.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage over all documents that its predecessor kept."""
+    """Every stage over all documents that its predecessor kept; what a stage returns is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs, _ = rewrite(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,7 @@ not confirmed is new, and new rows are grouped among themselves.
 
 Defined cases: a null text counts as empty, so null, empty and all-blank texts are one group. A null id sorts after
 every number. Rows alike in id and text are one entry with a multiplicity, so exactly one of them is kept. Of rows with
-the same id and length but different blanks the one with the larger digest of the original text is kept. Empty tables
+the same id and length but different blanks the one with the larger hash of the original text is kept. Empty tables
 give empty results. Only the id and the text column are read, so other columns can have any name.
 """
 
@@ -31,9 +31,9 @@ _ROW = ["doc_id", "digest", "fp", "n_points", "text_hash"]
 
 
 def digest_batches(batches: Iterator[pa.RecordBatch], with_text: bool = False) -> Iterator[pa.RecordBatch]:
-    """``(doc_id, text)`` to digest, 64-bit fingerprint, code points and a digest of the original; optionally the bytes."""
+    """``(doc_id, text, text_hash)`` to digest, 64-bit fingerprint and code points; optionally the bytes."""
     for batch in batches:
-        ids, texts = batch.column(0), pc.fill_null(batch.column(1), "")
+        ids, texts = batch.column(0), pc.fill_null(batch.column(1), "")  # the third column hashes the original
         raw = [t.encode() for t in texts.to_pylist()]
         plain = [t.translate(None, BLANKS) for t in raw]
         digests = [hashlib.sha256(t).digest() for t in plain]
@@ -42,7 +42,7 @@ def digest_batches(batches: Iterator[pa.RecordBatch], with_text: bool = False) -
             "digest": pa.array(digests, pa.binary()),
             "fp": pa.array(np.frombuffer(b"".join(d[:8] for d in digests), np.int64), pa.int64()),
             "n_points": pc.cast(pc.utf8_length(texts), pa.int64()),
-            "text_hash": pa.array([hashlib.blake2b(t, digest_size=16).digest() for t in raw], pa.binary()),
+            "text_hash": batch.column(2),
         }
         if with_text:
             columns["plain"] = pa.array(plain, pa.binary())
@@ -51,8 +51,8 @@ def digest_batches(batches: Iterator[pa.RecordBatch], with_text: bool = False) -
 
 def text_digests(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """One row per document, nothing moved."""
-    schema = "doc_id bigint, digest binary, fp bigint, n_points bigint, text_hash binary" + (", plain binary" if with_text else "")
-    return docs.mapInArrow(lambda batches: digest_batches(batches, with_text), schema)
+    schema = "doc_id bigint, digest binary, fp bigint, n_points bigint, text_hash bigint" + (", plain binary" if with_text else "")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(lambda batches: digest_batches(batches, with_text), schema)
 
 
 # --- binary-fuse filter of 64-bit keys: three slots in neighbouring segments, 8-bit fingerprints
@@ -174,16 +174,16 @@ def exact_dedup(snapshot: DataFrame, batch: DataFrame) -> DataFrame:
     """One row per document of both inputs ``(doc_id, text)``, with the row its group keeps.
 
     Columns: ``doc_id, keep_id, group_size, kept, text_sha256, in_snapshot, screened`` (a batch row that the filters let
-    through). The row with the most code points in the original text stays, then the one with the smallest id.
+    through), ``text_hash`` (``xxhash64`` of the original). The row with the most code points in the original text stays, then the one with the smallest id.
     """
     spark: SparkSession = snapshot.sparkSession
-    parts = [text_digests(df.select("doc_id", "text")).withColumn("in_snapshot", F.lit(old)) for df, old in ((snapshot, True), (batch, False))]
+    parts = [text_digests(df).withColumn("in_snapshot", F.lit(old)) for df, old in ((snapshot, True), (batch, False))]
     rows, _ = rewrite(parts[0].unionByName(parts[1]).groupBy("in_snapshot", *_ROW).agg(F.count(F.lit(1)).alias("copies")), "digests")
     old, new = rows.filter("in_snapshot"), rows.filter("not in_snapshot")
     path = scratch_path(spark, "snapshot")
-    buckets = build_snapshot(snapshot.select("doc_id", "text"), old, path)
+    buckets = build_snapshot(snapshot, old, path)
     positives, _ = rewrite(screen(new, path, buckets), "positives")
-    confirmed, _ = rewrite(confirm(batch.select("doc_id", "text"), positives, path).withColumn("known", F.lit(True)), "confirmed")
+    confirmed, _ = rewrite(confirm(batch, positives, path).withColumn("known", F.lit(True)), "confirmed")
     flagged = new.join(positives.withColumn("screened", F.lit(True)), "fp", "left").join(confirmed, "digest", "left")
     flagged = flagged.withColumns({"screened": F.coalesce("screened", F.lit(False)), "known": F.coalesce("known", F.lit(False))})
     everything = old.withColumns({"screened": F.lit(False), "known": F.lit(True)}).unionByName(flagged)
@@ -204,4 +204,5 @@ def exact_dedup(snapshot: DataFrame, batch: DataFrame) -> DataFrame:
         F.lower(F.hex("digest")).alias("text_sha256"),
         "in_snapshot",
         "screened",
+        "text_hash",
     )
