@@ -96,7 +96,8 @@ def store_blocks(docs: DataFrame) -> BlockStore:
     """Store ``docs`` (``doc_id, text``) in the warehouse. Numbers come from the task and its progress, and stay once written."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 1)).first()[0] or 0
-    buckets = max(1, -(-size // (4 * BUCKET_BYTES)))
+    # No fewer than answers are dealt to by default, or a join would rather deal the blocks anew.
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (4 * BUCKET_BYTES)))
     table = f"blocks_{uuid.uuid4().hex}"
     stored = docs.select("doc_id", "text").mapInArrow(_blocks, _STORED)
     stored.write.bucketBy(buckets, "block").format("parquet").option("compression", "uncompressed").saveAsTable(table)
