@@ -184,7 +184,8 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: fl
         F.concat_ws(":", F.hex("component"), "pair.i", "pair.j")
     )
     keyed = placed.withColumn("side", mine).withColumn("pair", F.explode(pairs)).withColumn("task", group)
-    chosen = placed.select("set_id", "doc_id", "text_hash").alias("p").join(
+    # Texts are shuffled at any size of the candidates, so that the job behaves alike on small and large tables.
+    chosen = placed.select("set_id", "doc_id", "text_hash").alias("p").hint("merge").join(
         texts.alias("t"), F.col("p.text_hash").eqNullSafe(F.col("t.text_hash")) & F.col("p.doc_id").eqNullSafe(F.col("t.doc_id"))
     ).select("p.set_id", "t.text").dropDuplicates(["set_id"])
     work = keyed.select("task", "component", "side", "set_id", "copies").join(chosen, "set_id")
