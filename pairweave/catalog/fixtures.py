@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairweave.functions.arrays import BOS, UNK, add_specials
 from pairweave.functions.text import normalize_text, pretokenize
-from pairweave.operators.vocabulary import Bpe, lookup_ids, train_bpe, unit_counts, word_vocabulary
+from pairweave.operators.vocabulary import Bpe, id_lookup, lookup_ids, train_bpe, unit_counts, word_vocabulary
 from pairweave.plans.buckets import Plan, plan_buckets
 from pairweave.plans.preprocess import piece_counts
 from pairweave.session import cut_lineage, scratch_path, spread
 
 NUM_CUTS = 8
+MIN_SAMPLES = 200
+MAX_SAMPLES = 1500
 WORD_VOCABULARY = 2000
 MERGES = 8
 TOKEN_BUDGET = 2000
@@ -40,23 +42,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-def cell_sizes(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
-    """Least rows per cell and most rows per shard, in proportion to the table as in a real run."""
-    rows = table(spark, sf_dir, "lineitem").count()
-    return rows // 300, rows // 40
-
-
 def bucket_plan(spark: SparkSession, sf_dir: str) -> Plan:
     """Shard assignment over all length pairs."""
-    least, most = cell_sizes(spark, sf_dir)
-    return plan_buckets(length_pairs(spark, sf_dir), NUM_CUTS, least, most)
+    return plan_buckets(length_pairs(spark, sf_dir), NUM_CUTS, MIN_SAMPLES, MAX_SAMPLES)
 
 
 def bitext(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user turn and the assistant turn that follows it, by an equi join on unique turn keys."""
     turns = table(spark, sf_dir, "conversations")
     asked = turns.filter("role = 'user'").select(
-        "conv_id", (F.col("turn") + 1).alias("next"), (F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"),
+        "conv_id", (F.col("turn") + 1).alias("next"), F.concat_ws(":", "conv_id", "turn").alias("pair_id"),
         F.col("text").alias("src_text"),
     )
     answered = turns.filter("role = 'assistant'").select("conv_id", F.col("turn").alias("next"), F.col("text").alias("tgt_text"))
@@ -70,7 +65,7 @@ def line_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.slice(lines, F.lit(1), F.size(lines) - 1).alias("a"), F.slice(lines, F.lit(2), F.size(lines) - 1).alias("b")
     )
     each = documents(spark, sf_dir).select("doc_id", F.posexplode(pairs).alias("line_no", "p"))
-    key = F.col("doc_id") * 1_000_000 + F.col("line_no")
+    key = F.concat_ws(":", "doc_id", "line_no")
     return each.select(key.alias("pair_id"), F.col("p.a").alias("src_text"), F.col("p.b").alias("tgt_text"))
 
 
@@ -87,20 +82,23 @@ def word_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_lineage(word_vocabulary(counts, WORD_VOCABULARY))
 
 
-def encoded_side(pairs: DataFrame, text: str, vocab: DataFrame) -> DataFrame:
-    """``(pair_id, ids)`` of one side with a word-level vocabulary."""
-    pieces = pairs.select("pair_id", pretokenize(normalize_text(F.col(text))).alias("pieces"))
-    return lookup_ids(pieces, "pair_id", "pieces", vocab)
+def _pieces(text: str):
+    return pretokenize(normalize_text(F.col(text)))
+
+
+def encoded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, ids)`` of every whole document with a word-level vocabulary."""
+    docs = documents(spark, sf_dir).select("doc_id", _pieces("text").alias("pieces"))
+    return lookup_ids(docs, "doc_id", "pieces", word_vocab(spark, sf_dir))
 
 
 def encoded_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line pairs as ids with markers: ``(pair_id, src_ids, tgt_ids)``."""
-    pairs, vocab = line_pairs(spark, sf_dir), word_vocab(spark, sf_dir)
-    sides = [
-        encoded_side(pairs, text, vocab).select("pair_id", add_specials(F.col("ids")).alias(out))
-        for text, out in (("src_text", "src_ids"), ("tgt_text", "tgt_ids"))
-    ]
-    return sides[0].join(sides[1], "pair_id")
+    """Line pairs as ids with markers: ``(pair_id, src_ids, tgt_ids)``; both sides in one pass, nothing shuffled."""
+    look_up = id_lookup(word_vocab(spark, sf_dir))
+    encoded = line_pairs(spark, sf_dir).select(
+        "pair_id", look_up(_pieces("src_text")).alias("_src"), look_up(_pieces("tgt_text")).alias("_tgt")
+    )
+    return encoded.select("pair_id", add_specials(F.col("_src")).alias("src_ids"), add_specials(F.col("_tgt")).alias("tgt_ids"))
 
 
 def bpe_model(spark: SparkSession, sf_dir: str) -> Bpe:
@@ -125,7 +123,8 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shifted labels, and the same with an unknown token in every fifth place."""
     ids = F.slice("tgt_ids", F.lit(2), F.size("tgt_ids") - 1)
     labelled = encoded_pairs(spark, sf_dir).select("pair_id", ids.alias("labels"))
-    wrong = lambda y, i: F.when((F.col("pair_id") + i) % 5 == 0, F.lit(UNK)).otherwise(y)
+    number = F.length("pair_id")
+    wrong = lambda y, i: F.when((number + i) % 5 == 0, F.lit(UNK)).otherwise(y)
     return labelled.withColumn("preds", F.transform("labels", wrong))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pairweave.catalog.fixtures import EPOCHS, MERGES, NUM_CUTS, TOKEN_BUDGET, WORD_VOCABULARY
+from pairweave.catalog.fixtures import EPOCHS, MAX_SAMPLES, MERGES, MIN_SAMPLES, NUM_CUTS, TOKEN_BUDGET, WORD_VOCABULARY
 from pairweave.operators.scoring import HAN_BLOCKS, PUNCTUATION_RULES
 
 _CTES: dict[str, str] = {}
@@ -17,16 +17,16 @@ SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS pair_id
        CAST(greatest(2, CAST(l_quantity AS INTEGER) + 2 + l_suppkey % 7 - 3) AS INTEGER) AS tgt_len
 FROM lineitem"""
 
-_CTES["cell_sizes"] = "SELECT count(*) // 300 AS least, count(*) // 40 AS most FROM lineitem"
+_CTES["cell_sizes"] = f"SELECT {MIN_SAMPLES} AS least, {MAX_SAMPLES} AS most"
 
 _CTES["bitext"] = """
-SELECT u.conv_id * 1000 + u.turn AS pair_id, u.text AS src_text, a.text AS tgt_text
+SELECT concat_ws(':', u.conv_id, u.turn) AS pair_id, u.text AS src_text, a.text AS tgt_text
 FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
 WHERE u.role = 'user' AND a.role = 'assistant'"""
 
 _CTES["doc_lines"] = "SELECT doc_id, string_split(text, chr(10)) AS l FROM documents"
 _CTES["line_pairs"] = """
-SELECT doc_id * 1000000 + i - 1 AS pair_id, l[i] AS src_text, l[i + 1] AS tgt_text
+SELECT concat_ws(':', doc_id, i - 1) AS pair_id, l[i] AS src_text, l[i + 1] AS tgt_text
 FROM (SELECT doc_id, l, unnest(range(1, len(l))) AS i FROM doc_lines)"""
 
 _CTES["nested_pairs"] = """
@@ -74,6 +74,13 @@ FROM (SELECT pair_id, unnest(CASE WHEN len(p) = 0 THEN [NULL] ELSE p END) AS tok
              unnest(CASE WHEN len(p) = 0 THEN [NULL] ELSE range(1, len(p) + 1) END) AS i FROM {_side}_pieces)
 LEFT JOIN word_vocab v USING (token) GROUP BY pair_id"""
 
+_CTES["doc_pieces"] = f"SELECT doc_id, {_pieces('text')} AS p FROM documents"
+_CTES["doc_words"] = """
+SELECT doc_id, coalesce(list(coalesce(v.id, 3) ORDER BY i) FILTER (i IS NOT NULL), []) AS ids
+FROM (SELECT doc_id, unnest(CASE WHEN len(p) = 0 THEN [NULL] ELSE p END) AS token,
+             unnest(CASE WHEN len(p) = 0 THEN [NULL] ELSE range(1, len(p) + 1) END) AS i FROM doc_pieces)
+LEFT JOIN word_vocab v USING (token) GROUP BY doc_id"""
+
 _CTES["encoded_pairs"] = """
 SELECT pair_id, [1] || s.ids || [2] AS src_ids, [1] || t.ids || [2] AS tgt_ids
 FROM src_words s JOIN tgt_words t USING (pair_id)"""
@@ -332,9 +339,9 @@ def _r(col: str, digits: int = 6) -> str:
     return f"round({col}, {digits}) + 0.0 AS {col}"
 
 
-_BATCHES = "SELECT pair_id, ids, (row_number() OVER (ORDER BY pair_id) - 1) AS place FROM src_words"
+_BATCHES = "SELECT doc_id, ids, (row_number() OVER (ORDER BY doc_id) - 1) AS place FROM doc_words"
 _PADDED = """SELECT *, array_to_string((ids || list_transform(range(width), lambda x: 0))[:width], ',') AS padded
-FROM (SELECT pair_id, place, place // 128 AS batch_id, ids, CAST(max(len(ids)) OVER (PARTITION BY place // 128) AS INTEGER) AS width
+FROM (SELECT doc_id, place, place // 128 AS batch_id, ids, CAST(max(len(ids)) OVER (PARTITION BY place // 128) AS INTEGER) AS width
       FROM ({}))""".format(_BATCHES)
 
 
@@ -355,9 +362,25 @@ UNION ALL SELECT pair_id, src_text, tgt_text, 'valid' FROM line_pairs""",
     "shard_read": f"SELECT pair_id, src_len, tgt_len, {_CELL}, shard_idx FROM g_sharded SEMI JOIN g_first USING ({_CELL}, shard_idx)",
     "bucket_manifest": "SELECT * FROM g_manifest",
     "manifest_roundtrip": "SELECT * FROM g_manifest",
+    "batch_size_saved": f"SELECT {_CELL}, shard_idx, suggested_batch_size, num_samples FROM g_sized",
+    "raw_bitext": """SELECT md5(len(e) || e || z) || ':' || (row_number() OVER (PARTITION BY en, zh) - 1) AS pair_id, en, zh
+FROM (SELECT en, zh, coalesce('+' || en, '-') AS e, coalesce('+' || zh, '-') AS z FROM nested_pairs)""",
+    "token_accuracy_by_bucket": """SELECT bucket, CAST(sum(hit) AS BIGINT) AS correct, CAST(sum(real) AS BIGINT) AS valid, round(sum(hit) / sum(real), 6) AS accuracy
+FROM (SELECT CAST(len(labels) // 16 AS INTEGER) AS bucket, unnest(list_transform(labels, lambda y: CASE WHEN y <> 0 THEN 1 ELSE 0 END)) AS real,
+      unnest(list_transform(labels, lambda y, i: CASE WHEN y <> 0 AND ((len(pair_id) + i - 1) % 5 <> 0 OR y = 3) THEN 1 ELSE 0 END)) AS hit FROM predictions)
+GROUP BY bucket""",
     "vocab_roundtrip": f"SELECT token, id FROM v{MERGES}",
-    "metrics_log": f"""SELECT CAST(e.e AS INTEGER) AS epoch, CAST(batch_id AS INTEGER) AS bucket, 'train' AS split, {_r('loss')}, 0.0::DOUBLE AS acc
-FROM batch_losses, range(2) e(e)""",
+    "metrics_log": """SELECT CAST(epoch AS INTEGER) AS epoch, bucket, split, round(sum(loss * n_rows) / sum(n_rows) FILTER (loss IS NOT NULL), 6) + 0.0 AS loss,
+round(coalesce(sum(hits) / nullif(sum(reals), 0), 0.0), 6) + 0.0 AS acc
+FROM (SELECT e AS epoch, batch_id, CAST(batch_id % 4 AS INTEGER) AS bucket, CASE WHEN batch_id % 5 = 4 THEN 'valid' ELSE 'train' END AS split,
+      count(DISTINCT row_id) AS n_rows, sum(hit) AS hits, sum(real) AS reals,
+      avg(CASE WHEN real = 1 THEN 0.97 * (lse - z[label + 1]) + 0.03 * (lse - list_avg(z)) END) AS loss
+      FROM (SELECT e, batch_id, row_id, label, s AS z, ln(list_sum(list_transform(s, lambda x: exp(x)))) AS lse,
+                   CASE WHEN label <> 0 THEN 1 ELSE 0 END AS real,
+                   CASE WHEN label <> 0 AND list_position(s, list_max(s)) - 1 = label THEN 1 ELSE 0 END AS hit
+            FROM (SELECT t.batch_id, t.row_id, t.label, e.e, list_transform(t.z, lambda x: x * (1 + e.e)) AS s FROM token_logits t, range(2) e(e)))
+      GROUP BY e, batch_id)
+GROUP BY epoch, bucket, split""",
     "comparison_report": """SELECT pair_id, concat('EN: ', replace(replace(replace(src_text, '\\', '\\\\'), chr(10), '\\n'), chr(13), '\\r'), chr(10),
 'ZH_REF: ', replace(replace(replace(ref_text, '\\', '\\\\'), chr(10), '\\n'), chr(13), '\\r'), chr(10),
 'ZH_HYP: ', replace(replace(replace(hyp_text, '\\', '\\\\'), chr(10), '\\n'), chr(13), '\\r'), chr(10)) AS value FROM hypotheses""",
@@ -371,8 +394,8 @@ FROM batch_losses, range(2) e(e)""",
     "bpe_merges": " UNION ALL ".join(f'SELECT {i - 1} AS rank, l AS "left", r AS "right" FROM top{i}' for i in range(1, MERGES + 1)),
     "bpe_encode": """SELECT b.pair_id, concat_ws(',', '1', string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos, i), '2') AS ids
 FROM bitext b LEFT JOIN pair_units USING (pair_id) LEFT JOIN unit_ids USING (unit) GROUP BY b.pair_id""",
-    "decode_ids": "SELECT pair_id, array_to_string(p, '') AS decoded FROM src_pieces",
-    "encode_words": f"SELECT pair_id, {_joined('ids')} AS ids FROM src_words",
+    "decode_ids": "SELECT doc_id, array_to_string(p, '') AS decoded FROM doc_pieces",
+    "encode_words": f"SELECT doc_id, {_joined('ids')} AS ids FROM doc_words",
     "special_tokens": f"""SELECT pair_id, {_joined('src_ids')} AS single,
 {_joined('src_ids || tgt_ids')} AS pair FROM encoded_pairs""",
     "vocab_check": f"""SELECT token, a.id AS left_id, b.id AS right_id, (SELECT count(*) FROM word_vocab) AS left_size,
@@ -384,13 +407,13 @@ FROM encoded_pairs WHERE len(src_ids) <= 64 AND len(tgt_ids) <= 64""",
     "eval_discards": """SELECT count(*) AS total, count(*) FILTER (len(src_ids) <= 64) AS valid,
 count(*) FILTER (len(src_ids) > 64) AS discarded FROM encoded_pairs""",
     "shifted_pairs": f"SELECT pair_id, {_joined('src')} AS src, {_joined('tgt')} AS tgt, {_joined('label')} AS label FROM shifted",
-    "narrow_pairs": f"SELECT pair_id, {_joined('tgt_ids')} AS ids FROM encoded_pairs",
+    "narrow_pairs": f"SELECT doc_id, {_joined('ids')} AS ids FROM doc_words",
     "cut_at_eos": f"SELECT pair_id, {_joined('tgt_ids')} AS ids FROM encoded_pairs",
     "padded_batches": f"""SELECT pair_id, {_CELL}, {_pad('src', 'src_end - 1')}, {_pad('tgt', 'tgt_end - 1')}, {_pad('label', 'tgt_end - 1')}
 FROM t_placed""",
     "batch_assign_global": """SELECT pair_id, place // 512 AS batch_id, CAST(place % 512 AS INTEGER) AS batch_pos
 FROM (SELECT pair_id, row_number() OVER (ORDER BY pair_id) - 1 AS place FROM line_pairs)""",
-    "dynamic_pad": f"SELECT pair_id, batch_id, width, padded AS ids FROM ({_PADDED})",
+    "dynamic_pad": f"SELECT doc_id, batch_id, width, padded AS ids FROM ({_PADDED})",
     "stacked_batches": f"SELECT batch_id, string_agg(padded, ';' ORDER BY place) AS src FROM ({_PADDED}) GROUP BY batch_id",
     "loss_accounting": """SELECT (SELECT count(*) FROM nested_pairs) AS read,
 (SELECT count(*) FROM nested_pairs WHERE en IS NULL OR zh IS NULL) AS rejected,
@@ -435,9 +458,9 @@ FROM steps""",
 FROM steps WHERE epoch > 1 OR (epoch = 1 AND position >= 5) GROUP BY epoch""",
     "cosine_schedule": """SELECT step, round(0.5 + 0.5 * (1 + cos(pi() * step / t)) / 2, 6) AS value
 FROM (SELECT t, unnest(range(2 * t + 1)) AS step FROM (SELECT CAST(sum(iterations) AS BIGINT) AS t FROM g_batches))""",
-    "token_accuracy": """SELECT CAST(sum(CASE WHEN y <> 0 AND ((pair_id + i) % 5 <> 0 OR y = 3) THEN 1 ELSE 0 END) AS BIGINT) AS correct,
+    "token_accuracy": """SELECT CAST(sum(CASE WHEN y <> 0 AND ((len(pair_id) + i) % 5 <> 0 OR y = 3) THEN 1 ELSE 0 END) AS BIGINT) AS correct,
 CAST(sum(CASE WHEN y <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS valid,
-round(sum(CASE WHEN y <> 0 AND ((pair_id + i) % 5 <> 0 OR y = 3) THEN 1 ELSE 0 END) / sum(CASE WHEN y <> 0 THEN 1 ELSE 0 END), 6) AS accuracy
+round(sum(CASE WHEN y <> 0 AND ((len(pair_id) + i) % 5 <> 0 OR y = 3) THEN 1 ELSE 0 END) / sum(CASE WHEN y <> 0 THEN 1 ELSE 0 END), 6) AS accuracy
 FROM (SELECT pair_id, unnest(labels) AS y, unnest(range(len(labels))) AS i FROM predictions)""",
     "smoothed_loss": f"SELECT batch_id, n_rows, {_r('loss')} FROM batch_losses",
     "epoch_loss": "SELECT round(sum(loss * n_rows) / sum(n_rows), 6) + 0.0 AS loss FROM batch_losses",
@@ -446,16 +469,16 @@ FROM (SELECT pair_id, unnest(labels) AS y, unnest(range(len(labels))) AS i FROM
 (token = 2 OR finished) AS new_finished, CAST(CASE WHEN token = 2 OR finished THEN len ELSE len + 1 END AS INTEGER) AS new_len
 FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY new_score / pow(len + 1, 0.6) DESC, beam, token) AS rn FROM live)
 WHERE rn <= 4""",
-    "repetition_penalty": """SELECT pair_id, token, round(((token % 97 - 40) / 10.0::DOUBLE) / pow(1.1, times), 6) + 0.0 AS logit
-FROM (SELECT pair_id, ids[-1] AS token, len(list_filter(ids[:len(ids) - 1], lambda x: x = ids[-1])) AS times
-      FROM (SELECT pair_id, ids FROM tgt_words) WHERE len(ids) > 0)""",
+    "repetition_penalty": """SELECT doc_id, token, round(((token % 97 - 40) / 10.0::DOUBLE) / pow(1.1, times), 6) + 0.0 AS logit
+FROM (SELECT doc_id, ids[-1] AS token, len(list_filter(ids[:len(ids) - 1], lambda x: x = ids[-1])) AS times
+      FROM doc_words WHERE len(ids) > 0)""",
     "nbest_pick": """SELECT item_id, beam, token, round(score / pow(len, 0.6), 6) + 0.0 AS final_score FROM candidates
 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score / pow(len, 0.6) DESC, beam, token) = 1""",
     "ngram_matches": "SELECT * FROM matches",
     "corpus_bleu": """SELECT * EXCLUDE (bp, geo), round(bp, 6) AS bp, round(bp * geo, 6) AS bleu FROM bleu""",
     "eval_summary": f"""SELECT (SELECT count(*) FROM bleu_tokens) AS total, (SELECT count(*) FROM scored_tokens) AS valid,
 (SELECT count(*) FROM bleu_tokens) - (SELECT count(*) FROM scored_tokens) AS discarded, round(bp * geo, 6) AS bleu FROM scored_bleu""",
-    "translate_batches": f"SELECT pair_id, src_text, {_FIFTH.format('src_text')} AS hyp_text FROM line_pairs",
+    "translate_batches": f"SELECT doc_id, text, {_FIFTH.format('text')} AS hyp_text FROM documents",
 }
 _BODIES["beam_first_step"] = f"""SELECT item_id, CAST(rn - 1 AS INTEGER) AS new_beam, beam AS from_beam, token, {_r('new_score')},
 CAST(CASE WHEN token = 2 OR finished THEN len ELSE len + 1 END AS INTEGER) AS new_len

@@ -20,7 +20,7 @@ from pairweave.operators.selection import beam_step, nbest_pick, repetition_pena
 from pairweave.operators.shuffle import shuffle_rank
 from pairweave.operators.translation import translate_batches
 from pairweave.operators.vocabulary import pair_counts, unit_counts, vocab_check, word_vocabulary
-from pairweave.plans.buckets import build_buckets
+from pairweave.plans.buckets import build_buckets, save_batch_sizes
 from pairweave.plans.preprocess import filter_max_length, loss_report, padded, piece_counts, shift_targets
 from pairweave.plans.training import epoch_order, resume_plan, training_plan
 from pairweave.session import cut_lineage
@@ -52,8 +52,20 @@ def bitext_scan(spark, sf_dir):
     folders = [fx.scratch(spark, "scan") for _ in range(2)]
     nested = fx.nested_pairs(fx.line_pairs(spark, sf_dir))
     for part, folder in enumerate(folders):
-        nested.filter(F.col("pair_id") % 2 == part).write.parquet(folder)
-    return bitext.flatten_pairs(bitext.validate_bitext(bitext.read_bitext(spark, folders), "drop"))
+        nested.filter(F.length("pair_id") % 2 == part).write.parquet(folder)
+    return bitext.flatten_pairs(bitext.validate_bitext(bitext.read_bitext(spark, folders, f"pair_id string, {bitext.RAW_SCHEMA}"), "drop"))
+
+
+@query
+def raw_bitext(spark, sf_dir):
+    """Files that hold nothing but ``translation``, in three parts of uneven size."""
+    folder = fx.scratch(spark, "raw")
+    nested = fx.nested_pairs(fx.line_pairs(spark, sf_dir))
+    part = F.length("pair_id") % 3
+    nested.select("translation", part.alias("part")).write.partitionBy("part").parquet(folder)
+    paths = [f"{folder}/part={i}" for i in sorted(r.part for r in nested.select(part.alias("part")).distinct().collect())]
+    named = bitext.with_pair_id(bitext.read_readable(spark, paths)[0])
+    return named.select("pair_id", "translation.en", "translation.zh")
 
 
 @query
@@ -107,14 +119,20 @@ def bucket_manifest(spark, sf_dir):
 
 @query
 def manifest_roundtrip(spark, sf_dir):
-    least, most = fx.cell_sizes(spark, sf_dir)
     folder = fx.scratch(spark, "store")
-    pairs = fx.length_pairs(spark, sf_dir)
-    build_buckets(spark, folder, pairs, fx.NUM_CUTS, least, most)
+    build_buckets(spark, folder, fx.length_pairs(spark, sf_dir), fx.NUM_CUTS, fx.MIN_SAMPLES, fx.MAX_SAMPLES)
     shards, _ = build_buckets(spark, folder)
     return shards
 
 
+@query
+def batch_size_saved(spark, sf_dir):
+    folder = fx.scratch(spark, "store")
+    build_buckets(spark, folder, fx.length_pairs(spark, sf_dir), fx.NUM_CUTS, fx.MIN_SAMPLES, fx.MAX_SAMPLES)
+    save_batch_sizes(spark, folder, lambda s, t: sharding.batch_size_for(s, t, fx.TOKEN_BUDGET))
+    return build_buckets(spark, folder)[0].select(*SHARD, "suggested_batch_size", "num_samples")
+
+
 @query
 def vocab_roundtrip(spark, sf_dir):
     folder = fx.scratch(spark, "vocab")
@@ -125,14 +143,15 @@ def vocab_roundtrip(spark, sf_dir):
 @query
 def metrics_log(spark, sf_dir):
     folder = fx.scratch(spark, "metrics")
-    losses = smoothed_loss(fx.token_logits(spark, sf_dir))
-    for epoch in range(2):
-        rows = losses.select(
-            F.lit(epoch).alias("epoch"), F.col("batch_id").cast("int").alias("bucket"), F.lit("train").alias("split"),
-            "loss", F.lit(0.0).alias("acc"),
-        )
-        tables.append_metrics(rows, folder)
-    return tables.read_metrics(spark, folder).select("epoch", "bucket", "split", _rounded("loss"), "acc")
+    keys = {"split": F.when(F.col("batch_id") % 5 == 4, "valid").otherwise("train"), "bucket": (F.col("batch_id") % 4).cast("int")}
+    for epoch in range(2):  # the later model is surer of what it says
+        surer = F.transform("logits", lambda x: x.cast("double") * (1 + epoch))
+        tokens = fx.token_logits(spark, sf_dir).withColumn("logits", surer).withColumns(keys)
+        losses = epoch_loss(smoothed_loss(tokens).withColumns(keys), by=list(keys))
+        guesses = tokens.select(*keys, F.array(argmax_index(F.col("logits"))).alias("preds"), F.array("label").alias("labels"))
+        both = losses.join(token_accuracy(guesses, by=list(keys)), list(keys))
+        tables.append_metrics(both.select(F.lit(epoch).alias("epoch"), "bucket", "split", "loss", F.col("accuracy").alias("acc")), folder)
+    return tables.read_metrics(spark, folder).select("epoch", "bucket", "split", _rounded("loss"), _rounded("acc"))
 
 
 @query
@@ -197,14 +216,13 @@ def bpe_encode_pairs(spark, sf_dir):
 @query(key="decode_ids")
 def decode_text(spark, sf_dir):
     model = fx.bpe_model(spark, sf_dir)
-    encoded = bpe_encode(fx.line_pairs(spark, sf_dir), model, {"ids": "src_text"})
-    return decode_ids(encoded, model.vocab, "ids", "decoded").select("pair_id", "decoded")
+    encoded = bpe_encode(fx.documents(spark, sf_dir), model, {"ids": "text"})
+    return decode_ids(encoded, model.vocab, "ids", "decoded").select("doc_id", "decoded")
 
 
 @query
 def encode_words(spark, sf_dir):
-    encoded = fx.encoded_side(fx.line_pairs(spark, sf_dir), "src_text", fx.word_vocab(spark, sf_dir))
-    return encoded.select("pair_id", joined(F.col("ids")).alias("ids"))
+    return fx.encoded_documents(spark, sf_dir).select("doc_id", joined(F.col("ids")).alias("ids"))
 
 
 @query
@@ -259,8 +277,7 @@ def shifted_pairs(spark, sf_dir):
 
 @query
 def narrow_pairs(spark, sf_dir):
-    encoded = fx.encoded_pairs(spark, sf_dir)
-    return encoded.select("pair_id", joined(narrow_ids(F.col("tgt_ids"))).alias("ids"))
+    return fx.encoded_documents(spark, sf_dir).select("doc_id", joined(narrow_ids(F.col("ids"))).alias("ids"))
 
 
 @query(key="cut_at_eos")
@@ -285,15 +302,13 @@ def batch_assign_global(spark, sf_dir):
 
 @query
 def dynamic_pad(spark, sf_dir):
-    encoded = fx.encoded_side(fx.line_pairs(spark, sf_dir), "src_text", fx.word_vocab(spark, sf_dir))
-    wide = dynamic_width(assign_batches_global(cut_lineage(encoded), 128), "ids")
-    return wide.select("pair_id", "batch_id", "width", joined(pad_to(F.col("ids"), F.col("width"))).alias("ids"))
+    wide = dynamic_width(assign_batches_global(cut_lineage(fx.encoded_documents(spark, sf_dir)), 128, "doc_id"), "ids")
+    return wide.select("doc_id", "batch_id", "width", joined(pad_to(F.col("ids"), F.col("width"))).alias("ids"))
 
 
 @query
 def stacked_batches(spark, sf_dir):
-    encoded = fx.encoded_side(fx.line_pairs(spark, sf_dir), "src_text", fx.word_vocab(spark, sf_dir))
-    wide = dynamic_width(assign_batches_global(cut_lineage(encoded), 128), "ids")
+    wide = dynamic_width(assign_batches_global(cut_lineage(fx.encoded_documents(spark, sf_dir)), 128, "doc_id"), "ids")
     flat = wide.withColumn("src", joined(pad_to(F.col("ids"), F.col("width"))))
     return stack_batches(flat, ["src"]).select("batch_id", F.array_join("src", ";").alias("src"))
 
@@ -334,7 +349,7 @@ def small_cuts(spark, sf_dir):
 def _grid(spark, sf_dir):
     pairs = fx.length_pairs(spark, sf_dir)
     grid = cells.build_grid(pairs, fx.NUM_CUTS)
-    return pairs, grid, fx.cell_sizes(spark, sf_dir)
+    return pairs, grid, (fx.MIN_SAMPLES, fx.MAX_SAMPLES)
 
 
 @query
@@ -389,16 +404,15 @@ def shard_assign(spark, sf_dir):
 @query
 def batch_assign(spark, sf_dir):
     sharded = fx.bucket_plan(spark, sf_dir).sharded
-    batches = assign_batches(sharded, 64, SHARD, ["cell_rank"])
+    batches = assign_batches(sharded, 64, fx.MAX_SAMPLES)
     return batches.select("pair_id", *SHARD, "batch_id", "batch_pos")
 
 
 def _sized_shards(spark, sf_dir):
-    least, most = fx.cell_sizes(spark, sf_dir)
     grid = cells.build_grid(fx.length_pairs(spark, sf_dir), fx.NUM_CUTS)
-    shards = sharding.manifest_from_counts(cells.valid_cells(grid, least), most)
+    shards = sharding.manifest_from_counts(cells.valid_cells(grid, fx.MIN_SAMPLES), fx.MAX_SAMPLES)
     sized = sharding.spread_batch_size(shards, lambda s, t: sharding.batch_size_for(s, t, fx.TOKEN_BUDGET))
-    return cut_lineage(sized), cells.grid_totals(grid, fx.NUM_CUTS, least, most)
+    return cut_lineage(sized), cells.grid_totals(grid, fx.NUM_CUTS, fx.MIN_SAMPLES, fx.MAX_SAMPLES)
 
 
 @query
@@ -478,6 +492,13 @@ def masked_accuracy(spark, sf_dir):
     return token_accuracy(fx.predictions(spark, sf_dir)).select("correct", "valid", _rounded("accuracy"))
 
 
+@query
+def token_accuracy_by_bucket(spark, sf_dir):
+    bucket = F.floor(F.size("labels") / 16).cast("int").alias("bucket")
+    rows = fx.predictions(spark, sf_dir).select(bucket, "preds", "labels")
+    return token_accuracy(rows, by=["bucket"]).select("bucket", "correct", "valid", _rounded("accuracy"))
+
+
 @query(key="smoothed_loss")
 def batch_loss(spark, sf_dir):
     return smoothed_loss(fx.token_logits(spark, sf_dir)).select("batch_id", "n_rows", _rounded("loss"))
@@ -509,11 +530,11 @@ def beam_first_step(spark, sf_dir):
 
 @query(key="repetition_penalty")
 def penalized_logits(spark, sf_dir):
-    inner = fx.encoded_pairs(spark, sf_dir).select("pair_id", _inner("tgt_ids").alias("ids")).filter(F.size("ids") > 0)
+    inner = fx.encoded_documents(spark, sf_dir).filter(F.size("ids") > 0)
     token, history = F.element_at("ids", -1), F.slice("ids", F.lit(1), F.size("ids") - 1)
     logit = (token % 97 - 40) / F.lit(10.0)
-    return inner.select("pair_id", token.alias("token"), repetition_penalty(logit, token, history).alias("logit")).select(
-        "pair_id", "token", _rounded("logit")
+    return inner.select("doc_id", token.alias("token"), repetition_penalty(logit, token, history).alias("logit")).select(
+        "doc_id", "token", _rounded("logit")
     )
 
 
@@ -525,7 +546,7 @@ def nbest_choice(spark, sf_dir):
 @query(key="ngram_matches")
 def sentence_matches(spark, sf_dir):
     tokens = fx.hypotheses(spark, sf_dir).select("pair_id", tokenize_zh(F.col("hyp_text")).alias("h"), tokenize_zh(F.col("ref_text")).alias("r"))
-    return ngram_matches(tokens, "h", "r").drop("h", "r")
+    return ngram_matches(tokens, "h", "r")
 
 
 @query(key="corpus_bleu")
@@ -552,5 +573,4 @@ def _fifth_word_dropper():
 
 @query(key="translate_batches")
 def translated_batches(spark, sf_dir):
-    pairs = fx.line_pairs(spark, sf_dir).select("pair_id", "src_text")
-    return translate_batches(pairs, _fifth_word_dropper, 512)
+    return translate_batches(fx.documents(spark, sf_dir), _fifth_word_dropper, 512, "doc_id", "text")

@@ -6,26 +6,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pairweave.operators.numbering import number_rows, range_slice
+from pairweave.operators.numbering import SLICE_ROWS, number_rows, range_slice
 
 
-def assign_batches(sharded: DataFrame, size: int | Column, shard: Sequence[str], order: Sequence[str]) -> DataFrame:
+def assign_batches(sharded: DataFrame, size: int | Column, max_samples: int) -> DataFrame:
     """Add ``batch_id`` and ``batch_pos`` within each shard; the tail batch is kept.
 
-    A shard holds at most one and a half times ``max_samples`` rows by construction, so a window per shard is bounded.
+    A row's place in its shard follows from its place in the cell, so this is a projection. ``max_samples`` must be the
+    shard size that ``assign_shards`` was given.
     """
     size = size if isinstance(size, Column) else F.lit(size)
-    place = F.row_number().over(Window.partitionBy(*shard).orderBy(*order)) - 1
-    numbered = sharded.withColumn("_place", place.cast("bigint"))
-    return numbered.withColumns(
-        {"batch_id": F.floor(F.col("_place") / size).cast("bigint"), "batch_pos": (F.col("_place") % size).cast("int")}
-    ).drop("_place")
+    place = F.col("cell_rank") - F.col("shard_idx") * F.lit(max_samples).cast("bigint")
+    return sharded.withColumns({"batch_id": F.floor(place / size).cast("bigint"), "batch_pos": (place % size).cast("int")})
 
 
-def assign_batches_global(df: DataFrame, size: int, key: str = "pair_id", slices: int = 1024) -> DataFrame:
-    """Batches over a whole data set in key order, numbered slice by slice rather than in one task."""
-    sliced = range_slice(df, key, "_slice", slices)
-    numbered = number_rows(sliced, [], "_slice", [key], "_place").drop("_slice")
+def assign_batches_global(df: DataFrame, size: int, key: str = "pair_id", slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Batches over a whole data set in key order (missing keys first), numbered slice by slice rather than in one task.
+
+    The key may be of any ordered type; rows with equal keys come in any order.
+    """
+    numbered = number_rows(range_slice(df, key, "_slice", slice_rows), [], "_slice", [key], "_place").drop("_slice")
     return numbered.withColumns(
         {"batch_id": F.floor(F.col("_place") / size).cast("bigint"), "batch_pos": (F.col("_place") % size).cast("int")}
     ).drop("_place")

@@ -11,30 +11,21 @@ from pairweave.functions.arrays import PAD, BOS, EOS, UNK, add_specials
 from pairweave.functions.text import byte_level_lines, normalize_text, unspell
 from pairweave.operators.vocabulary import Bpe
 
-#: Largest vocabulary that may travel with the tasks. Ids are 16-bit in stored shards, so real ones are far smaller.
-MAX_VOCABULARY = 1_000_000
-
 #: Distinct words remembered per Python worker.
 _REMEMBERED = 500_000
 
 
-def _bounded_rows(df: DataFrame, what: str):
-    rows = df.limit(MAX_VOCABULARY + 1).collect()
-    if len(rows) > MAX_VOCABULARY:
-        raise ValueError(f"{what} has more than {MAX_VOCABULARY} entries")
-    return rows
-
-
 def bpe_encoder(model: Bpe):
     """A pandas UDF from byte-level lines (one unit per line) to ids.
 
     Encoding stays where the text is: sending every word occurrence through a join with encoded distinct words would
     shuffle several times the corpus. Each worker remembers the words it has met, so merging runs once per distinct
-    word and worker. The tables that travel with the tasks are bounded by the vocabulary size.
+    word and worker. The tables that travel with the tasks are bounded by the ``vocab_size`` the model was
+    trained with.
     """
     context = model.vocab.sparkSession.sparkContext
-    ids = {r.token: r.id for r in _bounded_rows(model.vocab, "vocabulary")}
-    ranks = {(r.left, r.right): r.rank for r in _bounded_rows(model.merges, "merge list")}
+    ids = {r.token: r.id for r in model.vocab.collect()}
+    ranks = {(r.left, r.right): r.rank for r in model.merges.collect()}
     shared = context.broadcast((ids, ranks))
 
     @F.pandas_udf("array<int>")
@@ -87,14 +78,19 @@ def bpe_encode(df: DataFrame, model: Bpe, columns: dict[str, str]) -> DataFrame:
 def decode_ids(df: DataFrame, vocab: DataFrame, ids: str, out: str, spaces: bool = False) -> DataFrame:
     """Text of an id array: specials skipped, bytes joined and decoded, spaces removed unless ``spaces``.
 
-    Ids are dense, so the vocabulary is one constant array indexed by id: no join and no shuffle. Ids outside it are
-    skipped.
+    Ids are dense. The vocabulary is bounded by the ``vocab_size`` it was made with and travels with the tasks; ids outside
+    it are skipped.
     """
-    rows = sorted(_bounded_rows(vocab, "vocabulary"), key=lambda r: r.id)
+    rows = sorted(vocab.collect(), key=lambda r: r.id)
     if [r.id for r in rows] != list(range(len(rows))):
         raise ValueError("token ids must be dense from 0")
-    tokens = F.split(F.lit("\n".join(r.token for r in rows)), "\n")
-    shown = F.filter(F.col(ids), lambda i: ~i.isin(PAD, BOS, EOS, UNK) & (i >= 0) & (i < len(rows)))
-    spelled = F.array_join(F.transform(shown, lambda i: F.get(tokens, i)), "")
-    text = unspell(spelled)
+    shared = df.sparkSession.sparkContext.broadcast({r.id: r.token for r in rows if r.id not in (PAD, BOS, EOS, UNK)})
+
+    @F.pandas_udf("string")
+    def spell(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tokens = shared.value
+        for ids_of in batches:
+            yield ids_of.map(lambda found: None if found is None else "".join(tokens.get(i, "") for i in found))
+
+    text = unspell(spell(F.col(ids)))
     return df.withColumn(out, text if spaces else F.replace(text, F.lit(" "), F.lit("")))

@@ -12,12 +12,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 RANGES = "array<struct<start:int,end:int>>"
 
-#: More distinct lengths than any sentence corpus has. The histogram, never the rows, goes into the one planning task.
-MAX_DISTINCT_LENGTHS = 2_000_000
-
-#: Edges up to this length are looked up in a constant array, longer ones compared.
-MAX_TABLE_LENGTH = 100_000
-
 
 class LengthRange(NamedTuple):
     """Half-open range of lengths: ``start <= length < end``."""
@@ -51,17 +45,14 @@ def small_cuts(hist: DataFrame) -> DataFrame:
 def optimal_cuts(hist: DataFrame, num_cuts: int, by: Sequence[str] = ()) -> DataFrame:
     """Exactly ``num_cuts`` ranges ``(*by, bucket, start, end)`` with the least total padding, ties to the smallest cut.
 
-    Spark reduces the data to one row per distinct length; that histogram (checked to be small) is gathered as two
-    arrays and cut in one vectorised call. The number of lengths is bounded by the longest sentence, not by the data.
+    Spark reduces the data to one row per distinct length; that histogram is gathered as two arrays and cut in one
+    vectorised call. The number of lengths is bounded by the longest sentence, not by the data.
     ``by`` names columns of ``hist`` that separate independent histograms, such as the two sides of a grid.
     """
     entry = F.struct(F.col("len").cast("bigint").alias("len"), F.col("cnt").cast("bigint").alias("cnt"))
     gathered = hist.groupBy(*by).agg(F.array_sort(F.collect_list(entry)).alias("h"))
-    checked = F.when(
-        F.size("h") > MAX_DISTINCT_LENGTHS, F.raise_error(F.lit("too many distinct lengths for one cut plan"))
-    ).otherwise(F.col("h"))
     cut = _cuts_udf(num_cuts)(F.col("h.len"), F.col("h.cnt"))
-    ranges = gathered.select(*by, checked.alias("h")).select(*by, F.posexplode(cut).alias("bucket", "r"))
+    ranges = gathered.select(*by, F.posexplode(cut).alias("bucket", "r"))
     return ranges.select(*by, "bucket", "r.start", "r.end")
 
 
@@ -144,19 +135,12 @@ def collect_sides(cuts: DataFrame) -> tuple[list[LengthRange], list[LengthRange]
     return src, tgt
 
 
-def _by_table(length: Column, ranges: list[LengthRange], values: Sequence[int]) -> Column:
-    """The value of the range holding a length, out of one constant array indexed by length."""
-    cells = [""] * (ranges[-1].end if ranges else 0)
-    for r, value in zip(ranges, values):
-        cells[r.start : r.end] = [str(value)] * (r.end - r.start)
-    return F.get(F.split(F.lit(",".join(cells)), ",").try_cast("array<int>"), length)
-
-
-def _by_comparison(length: Column, ranges: list[LengthRange], values: Sequence[int]) -> Column:
-    """The same for ranges that reach too far for a table."""
+def range_index(length: Column, ranges: list[LengthRange]) -> Column:
+    """Index of the range that holds a length, null where none does; one comparison per range, whatever the lengths."""
+    if not ranges:
+        return F.lit(None).cast("int")
     begun = reduce(lambda a, b: a + b, [(length >= r.start).cast("int") for r in ranges])
-    inside = length < F.get(F.lit([r.end for r in ranges]), begun - 1)
-    return F.when(inside, F.get(F.lit(list(values)), begun - 1))
+    return F.when(length < F.get(F.lit([r.end for r in ranges]), begun - 1), begun - 1)
 
 
 def assign_range(df: DataFrame, length: str, ranges: list[LengthRange], prefix: str) -> DataFrame:
@@ -165,6 +149,8 @@ def assign_range(df: DataFrame, length: str, ranges: list[LengthRange], prefix:
     A projection over constants: no join and no shuffle. ``ranges`` must be sorted. (``get`` is used because
     ``element_at`` is not null-safe in its index under ANSI mode.)
     """
-    place = _by_table if not ranges or ranges[-1].end <= MAX_TABLE_LENGTH else _by_comparison
-    values = {"bucket": range(len(ranges)), "start": [r.start for r in ranges], "end": [r.end for r in ranges]}
-    return df.withColumns({f"{prefix}_{name}": place(F.col(length), ranges, v) for name, v in values.items()})
+    bucket = F.col(f"{prefix}_bucket")
+    ends = {"start": [r.start for r in ranges] or [None], "end": [r.end for r in ranges] or [None]}
+    edge = lambda values: F.get(F.array(*[F.lit(v).cast("int") for v in values]), bucket)
+    placed = df.withColumn(f"{prefix}_bucket", range_index(F.col(length), ranges))
+    return placed.withColumns({f"{prefix}_{name}": edge(values) for name, values in ends.items()})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairweave.functions.arrays import PAD
@@ -10,8 +12,8 @@ LABEL_SMOOTHING = 0.03
 
 
 def row_correct(preds: Column, labels: Column, pad: int = PAD) -> Column:
-    """Positions of one row that are not padding and predicted right."""
-    hits = F.zip_with(preds, labels, lambda p, y: ((y != pad) & (p == y)).cast("bigint"))
+    """Positions of one row that are not padding and predicted right; a missing prediction is wrong."""
+    hits = F.zip_with(preds, labels, lambda p, y: F.coalesce((y != pad) & (p == y), F.lit(False)).cast("bigint"))
     return F.aggregate(hits, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
@@ -20,9 +22,9 @@ def row_valid(labels: Column, pad: int = PAD) -> Column:
     return F.size(F.filter(labels, lambda y: y != pad)).cast("bigint")
 
 
-def token_accuracy(preds: DataFrame, pad: int = PAD) -> DataFrame:
-    """One row: right tokens over non-padding tokens, 0 when there are none."""
-    sums = preds.agg(
+def token_accuracy(preds: DataFrame, pad: int = PAD, by: Sequence[str] = ()) -> DataFrame:
+    """Right tokens over non-padding tokens, 0 when there are none: one row, or one per value of ``by``."""
+    sums = preds.groupBy(*by).agg(
         F.coalesce(F.sum(row_correct(F.col("preds"), F.col("labels"), pad)), F.lit(0)).alias("correct"),
         F.coalesce(F.sum(row_valid(F.col("labels"), pad)), F.lit(0)).alias("valid"),
     )
@@ -55,6 +57,10 @@ def smoothed_loss(tokens: DataFrame, eps: float = LABEL_SMOOTHING, ignore: int =
     )
 
 
-def epoch_loss(batches: DataFrame) -> DataFrame:
-    """One row: batch losses weighted by their sentence counts, which is not the mean over tokens."""
-    return batches.agg(F.try_divide(F.sum(F.col("loss") * F.col("n_rows")), F.sum("n_rows")).alias("loss"))
+def epoch_loss(batches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Batch losses weighted by their sentence counts, which is not the mean over tokens: one row, or one per value of ``by``.
+
+    Batches without a loss (only padding) count neither above nor below; the loss is null where no batch has one.
+    """
+    weight = F.when(F.col("loss").isNotNull(), F.col("n_rows"))
+    return batches.groupBy(*by).agg(F.try_divide(F.sum(F.col("loss") * weight), F.sum(weight)).alias("loss"))

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Slices used when the size of a group is not known beforehand; 16 bits of a hash key.
-DEFAULT_SLICES = 65_536
+#: Rows that one slice, and so one window, holds on average.
+SLICE_ROWS = 100_000
 
 
 def hash_key(seed: int | Column, *keys: Column | str) -> Column:
@@ -23,13 +24,18 @@ def hash_key(seed: int | Column, *keys: Column | str) -> Column:
     return F.md5(F.concat_ws(":", seed.cast("string"), *[F.col(k) if isinstance(k, str) else k for k in keys]))
 
 
-def hash_slice(key: Column, slices: int | Column = DEFAULT_SLICES) -> Column:
+def hash_slice(key: Column, slices: int | Column) -> Column:
     """Slice number of a hexadecimal hash key, monotone in the key, so equal shares of the key space."""
     head = F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint")
     slices = slices if isinstance(slices, Column) else F.lit(slices)
     return F.shiftrightunsigned(head * slices.cast("bigint"), 32).cast("int")
 
 
+def slices_for(rows: int) -> int:
+    """How many slices ``rows`` rows are cut into."""
+    return max(1, -(-rows // SLICE_ROWS))
+
+
 def number_rows(
     df: DataFrame,
     groups: Sequence[str],
@@ -66,16 +72,24 @@ def number_rows(
     return joined.withColumns(added).drop("_offset", *[f"_from_{o}" for o in running])
 
 
-def range_slice(df: DataFrame, key: str, out: str, slices: int) -> DataFrame:
-    """Add ``out``, the slice of a numeric key by approximate quantiles, for orders that are not hashes.
+def range_slice(df: DataFrame, key: str, out: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Add ``out``, the slice of a key of any ordered type, so that a slice has about ``slice_rows`` rows.
 
-    The quantiles come from one mergeable sketch; their number, not the data, bounds what reaches the driver. Any
-    boundaries give right results, better ones only give more even slices. Lookup is a binary search per row.
+    The cuts are taken from the keys with the least hashes, 20 for each slice and at most a million, which is what
+    reaches the driver. Any cuts give right results, better ones only give more even slices. Missing keys are in the first.
     """
-    shares = [i / slices for i in range(1, slices)]
-    cuts = sorted(set(df.approxQuantile(key, shares, 0.5 / slices))) if shares else []
-    if not cuts:
+    slices = max(1, -(-df.count() // slice_rows))
+    if slices == 1:
         return df.withColumn(out, F.lit(0))
-    keyed = df.withColumn("_key", F.col(key).cast("double"))
-    bucketizer = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="_key", outputCol=out)
-    return bucketizer.transform(keyed).drop("_key").withColumn(out, F.col(out).cast("int"))
+    sample = df.select(key).filter(F.col(key).isNotNull()).orderBy(F.xxhash64(key), key).limit(min(20 * slices, 1_000_000))
+    keys = np.array(sorted(r[0] for r in sample.collect()), dtype=object)
+    cuts = df.sparkSession.sparkContext.broadcast(keys[np.unique(np.arange(1, slices) * len(keys) // slices)] if len(keys) else keys)
+
+    @F.pandas_udf("int")
+    def place(values: pd.Series) -> pd.Series:
+        there = values.notna()
+        found = np.zeros(len(values), np.int32)
+        found[there] = np.searchsorted(cuts.value, values[there].to_numpy(object), "right")
+        return pd.Series(found)
+
+    return df.withColumn(out, place(key))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_ORDER = 4
@@ -34,50 +36,39 @@ def tokenize_zh(text: Column) -> Column:
     return F.filter(F.split(marked, r"\s+"), lambda t: t != "")
 
 
-def _ngrams_of(tokens: Column, n: int) -> Column:
-    size = F.size(tokens)
-    starts = F.when(size >= n, F.sequence(F.lit(1), size - (n - 1)))
-    gram = lambda i: F.struct(F.lit(n).alias("n"), F.array_join(F.slice(tokens, i, F.lit(n)), " ").alias("gram"))
-    return F.coalesce(F.transform(starts, gram), F.array().cast("array<struct<n:int,gram:string>>"))
+def _count_grams(order: int):
+    """A pandas UDF of two token arrays: clipped matches of each order, totals of each order, and both lengths."""
 
+    @F.pandas_udf("array<bigint>")
+    def count(hyps: pd.Series, refs: pd.Series) -> pd.Series:
+        return pd.Series([gram_counts(list(h), list(r), order) for h, r in zip(hyps, refs)])
 
-def ngrams(tokens: Column, order: int = MAX_ORDER) -> Column:
-    """All n-grams of a token array up to ``order``, as ``(n, gram)``; tokens hold no spaces, so a gram joins them."""
-    return F.concat(*[_ngrams_of(tokens, n) for n in range(1, order + 1)])
+    return count
 
 
-def gram_counts(df: DataFrame, key: str, hyp: str, ref: str, order: int = MAX_ORDER) -> DataFrame:
-    """``(key, n, matches, total)`` per pair and n: clipped matches and n-grams of the hypothesis.
-
-    ``hyp`` and ``ref`` are token arrays. The pairs are shuffled by key while they are still compact; the grams are
-    made, counted and clipped inside those partitions, so no gram is ever shuffled. Hash aggregation may spill.
-    """
-    placed = df.select(key, hyp, ref).repartition(key)
-    sides = F.array(
-        F.struct(F.lit(1).alias("h"), F.lit(0).alias("r"), F.col(hyp).alias("tokens")),
-        F.struct(F.lit(0).alias("h"), F.lit(1).alias("r"), F.col(ref).alias("tokens")),
-    )
-    each = placed.select(key, F.explode(sides).alias("s")).select(key, "s.h", "s.r", F.col("s.tokens").alias("tokens"))
-    grams = each.select(key, "h", "r", F.explode(ngrams(F.col("tokens"), order)).alias("g"))
-    counted = grams.groupBy(key, "g.n", "g.gram").agg(F.sum("h").alias("h"), F.sum("r").alias("r"))
-    return counted.groupBy(key, "n").agg(F.sum(F.least("h", "r")).alias("matches"), F.sum("h").alias("total"))
+def gram_counts(hyp: list[str], ref: list[str], order: int = MAX_ORDER) -> list[int]:
+    """Clipped n-gram matches for n up to ``order``, n-grams of ``hyp`` for each n, and the two lengths."""
+    matches, totals = [], []
+    for n in range(1, order + 1):
+        sides = [Counter(zip(*(tokens[i:] for i in range(n)))) for tokens in (hyp, ref)]
+        matches.append((sides[0] & sides[1]).total())
+        totals.append(sides[0].total())
+    return [*matches, *totals, len(hyp), len(ref)]
 
 
-def _by_order(order: int) -> list[Column]:
-    return [
-        F.coalesce(F.sum(F.when(F.col("n") == n, F.col(source))), F.lit(0)).cast("bigint").alias(f"{name}_{n}")
-        for name, source in (("correct", "matches"), ("total", "total"))
-        for n in range(1, order + 1)
-    ]
+def _count_names(order: int) -> list[str]:
+    return [f"{kind}_{n}" for kind in ("correct", "total") for n in range(1, order + 1)] + ["hyp_len", "ref_len"]
 
 
 def ngram_matches(df: DataFrame, hyp: str, ref: str, key: str = "pair_id", order: int = MAX_ORDER) -> DataFrame:
-    """Per pair: ``correct_n`` and ``total_n`` for each n, and token counts ``hyp_len`` and ``ref_len``."""
-    counts = gram_counts(df, key, hyp, ref, order).groupBy(key).agg(*_by_order(order))
-    sizes = df.select(key, F.size(hyp).cast("bigint").alias("hyp_len"), F.size(ref).cast("bigint").alias("ref_len"))
-    joined = sizes.join(counts, key, "left")
-    names = [f"{kind}_{n}" for kind in ("correct", "total") for n in range(1, order + 1)]
-    return joined.fillna(0, names).select(key, *names, "hyp_len", "ref_len")
+    """Per pair: ``correct_n`` and ``total_n`` for each n, and token counts ``hyp_len`` and ``ref_len``.
+
+    ``hyp`` and ``ref`` are token arrays of one row, so everything is counted where the row lies; nothing is shuffled.
+    A missing side counts as no tokens.
+    """
+    none = F.array().cast("array<string>")
+    counted = df.select(key, _count_grams(order)(F.coalesce(hyp, none), F.coalesce(ref, none)).alias("_counts"))
+    return counted.select(key, *[F.col("_counts")[i].alias(name) for i, name in enumerate(_count_names(order))])
 
 
 def bleu_from_sums(sums: DataFrame, order: int = MAX_ORDER, floor: float = FLOOR) -> DataFrame:
@@ -107,13 +98,8 @@ def corpus_bleu(
 ) -> DataFrame:
     """One row of corpus BLEU with one reference per hypothesis: summed counts, precisions and score."""
     tokens = df.select(key, tokenize(F.col(hyp)).alias("_hyp"), tokenize(F.col(ref)).alias("_ref"))
-    one = F.lit(1).alias("_k")
-    sums = gram_counts(tokens, key, "_hyp", "_ref").agg(*_by_order(MAX_ORDER), one)
-    sizes = tokens.agg(
-        *[F.coalesce(F.sum(F.size(c)), F.lit(0)).cast("bigint").alias(name) for c, name in (("_hyp", "hyp_len"), ("_ref", "ref_len"))],
-        one,
-    )
-    return bleu_from_sums(sums.join(sizes, "_k").drop("_k"))
+    counts = ngram_matches(tokens, "_hyp", "_ref", key)
+    return bleu_from_sums(counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in _count_names(MAX_ORDER)]))
 
 
 def split_by_source_length(df: DataFrame, ids: str = "src_ids", max_length: int = 128) -> DataFrame:

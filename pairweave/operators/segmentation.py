@@ -11,9 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 #: A run of Han characters; other text is left as it is.
 HAN_RUN = r"\p{IsHan}+"
 
-#: Dictionaries up to this many words travel with the tasks; larger ones are joined.
-MAX_SHARED_WORDS = 2_000_000
-
 
 def best_path(run: str, score: Callable[[str], float | None], longest: int, unknown: float) -> list[str]:
     """The segmentation of ``run`` with the highest total score; single characters are always allowed.
@@ -42,12 +39,10 @@ def best_path(run: str, score: Callable[[str], float | None], longest: int, unkn
 def segment_runs(df: DataFrame, text: str, dictionary: DataFrame, out: str, run: str = HAN_RUN) -> DataFrame:
     """Add ``out``: ``text`` with a space between the words of each run, by best path over ``dictionary(word, cnt)``.
 
-    With a dictionary of checked size the text is not moved at all. A larger one is joined instead, see
-    ``segment_runs_joined``; both give the same words.
+    A dictionary is a fixed resource, like a vocabulary: it has as many words as it was made with, whatever the texts. It
+    travels with the tasks, so no text is moved. With an empty one every character is a word.
     """
-    rows = dictionary.select("word", "cnt").limit(MAX_SHARED_WORDS + 1).collect()
-    if len(rows) > MAX_SHARED_WORDS:
-        return segment_runs_joined(df, text, dictionary, out, run)
+    rows = dictionary.select("word", "cnt").collect()
     total = sum(r.cnt for r in rows)
     scores = {r.word: math.log(r.cnt / total) for r in rows}
     longest = max((len(w) for w in scores), default=1)
@@ -73,45 +68,3 @@ def _rejoin(text: Column, runs: Column, run: str) -> Column:
     woven = F.zip_with(around, runs, lambda a, r: F.concat(a, F.coalesce(F.concat(F.lit(edge), r, F.lit(edge)), F.lit(""))))
     no_space = F.regexp_replace(F.array_join(woven, ""), rf"(?<=^|\s){edge}|{edge}(?=\s|$)", "")
     return F.replace(no_space, F.lit(edge), F.lit(" "))
-
-
-def segment_runs_joined(df: DataFrame, text: str, dictionary: DataFrame, out: str, run: str = HAN_RUN) -> DataFrame:
-    """``segment_runs`` for a dictionary too large to share.
-
-    Distinct runs are segmented once: their distinct substrings are matched with the dictionary by a hash join, the
-    matches of one run (bounded by its length) are gathered, and the results are joined back by run.
-    """
-    stats = dictionary.agg(F.sum("cnt").alias("total"), F.max(F.char_length("word")).alias("longest")).first()
-    total, longest = stats.total, stats.longest
-    keyed = df.withColumn("_text", F.col(text))
-    texts = keyed.select("_text").distinct()
-    placed = texts.select("_text", F.posexplode(F.regexp_extract_all("_text", F.lit(run), F.lit(0))).alias("_pos", "_run"))
-    runs = placed.select("_run").distinct()
-    starts = runs.select("_run", F.explode(F.sequence(F.lit(1), F.char_length("_run"))).alias("_start"))
-    sizes = starts.select(
-        "_run",
-        F.explode(
-            F.sequence(F.lit(1), F.least(F.lit(longest), F.char_length("_run") - F.col("_start") + 1))
-        ).alias("_size"),
-        "_start",
-    )
-    pieces = sizes.select("_run", F.substring("_run", F.col("_start"), F.col("_size")).alias("word")).distinct()
-    matched = pieces.join(dictionary.select("word", "cnt"), "word", "left").groupBy("_run").agg(
-        F.collect_list(F.when(F.col("cnt").isNotNull(), F.struct("word", "cnt"))).alias("known")
-    )
-    unknown = math.log(1 / max(total, 1))
-
-    @F.pandas_udf("string")
-    def split_run(run_texts: pd.Series, words: pd.Series, counts: pd.Series) -> pd.Series:
-        def one(text, ws, cs):
-            scores = {w: math.log(c / total) for w, c in zip(ws, cs)}
-            return " ".join(best_path(text, scores.get, longest, unknown))
-
-        return pd.Series([one(*args) for args in zip(run_texts, words, counts)])
-
-    cut = matched.select("_run", split_run("_run", F.col("known.word"), F.col("known.cnt")).alias("_cut"))
-    ordered = F.array_sort(F.collect_list(F.struct("_pos", "_cut")))
-    per_text = placed.join(cut, "_run").groupBy("_text").agg(ordered["_cut"].alias("_runs"))
-    joined = keyed.join(per_text, "_text", "left")
-    none = F.array().cast("array<string>")
-    return joined.withColumn(out, _rejoin(F.col(text), F.coalesce("_runs", none), run)).drop("_text", "_runs")

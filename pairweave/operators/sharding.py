@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pairweave.operators.cells import CELL
-from pairweave.operators.numbering import hash_key, hash_slice, number_rows
+from pairweave.operators.numbering import SLICE_ROWS, hash_key, hash_slice, number_rows
 
 #: Token positions per batch; close to what the published run used over its cells.
 DEFAULT_TOKEN_BUDGET = 116_000
@@ -24,13 +24,13 @@ def shard_count(n: Column, max_samples: int) -> Column:
 def assign_shards(placed: DataFrame, cells: DataFrame, max_samples: int, key: str = "pair_id", seed: int = 42) -> DataFrame:
     """Add ``cell_rank`` (place in the seeded order of the cell), ``num_shards`` and ``shard_idx``; drop other cells.
 
-    The cell counts are known, so each cell is cut into as many slices as it has shards: the largest cell becomes many
-    window groups of about ``max_samples`` rows. ``cells`` has at most ``num_cuts`` squared rows and is broadcast.
+    The cell counts are known, so each cell is cut into slices of a fixed number of rows (of ``max_samples`` if that is
+    less), however large its shards are. ``cells`` has at most ``num_cuts`` squared rows and is broadcast.
     """
     sized = cells.select(
         *CELL,
         shard_count(F.col("n"), max_samples).alias("num_shards"),
-        F.greatest(F.lit(1), F.ceil(F.col("n") / max_samples)).cast("int").alias("_slices"),
+        F.greatest(F.lit(1), F.ceil(F.col("n") / min(max_samples, SLICE_ROWS))).cast("int").alias("_slices"),
     )
     keyed = placed.join(F.broadcast(sized), CELL).withColumn("shuffle_key", hash_key(seed, key))
     keyed = keyed.withColumn("_slice", hash_slice(F.col("shuffle_key"), F.col("_slices")))
@@ -49,7 +49,7 @@ def shard_manifest(sharded: DataFrame) -> DataFrame:
 def manifest_from_counts(cells: DataFrame, max_samples: int) -> DataFrame:
     """The same manifest from cell counts alone, so that writing it needs no further pass over the data."""
     sized = cells.withColumn("num_shards", shard_count(F.col("n"), max_samples))
-    each = sized.withColumn("shard_idx", F.explode(F.sequence(F.lit(0), F.col("num_shards") - 1)))
+    each = sized.withColumn("shard_idx", F.explode(F.when(F.col("num_shards") > 0, F.sequence(F.lit(0), F.col("num_shards") - 1))))
     first = F.col("shard_idx") * F.lit(max_samples).cast("bigint")
     size = F.when(F.col("shard_idx") == F.col("num_shards") - 1, F.col("n") - first).otherwise(F.lit(max_samples))
     return each.select(
@@ -92,7 +92,7 @@ def plan_complete(shards: DataFrame) -> DataFrame:
 def scaled_batch(batch_size: Column, safety: float) -> Column:
     """Batch size after the safety factor; an error when nothing is left of it."""
     scaled = F.floor(batch_size * F.lit(float(safety)))
-    message = F.lit("batch size must be positive: run spread_batch_size first")
+    message = F.lit("a shard has no batch size; spread_batch_size sets them")
     return F.when(scaled > 0, scaled).otherwise(F.raise_error(message).cast("bigint"))
 
 

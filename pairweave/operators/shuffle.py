@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pairweave.operators.numbering import DEFAULT_SLICES, hash_key, hash_slice, number_rows
+from pairweave.operators.numbering import hash_key, hash_slice, number_rows, slices_for
 
 
 def seeded_shuffle(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
@@ -12,8 +12,8 @@ def seeded_shuffle(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return df.withColumn("shuffle_key", hash_key(seed, key)).orderBy("shuffle_key", key)
 
 
-def shuffle_rank(df: DataFrame, key: str, seed: int = 42, slices: int = DEFAULT_SLICES) -> DataFrame:
+def shuffle_rank(df: DataFrame, key: str, seed: int = 42, slices: int | None = None) -> DataFrame:
     """Add ``shuffle_rank``, each row's 0-based place in the seeded order, without sorting everything in one task."""
     keyed = df.withColumn("shuffle_key", hash_key(seed, key))
-    keyed = keyed.withColumn("_slice", hash_slice(F.col("shuffle_key"), slices))
+    keyed = keyed.withColumn("_slice", hash_slice(F.col("shuffle_key"), slices or slices_for(df.count())))
     return number_rows(keyed, [], "_slice", ["shuffle_key", key], "shuffle_rank").drop("_slice")

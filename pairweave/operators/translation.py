@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -17,21 +18,30 @@ def translate_batches(
 ) -> DataFrame:
     """Add ``hyp_text``. Rows are range-partitioned by source length, so a batch holds sentences of similar length.
 
-    The key is part of the range, which splits a length that a large share of all sentences has.
+    The key is part of the range, which splits a length that a large share of all sentences has. Batches run across the
+    frames of a task, so only its last one is smaller. A missing source gives a missing translation.
     """
     sized = df.withColumn("_len", F.char_length(source))
     sorted_rows = sized.repartitionByRange("_len", key).sortWithinPartitions("_len", key).drop("_len")
     schema = StructType([*sorted_rows.schema.fields, StructField("hyp_text", StringType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        translate = None
-        for frame in frames:
+        translate, left = None, None
+        for frame in itertools.chain(frames, [None]):
+            if frame is not None:
+                left = frame if left is None else pd.concat([left, frame], ignore_index=True)
+            if left is None or frame is not None and len(left) < batch_size:
+                continue
             if translate is None:
                 translate = translator()
-            texts = frame[source].tolist()
-            out: list[str] = []
-            for start in range(0, len(texts), batch_size):
-                out.extend(translate(texts[start : start + batch_size]))
-            yield frame.assign(hyp_text=out)
+            whole = len(left) if frame is None else len(left) - len(left) % batch_size
+            for start in range(0, whole, batch_size):
+                part = left.iloc[start : min(start + batch_size, whole)]
+                there = part[source].notna()
+                out = pd.Series([None] * len(part), index=part.index, dtype=object)
+                if there.any():
+                    out[there] = translate(part.loc[there, source].tolist())
+                yield part.assign(hyp_text=out)
+            left = left.iloc[whole:] if whole < len(left) else None
 
     return sorted_rows.mapInPandas(run, schema)

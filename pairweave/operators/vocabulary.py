@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pairweave.functions.arrays import SPECIAL_TOKENS, UNK
@@ -217,17 +219,26 @@ def _certain_prefix(ranked: list[tuple[str, int]], unseen: int, tokens: list[str
     return [pair for i, (pair, count) in enumerate(ranked[:stop]) if i == 0 or count > bound]
 
 
-def lookup_ids(df: DataFrame, key: str, tokens: str, vocab: DataFrame, unknown: int = UNK) -> DataFrame:
-    """Ids of an array of tokens, ``(key, ids)``; tokens outside the vocabulary become ``unknown``.
+def id_lookup(vocab: DataFrame, unknown: int = UNK):
+    """A pandas UDF from a token array to its ids; tokens outside the vocabulary become ``unknown``.
 
-    The vocabulary is bounded by its size and is broadcast. Each row's ids are gathered before the shuffle, which
-    carries one short array per row. Rows without tokens keep an empty array.
+    The vocabulary is bounded by the ``vocab_size`` it was made with, and travels with the tasks, so the tokens stay in their row.
     """
-    each = df.select(key, F.posexplode_outer(tokens).alias("pos", "token"))
-    found = each.join(F.broadcast(vocab.select("token", "id")), "token", "left")
-    known = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(unknown)).alias("id")))
-    gathered = found.groupBy(key).agg(F.array_sort(F.collect_list(known)).alias("p"))
-    return gathered.select(key, F.col("p.id").alias("ids"))
+    ids = {r.token: r.id for r in vocab.select("token", "id").collect()}
+    shared = vocab.sparkSession.sparkContext.broadcast(ids)
+
+    @F.pandas_udf("array<int>")
+    def look_up(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = shared.value
+        for rows in batches:
+            yield rows.map(lambda tokens: None if tokens is None else [known.get(t, unknown) for t in tokens])
+
+    return look_up
+
+
+def lookup_ids(df: DataFrame, key: str, tokens: str, vocab: DataFrame, unknown: int = UNK) -> DataFrame:
+    """Ids of an array of tokens, ``(key, ids)``. Rows without tokens keep an empty array."""
+    return df.select(key, id_lookup(vocab, unknown)(F.coalesce(tokens, F.array().cast("array<string>"))).alias("ids"))
 
 
 def vocab_check(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from pairweave.operators.cells import assign_cell, build_grid, grid_totals, valid_cells
-from pairweave.operators.sharding import assign_shards, manifest_from_counts
-from pairweave.session import cut_lineage
-from pairweave.sources.manifest import load_manifest, manifest_exists, write_manifest
+from pairweave.operators.sharding import assign_shards, batch_size_for, manifest_from_counts, spread_batch_size
+from pairweave.session import cut_lineage, remove
+from pairweave.sources.manifest import load_manifest, manifest_exists, read_pointer, write_manifest
 from pairweave.sources.shards import write_shards
 
 
@@ -48,15 +50,32 @@ def build_buckets(
     """``(shards, totals)`` of the bucket store at ``path``.
 
     A complete store is loaded unless ``force_rebuild``; otherwise ``pairs`` are bucketed and written. Without pairs
-    and without a store the call fails. The manifest is written last, so an interrupted build is not taken for one.
+    and without a store the call fails. Every build writes a data folder of its own, and the manifest names it: until the
+    manifest is in place readers see the old build, data and all, or none.
     """
     if not path:
         raise ValueError("path cannot be empty")
     exists = manifest_exists(spark, f"{path}/manifest")
     if pairs is None and not exists:
-        raise FileNotFoundError(f"no bucket store at {path}")
+        raise FileNotFoundError(f"{path} holds no shards, and no pairs were given to make them from")
     if pairs is not None and (force_rebuild or not exists):
+        before = data_path(spark, path) if exists else None
         plan = plan_buckets(pairs, num_cuts, min_samples, max_samples)
-        write_shards(plan.sharded, f"{path}/data", mode="overwrite")
-        write_manifest(plan.shards, plan.totals, f"{path}/manifest")
+        build = f"data-{uuid.uuid4().hex}"
+        write_shards(plan.sharded, f"{path}/{build}")
+        write_manifest(plan.shards, plan.totals, f"{path}/manifest", build)
+        if before:
+            remove(spark, before)
     return load_manifest(spark, f"{path}/manifest")
+
+
+def data_path(spark: SparkSession, path: str) -> str:
+    """The folder with the shards of the store at ``path``."""
+    return f"{path}/{read_pointer(spark, f'{path}/manifest')[1]}"
+
+
+def save_batch_sizes(spark: SparkSession, path: str, size: Callable[[Column, Column], Column] = batch_size_for) -> DataFrame:
+    """Work out the batch size of every shard of the store at ``path``, save them in its manifest, and return the shards."""
+    shards, totals = load_manifest(spark, f"{path}/manifest")
+    write_manifest(spread_batch_size(shards, size), totals, f"{path}/manifest")
+    return load_manifest(spark, f"{path}/manifest")[0]

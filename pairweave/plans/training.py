@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pairweave.functions.schedule import lr_at, teacher_ratio
-from pairweave.operators.numbering import hash_key, hash_slice, number_rows
+from pairweave.operators.numbering import hash_key, hash_slice, number_rows, slices_for
 from pairweave.operators.sharding import shard_iterations
 
-#: Slices of one reshuffled epoch; a manifest has one row per shard, so this leaves each slice small.
-EPOCH_SLICES = 4096
 
 
 def epoch_order(shards: DataFrame, epochs: int, seed: int = 42, safety: float = 0.75) -> DataFrame:
@@ -18,7 +16,7 @@ def epoch_order(shards: DataFrame, epochs: int, seed: int = 42, safety: float =
     Epoch 0 goes from short to long; each later epoch is a seeded shuffle of its own. Positions are numbered slice by
     slice: in epoch 0 a slice is one target start, later a share of the hash keys.
     """
-    each = shards.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+    each = shards.withColumn("epoch", F.explode(F.lit(list(range(epochs))) if epochs > 0 else F.array().cast("array<int>")))
     mixed = hash_key(F.concat_ws(":", F.lit(seed), "epoch"), "src_start", "tgt_start", "shard_idx")
     first = F.concat_ws(":", *[F.lpad(F.col(c).cast("string"), 10, "0") for c in ("tgt_start", "src_start", "shard_idx")])
     keyed = each.withColumns(
@@ -28,7 +26,7 @@ def epoch_order(shards: DataFrame, epochs: int, seed: int = 42, safety: float =
         }
     )
     keyed = keyed.withColumn(
-        "_slice", F.when(F.col("epoch") == 0, F.col("tgt_start")).otherwise(hash_slice(mixed, EPOCH_SLICES))
+        "_slice", F.when(F.col("epoch") == 0, F.col("tgt_start")).otherwise(hash_slice(mixed, slices_for(shards.count())))
     )
     numbered = number_rows(
         keyed, ["epoch"], "_slice", ["_key"], "position", running={"steps_before": "iterations"}
@@ -39,7 +37,7 @@ def epoch_order(shards: DataFrame, epochs: int, seed: int = 42, safety: float =
 def training_plan(shards: DataFrame, epochs: int = 12, seed: int = 42, safety: float = 0.75) -> DataFrame:
     """One row per batch: epoch, shard position, batch in the shard, global step, learning rate and teacher ratio.
 
-    Every epoch has the same number of steps, so the global step is the epoch's offset plus the steps before the shard.
+    No epochs give no rows, and a shard without rows no batches. Every epoch has the same number of steps, so the global step is the epoch's offset plus the steps before the shard.
     """
     ordered = epoch_order(shards, epochs, seed, safety)
     total = shards.agg(
@@ -47,7 +45,7 @@ def training_plan(shards: DataFrame, epochs: int = 12, seed: int = 42, safety: f
         F.lit(1).alias("_k"),
     )
     each = ordered.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k").drop("_k")
-    steps = each.withColumn("batch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("iterations") - 1)))
+    steps = each.withColumn("batch", F.explode(F.when(F.col("iterations") > 0, F.sequence(F.lit(0).cast("bigint"), F.col("iterations") - 1))))
     inside = F.col("steps_before") + F.col("batch")
     return steps.withColumns(
         {

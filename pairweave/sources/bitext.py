@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 PAIR_SCHEMA = "pair_id bigint, translation struct<en:string,zh:string>"
+RAW_SCHEMA = "translation struct<en:string,zh:string>"
 
 
 def read_bitext(spark: SparkSession, paths: str | Sequence[str], schema: str = PAIR_SCHEMA) -> DataFrame:
@@ -16,6 +18,48 @@ def read_bitext(spark: SparkSession, paths: str | Sequence[str], schema: str = P
     return spark.read.schema(schema).parquet(*paths)
 
 
+def with_pair_id(raw: DataFrame) -> DataFrame:
+    """``(pair_id, translation)`` of raw pairs, which have no ids.
+
+    The id is a hash of both sentences and, for pairs that occur more than once, their number. It does not depend on how
+    the pairs are spread over files. Equal pairs are counted before they are shuffled and numbered where they meet, so a
+    pair that makes up much of the data is one row on the way.
+    """
+    counted = raw.groupBy(F.col("translation.en").alias("en"), F.col("translation.zh").alias("zh")).agg(F.count(F.lit(1)).alias("_n"))
+    each = counted.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)))
+    part = lambda c: F.coalesce(F.concat(F.lit("+"), c), F.lit("-"))
+    content = F.md5(F.concat(F.char_length(part("en")).cast("string"), part("en"), part("zh")))
+    return each.select(F.concat_ws(":", content, "_copy").alias("pair_id"), F.struct("en", "zh").alias("translation"))
+
+
+def require_unique_ids(df: DataFrame, key: str = "pair_id") -> None:
+    """Raise ``ValueError`` if an id is missing or occurs twice."""
+    bad = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col(key).isNull() | (F.col("n") > 1)).limit(5).collect()
+    if bad:
+        raise ValueError(f"missing or repeated ids, such as {[r[key] for r in bad]}")
+
+
+def unreadable_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """Files that are no Parquet files, by the marker at their ends; the two ends are all that is looked at.
+
+    One row per file is made, in parallel, and only the names of broken ones are returned.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(paths)
+    marker = F.lit(b"PAR1")
+    whole = (F.col("length") >= 12) & (F.substring("content", 1, 4) == marker) & (F.substring("content", -4, 4) == marker)
+    return sorted(r.path for r in files.filter(~whole).select("path").collect())
+
+
+def read_readable(spark: SparkSession, paths: str | Sequence[str], schema: str = RAW_SCHEMA) -> tuple[DataFrame, int]:
+    """The pairs of all readable files, and how many files were left out."""
+    broken = unreadable_files(spark, paths)
+    for path in broken:
+        warnings.warn(f"left out: {path}", stacklevel=2)
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(*paths), len(broken)
+
+
 def require_fields(df: DataFrame, fields: Sequence[str] = ("en", "zh")) -> None:
     """Raise ``ValueError`` unless ``translation`` is a struct with the given fields."""
     kind = df.schema["translation"].dataType if "translation" in df.columns else None

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pairweave.functions import arrays
 from pairweave.functions.schedule import cosine_anneal, teacher_ratio
+from pairweave.operators.cells import CELL
 from pairweave.operators.metrics import epoch_loss, smoothed_loss, token_accuracy
 from pairweave.operators.scoring import corpus_bleu, ngram_matches, split_by_source_length, tokenize_zh
 from pairweave.operators.selection import beam_step, nbest_pick, repetition_penalty
@@ -110,11 +111,32 @@ def test_matches_are_clipped_and_summed_over_pairs(spark):
     assert (rows[1].correct_1, rows[1].correct_2, rows[1].total_3) == (2, 1, 0)
 
 
-def test_grams_are_not_shuffled(spark):
-    frame = pairs(spark, [("a b", "a b")]).select("pair_id", F.split("hyp_text", " ").alias("h"), F.split("ref_text", " ").alias("r"))
-    plan = ngram_matches(frame, "h", "r")._jdf.queryExecution().executedPlan().toString()
-    # One exchange for the pairs and one for their sizes, none for grams.
-    assert plan.count("Exchange hashpartitioning(pair_id") == 2 and plan.count("Exchange") == 2
+def test_only_sums_are_shuffled(spark):
+    frame = pairs(spark, [("a b", "a b")])
+    tokens = frame.select("pair_id", F.split("hyp_text", " ").alias("h"), F.split("ref_text", " ").alias("r"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(ngram_matches(tokens, "h", "r")).count("Exchange") == 0
+    assert plan(corpus_bleu(frame)).count("Exchange") == 1
+
+
+def test_a_missing_side_has_no_tokens(spark):
+    tokens = spark.createDataFrame([(1, None, ["a"]), (2, ["a"], None)], "pair_id int, h array<string>, r array<string>")
+    assert {r.pair_id: (r.correct_1, r.total_1, r.hyp_len, r.ref_len) for r in ngram_matches(tokens, "h", "r").collect()} == {1: (0, 0, 0, 1), 2: (0, 1, 1, 0)}
+
+
+def test_metrics_by_key_ragged_rows_and_empty_batches(spark):
+    rows = [("a", [5], [5, 7]), ("a", [5, 6], [5, 6]), ("b", [9], [0])]
+    got = {r.k: (r.correct, r.valid, r.accuracy) for r in token_accuracy(spark.createDataFrame(rows, "k string, preds array<int>, labels array<int>"), by=["k"]).collect()}
+    assert got == {"a": (3, 4, 0.75), "b": (0, 0, 0.0)}
+    batches = spark.createDataFrame([("a", None, 5), ("a", 2.0, 5), ("b", None, 1)], "k string, loss double, n_rows bigint")
+    assert {r.k: r.loss for r in epoch_loss(batches, by=["k"]).collect()} == {"a": 2.0, "b": None}
+    assert epoch_loss(batches).first().loss == 2.0
+
+
+def test_nothing_to_train_on_gives_no_steps(spark):
+    shards = spark.createDataFrame([(1, 2, 1, 2, 0, 1, 20, 0), (3, 4, 1, 2, 0, 1, 20, 50)], ", ".join(f"{c} int" for c in CELL) + ", shard_idx int, num_shards int, suggested_batch_size int, num_samples int")
+    assert training_plan(shards, epochs=0).count() == 0
+    assert {r.src_start for r in training_plan(shards, epochs=2).collect()} == {3}
 
 
 def test_chinese_tokens(spark):

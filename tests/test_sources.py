@@ -1,13 +1,17 @@
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
 from pairweave.operators.lengths import LengthRange
 from pairweave.operators.translation import translate_batches
 from pairweave.operators.vocabulary import train_bpe, unit_counts
+from pairweave.plans import buckets
+from pairweave.plans.buckets import build_buckets
 from pairweave.plans.evaluate import evaluate
 from pairweave.plans.preprocess import loss_report, tokenize_pairs
-from pairweave.session import remove, rewrite, scratch_path, shared_dir, spread
-from pairweave.sources import bitext, tables
+from pairweave.session import cut_lineage, remove, rewrite, scratch_path, shared_dir, spread
+from pairweave.sources import bitext, manifest, tables
 from pairweave.streaming.rowwise import append_placed, place_stream, stream_bitext
 
 PAIRS = [(1, "one two", "eins zwei"), (2, "a\nb", "c\\n"), (3, "x", "y\r"), (4, "", "z")]
@@ -113,6 +117,87 @@ def test_translation_keeps_every_row(spark, shouting):
     assert {r.pair_id: r.hyp_text for r in got} == {i: s.upper() for i, s, _ in rows}
 
 
+def test_translation_batches_are_full_and_nulls_stay_null(spark, tmp_path):
+    seen = str(tmp_path)
+
+    def load():
+        def translate(texts):
+            with open(f"{seen}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(len(texts)))
+            return [t.upper() for t in texts]
+
+        return translate
+
+    rows = spark.range(25_000).select(F.col("id").alias("pair_id"), F.concat(F.lit("s"), "id").alias("src_text")).coalesce(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = translate_batches(rows.unionByName(rows.limit(1).select(F.lit(-1).cast("bigint").alias("pair_id"), F.lit(None).cast("string").alias("src_text"))), load, 512)
+        assert got.filter("pair_id >= 0 and hyp_text <> upper(src_text)").count() == 0
+        for f in tmp_path.iterdir():
+            f.unlink()
+        assert [r.hyp_text for r in got.filter("pair_id = -1").collect()] == [None]
+        for f in tmp_path.iterdir():
+            f.unlink()
+        got.select(F.count("hyp_text")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    sizes = sorted(int(f.read_text()) for f in tmp_path.iterdir())
+    assert sum(sizes) == 25_000 and len([s for s in sizes if s < 511]) <= 1
+
+
+def test_raw_files_get_ids_that_do_not_depend_on_the_files(spark, tmp_path):
+    rows = [("a", "b"), ("a", "b"), ("a", None), (None, "b"), (None, None), ("a+b", ""), ("a", "+b"), *[("same", "pair")] * 50]
+    raw = spark.createDataFrame([(r,) for r in rows], bitext.RAW_SCHEMA)
+    found = []
+    for files in (1, 5):
+        path = str(tmp_path / f"f{files}")
+        raw.repartition(files).write.parquet(path)
+        named = bitext.with_pair_id(bitext.read_bitext(spark, path, bitext.RAW_SCHEMA))
+        bitext.require_unique_ids(named)
+        found.append(sorted((r.pair_id, r.translation.en or "", r.translation.zh or "") for r in named.collect()))
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+    for bad in (raw.withColumn("pair_id", F.lit(None).cast("string")), raw.withColumn("pair_id", F.lit("x"))):
+        with pytest.raises(ValueError):
+            bitext.require_unique_ids(bad)
+
+
+def test_raw_files_end_to_end(spark, tmp_path):
+    raw = spark.createDataFrame([((f"the cat {i} sat", f"die katze {i % 5}"),) for i in range(300)] + [((None, "x"),)], bitext.RAW_SCHEMA)
+    raw.write.parquet(str(tmp_path / "raw"))
+    (tmp_path / "raw/part-broken.parquet").write_bytes(b"not parquet at all")
+    with pytest.warns(UserWarning):
+        read, left_out = bitext.read_readable(spark, str(tmp_path / "raw"))
+    assert left_out == 1
+    pairs = bitext.flatten_pairs(bitext.validate_bitext(bitext.with_pair_id(read), "drop"))
+    model = train_bpe(unit_counts(pairs, "src_text"), num_merges=10)
+    tokens = tokenize_pairs(pairs, model, model)
+    shards, totals = build_buckets(spark, str(tmp_path / "store"), cut_lineage(tokens), 3, 1, 100)
+    assert totals.first().total_samples == 300 and shards.agg(F.sum("num_samples")).first()[0] == 300
+
+
+def test_saved_over_itself_and_interrupted(spark, tmp_path, monkeypatch):
+    """A store is always one build: the old one until the pointer moves, then the new one."""
+    pairs = spark.range(400).select(F.col("id").alias("pair_id"), (F.col("id") % 9 + 3).cast("int").alias("src_len"), (F.col("id") % 7 + 3).cast("int").alias("tgt_len"))
+    path = str(tmp_path / "store")
+    build_buckets(spark, path, pairs, 2, 1, 100)
+    sized = buckets.save_batch_sizes(spark, path)
+    assert sized.filter("suggested_batch_size > 0").count() == sized.count() > 0
+    check = lambda: (manifest.load_manifest(spark, f"{path}/manifest")[0].agg(F.sum("num_samples")).first()[0], spark.read.parquet(buckets.data_path(spark, path)).count())
+    for broken in ("_write_pointer", "with_ranges"):
+        with monkeypatch.context() as patch:
+            patch.setattr(manifest, broken, lambda *a: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                build_buckets(spark, path, pairs.limit(100), 2, 1, 100, force_rebuild=True)
+            with pytest.raises(ZeroDivisionError):
+                buckets.save_batch_sizes(spark, path)
+        assert check() == (400, 400)
+    build_buckets(spark, path, pairs.limit(100), 2, 1, 100, force_rebuild=True)
+    assert check() == (100, 100)
+    for marker in (tmp_path / "store").rglob("*_SUCCESS*"):
+        marker.unlink()
+    assert manifest.manifest_exists(spark, f"{path}/manifest")
+
+
 def test_evaluation_end_to_end(spark, tmp_path, shouting):
     sentences = [(i, f"the cat number {i % 7} sat on a mat", f"THE CAT NUMBER {i % 7} SAT ON A MAT") for i in range(30)]
     pairs = flat(spark, [*sentences, (99, "word " * 200, "long")])
