@@ -359,6 +359,7 @@ FROM (SELECT 'src' AS side, src_text AS t FROM bitext UNION ALL SELECT 'tgt', tg
     "corpus_union": """SELECT pair_id, src_text, tgt_text, 'train' AS split FROM bitext
 UNION ALL SELECT pair_id, src_text, tgt_text, 'valid' FROM line_pairs""",
     "shard_roundtrip": f"SELECT pair_id, src_len, tgt_len, {_CELL}, shard_idx, num_shards FROM g_sharded",
+    "validation_shard": """SELECT pair_id, src_len, tgt_len, 0 AS src_start, 128 AS src_end, 0 AS tgt_start, 128 AS tgt_end, 0 AS shard_idx FROM shifted""",
     "shard_read": f"SELECT pair_id, src_len, tgt_len, {_CELL}, shard_idx FROM g_sharded SEMI JOIN g_first USING ({_CELL}, shard_idx)",
     "bucket_manifest": "SELECT * FROM g_manifest",
     "manifest_roundtrip": "SELECT * FROM g_manifest",

@@ -21,7 +21,7 @@ from pairweave.operators.shuffle import shuffle_rank
 from pairweave.operators.translation import translate_batches
 from pairweave.operators.vocabulary import pair_counts, unit_counts, vocab_check, word_vocabulary
 from pairweave.plans.buckets import build_buckets, save_batch_sizes
-from pairweave.plans.preprocess import filter_max_length, loss_report, padded, piece_counts, shift_targets
+from pairweave.plans.preprocess import filter_max_length, loss_report, padded, piece_counts, shift_targets, stored_pairs, validation_shard
 from pairweave.plans.training import epoch_order, resume_plan, training_plan
 from pairweave.session import cut_lineage
 from pairweave.sources import bitext, manifest, shards as shard_store, tables
@@ -112,6 +112,14 @@ def shard_read(spark, sf_dir):
     return rows.select("pair_id", "src_len", "tgt_len", *SHARD)
 
 
+@query(key="validation_shard")
+def single_shard(spark, sf_dir):
+    folder = fx.scratch(spark, "valid")
+    tokens = stored_pairs(shift_targets(filter_max_length(fx.encoded_pairs(spark, sf_dir))))
+    shard_store.write_shards(validation_shard(tokens), folder)
+    return shard_store.read_shard(spark, folder, (0, 128), (0, 128)).select("pair_id", "src_len", "tgt_len", *SHARD)
+
+
 @query
 def bucket_manifest(spark, sf_dir):
     return sharding.shard_manifest(fx.bucket_plan(spark, sf_dir).sharded)

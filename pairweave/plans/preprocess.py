@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairweave.functions.arrays import decoder_input, decoder_label, narrow_ids, pad_to
 from pairweave.operators.encoding import bpe_encode
+from pairweave.operators.segmentation import HAN_RUN, segment_runs
 from pairweave.operators.vocabulary import Bpe, train_bpe, unit_counts, word_counts
 from pairweave.functions.text import normalize_text, pretokenize
+from pairweave.sources.bitext import corpus_lines, corpus_union, write_corpus
 
 
 def filter_max_length(df: DataFrame, max_length: int = 128) -> DataFrame:
@@ -71,6 +73,26 @@ def tokenize_pairs(
     return stored_pairs(shift_targets(filter_max_length(encoded, max_length)))
 
 
+def validation_shard(tokens: DataFrame, max_length: int = 128) -> DataFrame:
+    """Tokenised validation pairs as the one shard of a single cell: they are not bucketed, and none is dropped."""
+    cell = {"src_start": 0, "src_end": max_length, "tgt_start": 0, "tgt_end": max_length, "shard_idx": 0, "num_shards": 1}
+    return tokens.withColumns({name: F.lit(value) for name, value in cell.items()})
+
+
+def export_corpus(
+    splits: dict[str, DataFrame], path: str, dictionary: DataFrame | None = None, use: Sequence[str] = ("train",), run: str = HAN_RUN
+) -> DataFrame:
+    """Write the chosen splits of ``(pair_id, src_text, tgt_text)`` as two aligned text corpora; returns what was written.
+
+    Target sentences are segmented with ``dictionary`` first, if there is one, as subword training expects them.
+    """
+    pairs = corpus_union(splits, use)
+    if dictionary is not None:
+        pairs = segment_runs(pairs, "tgt_text", dictionary, "_segmented", run).withColumn("tgt_text", F.col("_segmented")).drop("_segmented")
+    write_corpus(pairs, path)
+    return corpus_lines(pairs)
+
+
 def piece_counts(df: DataFrame, text: str) -> DataFrame:
     """Occurrences of whole pieces, the base of a word-level vocabulary."""
     return word_counts(df, pretokenize(normalize_text(F.col(text))))

@@ -9,7 +9,7 @@ from pairweave.operators.vocabulary import train_bpe, unit_counts
 from pairweave.plans import buckets
 from pairweave.plans.buckets import build_buckets
 from pairweave.plans.evaluate import evaluate
-from pairweave.plans.preprocess import loss_report, tokenize_pairs
+from pairweave.plans.preprocess import export_corpus, loss_report, tokenize_pairs
 from pairweave.session import cut_lineage, remove, rewrite, scratch_path, shared_dir, spread
 from pairweave.sources import bitext, manifest, tables
 from pairweave.streaming.rowwise import append_placed, place_stream, stream_bitext
@@ -75,6 +75,15 @@ def test_splits_are_chosen(spark):
     assert {(r.split, r["count"]) for r in both.groupBy("split").count().collect()} == {("train", 4), ("valid", 1)}
 
 
+def test_corpus_is_segmented_joined_and_exported(spark, tmp_path):
+    words = spark.createDataFrame([("北京", 50), ("大学", 40), ("我", 9), ("爱", 9)], "word string, cnt bigint")
+    splits = {"train": flat(spark, [(1, "i love", "我爱北京大学")]), "valid": flat(spark, [(2, "x", "北京\n大学"), (3, "y", "z")])}
+    export_corpus(splits, str(tmp_path / "c"), words, ["train", "valid"])
+    lines = lambda side: [line for p in sorted((tmp_path / "c" / f"side={side}").glob("part-*")) for line in p.read_text().splitlines()]
+    assert lines("src") == ["i love", "x", "y"]
+    assert lines("tgt") == ["我 爱 北京 大学", "北京\\n大学", "z"]
+
+
 def test_vocabulary_round_trip(spark, tmp_path):
     path = str(tmp_path / "vocab")
     with pytest.raises(FileNotFoundError):
