@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Bytes of text after which a block is closed; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 #: Bytes of text per bucket of keys and per bucket of the store.
 BUCKET_BYTES = 8 << 20
 _STORED = "block bigint, raw_bytes bigint, ids array<bigint>, sizes array<int>, texts binary"

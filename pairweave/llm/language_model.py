@@ -100,13 +100,21 @@ class Tokens:
         self.ids = block.ids
         self.sizes = np.diff(words.first) + 1
         self.events = np.insert(words.hashes(), words.first[1:], _END)
-        self.text = np.repeat(np.arange(len(self.sizes)), self.sizes)
         self.begins = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
         self.held_out = np.array([is_held_out(i) for i in block.ids], bool)
-        self.training = ~self.held_out[self.text]
         self.grams = self.events
         self.history = np.zeros(0, np.uint64)
 
+    @property
+    def text(self) -> np.ndarray:
+        """The document of each token."""
+        return np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+    @property
+    def training(self) -> np.ndarray:
+        """Whether each token is learnt from."""
+        return np.repeat(~self.held_out, self.sizes)
+
     def previous(self, values: np.ndarray, first: object) -> np.ndarray:
         """Each token's value of the token before it; ``first`` at the beginning of a document."""
         out = np.empty_like(values)
@@ -279,7 +287,8 @@ def _score(model: Model, order: int):
             for found in _evaluated(batch, model, order):
                 tokens, n = found.tokens, len(found.tokens.sizes)
                 base = np.log10((found.known + 0.5) / (model.tokens + 0.5 * (model.types + 1)))
-                by_text = lambda values: np.bincount(tokens.text, values, n)
+                text = tokens.text
+                by_text = lambda values: np.bincount(text, values, n)
                 columns = [
                     pa.array(tokens.ids, pa.int64()),
                     pa.array(tokens.held_out, pa.bool_()),

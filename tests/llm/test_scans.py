@@ -1,6 +1,7 @@
 """Secrets and personal data against regular expressions of another engine, and the added spans."""
 
 import hashlib
+import itertools
 import math
 import re
 from collections import Counter
@@ -122,15 +123,15 @@ def test_spans_have_their_context(spark):
 
 
 def test_expectation_maximisation_finds_the_reliable_labelers():
+    right = {"check": 0.95, "gazetteer": 0.85, "edges": 0.6}
     rows = []
-    for true, n in ((1, 900), (-1, 600)):
-        for check in (1, -1):
-            for edges in (1, -1):
-                share = (0.95 if check == true else 0.05) * (0.6 if edges == true else 0.4)
-                rows.append(Row(kind="card", check=check, gazetteer=0, context=0, counter=0, edges=edges, n=round(n * share)))
+    for votes in itertools.product((1, -1), repeat=3):
+        share = {true: math.prod(p if v == true else 1 - p for p, v in zip(right.values(), votes)) for true in (1, -1)}
+        rows.append(Row(kind="card", context=0, counter=0, n=round(9000 * share[1] + 6000 * share[-1]), **dict(zip(right, votes))))
     prior, rates = pii.expectation_maximisation(rows)
-    assert rates[0][1][1] > 0.9 and rates[0][-1][0] > 0.85  # check
-    assert rates[4][1][1] < 0.75  # edges
+    for name, p in right.items():
+        rate = rates[pii.LABELERS.index(name)]
+        assert rate[1][1] == pytest.approx(p, abs=0.05) and rate[-1][0] == pytest.approx(p, abs=0.05)
     assert 0.5 < prior["card"] < 0.7
 
 
