@@ -88,9 +88,6 @@ class BlockStore:
         per_block = answers.groupBy("block").agg(F.collect_list(F.struct(*columns)).alias(name))
         return (self.blocks if blocks is None else blocks).join(per_block.hint("shuffle_hash"), "block", "left")
 
-    def drop(self) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
-
 
 def store_blocks(docs: DataFrame) -> BlockStore:
     """Store ``docs`` (``doc_id, text``) in the warehouse. Numbers come from the task and its progress, and stay once written."""

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pairweave.llm import secret_scan
 from pairweave.llm.decontamination import find_contamination
 from pairweave.llm.exact_dedup import exact_dedup
 from pairweave.llm.jaccard_join import jaccard_join
@@ -141,6 +142,49 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(find_secrets(documents(spark, sf_dir)))
 
 
+def _located(kind: str, order: int, pattern: str, kept: str = "true") -> str:
+    """SQL for the spans of a pattern: offsets are the lengths of all pieces up to a match and of the matches before it."""
+    quoted = "'" + pattern.replace("'", "''") + "'"
+    return f"""
+SELECT rid, {order} AS o, '{kind}' AS kind, s, s + len(value) AS e, value FROM (
+  SELECT rid, m[i] AS value, CAST(list_sum(list_transform(p[:i], lambda x: len(x))) + coalesce(list_sum(list_transform(m[:i - 1], lambda x: len(x))), 0) AS BIGINT) AS s
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (
+    SELECT rid, regexp_extract_all(t, {quoted}) AS m, regexp_split_to_array(t, {quoted}) AS p FROM d))
+) WHERE {kept.format(pattern=quoted)}"""
+
+
+_ALLOWED = " OR ".join(f"regexp_matches(value, '{p}')" for p in secret_scan.ALLOW)
+_LEAST = "CASE " + " ".join(f"WHEN regexp_matches(value, '{p}') THEN {h}" for p, h in secret_scan.CLASSES.values()) + " END"
+ORACLES["op2_secrets"] = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+b AS MATERIALIZED ({_located("assign", 0, secret_scan.ASSIGN, "len(regexp_extract(value, {pattern}, 1)) >= 6")}
+UNION ALL {_located("access", 1, secret_scan.ACCESS, "len(value) >= 20")}
+UNION ALL {_located("hex", 2, secret_scan.HEX)}),
+c AS MATERIALIZED (
+  SELECT * FROM ({_located("entropy", 3, "[A-Za-z0-9+/=_-]{20,}")}) x
+  WHERE NOT ({_ALLOWED}) AND NOT EXISTS (SELECT 1 FROM b WHERE b.rid = x.rid AND b.s <= x.s AND x.e <= b.e)
+), h AS (
+  SELECT rid, s, max(bits) AS bits FROM (
+    SELECT rid, s, w, log2(20) - sum(n * log2(n)) / 20 AS bits FROM (
+      SELECT rid, s, w, ch, count(*) AS n FROM (
+        SELECT rid, s, w, unnest(string_split(substr(value, w, 20), '')) AS ch FROM (SELECT *, unnest(range(1, len(value) - 18)) AS w FROM c)
+      ) GROUP BY ALL
+    ) GROUP BY rid, s, w
+  ) GROUP BY rid, s
+), every AS (
+  SELECT rid, o, kind, s, e FROM b UNION ALL
+  SELECT c.rid, o, kind, c.s, e FROM c JOIN h ON h.rid = c.rid AND h.s = c.s WHERE bits >= {_LEAST}
+), g AS (
+  SELECT rid, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access, count(*) FILTER (o = 2) AS n_hex,
+    string_agg(concat_ws(':', kind, s, e), ',' ORDER BY s, o) FILTER (o < 3) AS base, string_agg(concat_ws(':', kind, s, e), ',' ORDER BY s, o) AS spans
+  FROM every GROUP BY rid
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (rid)
+"""
+
+
 @query
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""

@@ -6,11 +6,13 @@ import math
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import Row, functions as F
 
 from pairweave.llm import pii, secret_scan as ss
+from pairweave.llm.queries import ORACLES
 from pairweave.llm.spans import spans_of, totals_before
 
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -107,6 +109,11 @@ def test_added_secrets_and_the_allow_list(spark):
         (6, "HEXUP 0F1E2D3C4B5A69788796A5B4C3D2E1F0 end"),
     ]
     found = {r.doc_id: r.spans for r in ss.secret_digest(ss.find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string"))).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    twin = con.execute(ORACLES["op2_secrets"]).fetchall()
+    assert {r[0]: r[-1] for r in twin} == found
     assert found == {1: "entropy:4:28", 2: "", 3: "", 4: "", 5: "assign:0:32", 6: "entropy:6:38"}
 
 
