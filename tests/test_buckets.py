@@ -30,6 +30,28 @@ def test_published_shard_counts(spark):
         assert mine[-1].num_samples == last and sum(r.num_samples for r in mine) == n
 
 
+# Rows of all kept cells of the published run, in its order.
+PUBLISHED_CELLS = [
+    1_514_283, 340_378, 60_712, 246_093, 873_768, 468_066, 125_173, 40_896, 381_643, 825_822, 560_968, 196_251,
+    50_917, 72_695, 375_924, 769_448, 596_159, 262_724, 83_908, 78_134, 363_728, 683_079, 595_605, 304_005, 116_917,
+    38_784, 95_381, 330_392, 604_465, 549_023, 323_796, 142_503, 52_991, 105_371, 313_708, 501_917, 492_113,
+    320_096, 153_611, 74_537, 112_513, 265_260, 415_992, 424_493, 294_639, 184_325, 62_132, 36_826, 103_902,
+    224_578, 344_236, 353_912, 319_859, 140_480, 51_709, 36_371, 93_056, 187_649, 274_758, 368_934, 240_236,
+    108_486, 45_152, 34_732, 80_245, 153_742, 294_532, 284_588, 178_019, 92_992, 37_615, 81_139, 207_002, 300_853,
+    285_080, 215_477, 93_366, 71_380, 147_421, 215_979, 260_457, 171_544, 62_525, 60_061, 122_161, 231_107, 260_571,
+    146_568, 47_280, 37_630, 104_480, 209_505, 219_416, 120_140, 79_331, 164_553, 183_494, 81_554, 55_379, 138_294,
+    150_243, 47_918, 35_458, 102_402, 99_900, 84_894, 65_260, 57_765,
+]
+
+
+def test_published_totals(spark):
+    rows = sharding.manifest_from_counts(counted(spark, PUBLISHED_CELLS), 262_144).collect()
+    assert (len(PUBLISHED_CELLS), len(rows), sum(r.num_samples for r in rows)) == (108, 131, 24_949_534)
+    assert min(PUBLISHED_CELLS) >= 32_768 and max(r.num_samples for r in rows) <= 1.5 * 262_144
+    for i, n in enumerate(PUBLISHED_CELLS):
+        assert sum(r.num_samples for r in rows if r.src_start == i) == n
+
+
 def test_last_shard_of_at_most_half_is_merged(spark):
     sizes = {100: [100], 149: [149], 150: [150], 151: [100, 51], 200: [100, 100], 250: [100, 150], 251: [100, 100, 51]}
     rows = sharding.manifest_from_counts(counted(spark, list(sizes)), 100).collect()
