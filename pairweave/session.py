@@ -27,9 +27,28 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_PATHS: list[str] = []
+_TABLES: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path inside the shared folder; every call gives another one."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _PATHS.append(f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _PATHS[-1]
+
+
+def scratch_table(name: str) -> str:
+    """A new table name in the warehouse."""
+    _TABLES.append(f"{name}_{uuid.uuid4().hex}")
+    return _TABLES[-1]
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete every path and table that this process took for intermediate data. Call it once the results are written."""
+    while _PATHS:
+        remove(spark, _PATHS.pop())
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from pairweave import session
 from pairweave.operators.lengths import LengthRange
 from pairweave.operators.translation import translate_batches
 from pairweave.operators.vocabulary import train_bpe, unit_counts
@@ -10,7 +11,7 @@ from pairweave.plans import buckets
 from pairweave.plans.buckets import build_buckets
 from pairweave.plans.evaluate import evaluate
 from pairweave.plans.preprocess import export_corpus, loss_report, tokenize_pairs
-from pairweave.session import cut_lineage, remove, rewrite, scratch_path, shared_dir, spread
+from pairweave.session import cut_lineage, remove, remove_scratch, rewrite, scratch_path, scratch_table, shared_dir, spread
 from pairweave.sources import bitext, manifest, tables
 from pairweave.streaming.rowwise import append_placed, place_stream, stream_bitext
 
@@ -254,6 +255,19 @@ def test_rewritten_tables_are_removed(spark):
         spark.read.parquet(path)
 
 
+def test_intermediate_data_can_be_removed(spark):
+    df, path = rewrite(spark.range(3).toDF("x"), "left")
+    table = scratch_table("left")
+    df.write.saveAsTable(table)
+    saved, session._PATHS[:] = session._PATHS[:-1], [path]
+    tables_before, session._TABLES[:] = session._TABLES[:-1], [table]
+    remove_scratch(spark)
+    session._PATHS[:], session._TABLES[:] = saved, tables_before
+    assert not spark.catalog.tableExists(table)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_spread_moves_only_narrow_scans(spark):
     cores = spark.sparkContext.defaultParallelism
     assert spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == cores
