@@ -8,7 +8,6 @@ bucketed by that number, so the texts themselves are never shuffled.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,6 +17,8 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pairweave.session import scratch_table
+
 #: Bytes of text after which a block is closed; a longer text is a block of its own.
 BLOCK_BYTES = 3 << 20
 #: Bytes of text per bucket of keys and per bucket of the store.
@@ -95,7 +96,7 @@ def store_blocks(docs: DataFrame) -> BlockStore:
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 1)).first()[0] or 0
     # No fewer than answers are dealt to by default, or a join would rather deal the blocks anew.
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (4 * BUCKET_BYTES)))
-    table = f"blocks_{uuid.uuid4().hex}"
+    table = scratch_table("blocks")
     stored = docs.select("doc_id", "text").mapInArrow(_blocks, _STORED)
     stored.write.bucketBy(buckets, "block").format("parquet").option("compression", "uncompressed").saveAsTable(table)
     return BlockStore(spark, table, max(6, int(np.ceil(np.log2(max(1, size / BUCKET_BYTES))))))
