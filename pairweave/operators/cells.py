@@ -16,6 +16,9 @@ from pairweave.operators.lengths import (
 )
 from pairweave.session import cut_lineage
 
+#: Most edges per side: a million cells, the largest table of cells that is broadcast.
+MAX_CUTS = 1000
+
 CELL = ["src_start", "src_end", "tgt_start", "tgt_end"]
 
 
@@ -36,9 +39,13 @@ class Grid:
 def build_grid(df: DataFrame, num_cuts: int) -> Grid:
     """Edges of both sides from one pass over ``df``.
 
+    ``num_cuts`` is checked, since up to its square of cells is broadcast later.
+
     The pair histogram is written once, since the edges, cell counts and totals all start from it; it has one row per
     length pair, however many sentences there are.
     """
+    if not 0 < num_cuts <= MAX_CUTS:
+        raise ValueError(f"num_cuts must be between 1 and {MAX_CUTS}")
     pairs = cut_lineage(pair_histogram(df))
     src, tgt = collect_sides(optimal_cuts(side_histograms(pairs), num_cuts, by=["side"]))
     return Grid(src, tgt, pairs)

@@ -52,6 +52,12 @@ def test_published_totals(spark):
         assert sum(r.num_samples for r in rows if r.src_start == i) == n
 
 
+@pytest.mark.parametrize("cuts", [0, -1, 1001])
+def test_number_of_cuts_is_checked(spark, cuts):
+    with pytest.raises(ValueError):
+        cells.build_grid(skewed_pairs(spark), cuts)
+
+
 def test_last_shard_of_at_most_half_is_merged(spark):
     sizes = {100: [100], 149: [149], 150: [150], 151: [100, 51], 200: [100, 100], 250: [100, 150], 251: [100, 100, 51]}
     rows = sharding.manifest_from_counts(counted(spark, list(sizes)), 100).collect()
