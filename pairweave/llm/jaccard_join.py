@@ -122,20 +122,24 @@ def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
     return total
 
 
-def compare_blocks(ids: list[bytes], copies: np.ndarray, sets: list[np.ndarray], sides: np.ndarray, threshold: float) -> list[tuple[bytes, int, int, bytes]]:
-    """Links between the two sides of a block pair, or inside one block if all sides are equal.
+def compare_blocks(
+    ids: list[bytes], copies: np.ndarray, sets: list[np.ndarray], sides: np.ndarray, pair: tuple[int, int], threshold: float
+) -> list[tuple[bytes, int, int, bytes]]:
+    """Links between the two blocks of ``pair``, or inside one block if they are the same.
 
     ``(set_id, n_texts, n_docs, root)`` per entry with a link; ``root`` is the least entry it is connected with in this pair.
+    A pair of two blocks of which one is empty has no links: those inside the other belong to its pair with itself.
     """
-    left = np.flatnonzero(sides == sides.min())
-    right = np.flatnonzero(sides == sides.max())
+    left, right = np.flatnonzero(sides == pair[0]), np.flatnonzero(sides == pair[1])
+    if not (len(left) and len(right)):
+        return []
     sizes = np.array([len(g) for g in sets], np.int64)
     inter = _intersections([sets[i] for i in left], [sets[i] for i in right])
     union = sizes[left][:, None] + sizes[right][None, :] - inter
     linked = (inter >= threshold * union - 1e-9) & (left[:, None] != right[None, :]) & (inter > 0)
     texts, docs = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
     texts[left], docs[left] = linked.sum(1), (linked * copies[right][None, :]).sum(1)
-    if sides.min() != sides.max():
+    if pair[0] != pair[1]:
         texts[right], docs[right] = linked.sum(0), (linked * copies[left][:, None]).sum(0)
     rank = np.empty(len(ids), np.int64)
     rank[sorted(range(len(ids)), key=ids.__getitem__)] = np.arange(len(ids))
@@ -188,13 +192,13 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: fl
     chosen = placed.select("set_id", "doc_id", "text_hash").alias("p").hint("merge").join(
         texts.alias("t"), F.col("p.text_hash").eqNullSafe(F.col("t.text_hash")) & F.col("p.doc_id").eqNullSafe(F.col("t.doc_id"))
     ).select("p.set_id", "t.text").dropDuplicates(["set_id"])
-    work = keyed.select("task", "component", "side", "set_id", "copies").join(chosen, "set_id")
+    work = keyed.select("task", "component", "side", "pair.i", "pair.j", "set_id", "copies").join(chosen, "set_id")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, part in pdf.groupby("component", sort=False):
             sets = gram_sets([t.encode() for t in part["text"]], n)
-            out += compare_blocks([bytes(s) for s in part["set_id"]], part["copies"].to_numpy(), sets, part["side"].to_numpy(), threshold)
+            out += compare_blocks([bytes(s) for s in part["set_id"]], part["copies"].to_numpy(), sets, part["side"].to_numpy(), (part["i"].iat[0], part["j"].iat[0]), threshold)
         return pd.DataFrame(out, columns=["set_id", "texts", "docs", "root"])
 
     compared, _ = rewrite(work.groupBy("task").applyInPandas(compare, "set_id binary, texts bigint, docs bigint, root binary"), "links")

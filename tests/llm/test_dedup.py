@@ -171,6 +171,17 @@ def test_join_in_blocks(spark, monkeypatch):
     check_join(spark.createDataFrame(rows, "doc_id bigint, text string"))
 
 
+def test_join_with_empty_blocks(spark, monkeypatch):
+    """Two long near copies make two blocks; where both hash to one of them, the pair with the empty block counts no link again."""
+    monkeypatch.setattr(jj, "BLOCK_GRAMS", 300)
+    rows = []
+    for k in range(12):
+        base = [f"w{k}x{i}" for i in range(200)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base[:9] + ["new"] + base[10:]))]
+    found = jj.jaccard_join(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert [(f.doc_id, f.class_id, f.n_links, f.n_texts) for f in sorted(found)] == [(i, i - i % 2, 1, 1) for i in range(24)]
+
+
 def test_bands_reach_the_recall():
     bands, rows = jj.choose_bands(0.8, 0.9999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9999
