@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pairweave.session import cut_lineage
+
 #: A run of Han characters; other text is left as it is.
 HAN_RUN = r"\p{IsHan}+"
+#: Size of the filter that travels with the tasks (8 MB); a fuller one lets more substrings through to the join.
+FILTER_BITS = 1 << 26
+#: Strings of at most so many characters are dealt over so many join keys.
+SHORT, SALTS = 4, 16
 
 
 def best_path(run: str, score: Callable[[str], float | None], longest: int, unknown: float) -> list[str]:
@@ -39,26 +47,77 @@ def best_path(run: str, score: Callable[[str], float | None], longest: int, unkn
 def segment_runs(df: DataFrame, text: str, dictionary: DataFrame, out: str, run: str = HAN_RUN) -> DataFrame:
     """Add ``out``: ``text`` with a space between the words of each run, by best path over ``dictionary(word, cnt)``.
 
-    A dictionary is a fixed resource, like a vocabulary: it has as many words as it was made with, whatever the texts. It
-    travels with the tasks, so no text is moved. With an empty one every character is a word.
+    The dictionary may grow with the corpus: it stays distributed. The substrings of each distinct text that pass a filter
+    of ``FILTER_BITS`` bits are joined with it, and every text gets the words it holds back by its digest. The filter
+    only spares rows; the join decides. With an empty dictionary every character is a word.
     """
-    rows = dictionary.select("word", "cnt").collect()
-    total = sum(r.cnt for r in rows)
-    scores = {r.word: math.log(r.cnt / total) for r in rows}
-    longest = max((len(w) for w in scores), default=1)
-    shared = df.sparkSession.sparkContext.broadcast(scores)
+    words = cut_lineage(dictionary.select("word", "cnt"))
+    top = words.agg(F.sum("cnt").alias("total"), F.max(F.char_length("word")).alias("longest")).first()
+    total, longest = top.total or 0, top.longest or 1
     unknown = math.log(1 / max(total, 1))
+    bits = df.sparkSession.sparkContext.broadcast(_word_filter(words))
+
+    @F.pandas_udf("array<string>")
+    def possible(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held = bits.value
+        for texts in batches:
+            yield texts.map(lambda runs: [w for w in _substrings(runs, longest) if _passes(w, held)])
 
     @F.pandas_udf("array<string>")
-    def split_runs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = shared.value
-        for runs in batches:
-            yield runs.map(
-                lambda rs: None if rs is None else [" ".join(best_path(r, known.get, longest, unknown)) for r in rs]
-            )
-
-    found = F.regexp_extract_all(F.col(text), F.lit(run), F.lit(0))
-    return df.withColumn("_runs", split_runs(found)).withColumn(out, _rejoin(F.col(text), F.col("_runs"), run)).drop("_runs")
+    def split_runs(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, names, counts in batches:
+            found = []
+            for runs, ws, ns in zip(texts, names, counts):
+                scores = {} if ws is None else {w: math.log(n / total) for w, n in zip(ws, ns)}
+                found.append(None if runs is None else [" ".join(best_path(r, scores.get, longest, unknown)) for r in runs])
+            yield pd.Series(found, dtype=object)
+
+    runs = F.regexp_extract_all(F.col(text), F.lit(run), F.lit(0))
+    digest = F.unhex(F.md5(F.col(text)))
+    texts = df.select(digest.alias("_text"), runs.alias("_runs")).filter(F.size("_runs") > 0).dropDuplicates(["_text"])
+    # Short strings are in nearly every text; their rows are dealt over several keys.
+    short = F.char_length("word") <= SHORT
+    asked = texts.select("_text", F.explode(possible("_runs")).alias("word"))
+    asked = asked.withColumn("_salt", F.when(short, F.pmod(F.xxhash64("_text"), F.lit(SALTS)).cast("int")).otherwise(0))
+    salts = F.when(short, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    known = asked.hint("merge").join(words.withColumn("_salt", F.explode(salts)), ["word", "_salt"])
+    known = known.groupBy("_text").agg(F.collect_list(F.struct("word", "cnt")).alias("_known"))
+    rows = df.withColumn("_text", digest).hint("merge").join(known, "_text", "left")
+    cut = split_runs(runs, F.col("_known.word"), F.col("_known.cnt"))
+    return rows.withColumn("_runs", cut).withColumn(out, _rejoin(F.col(text), F.col("_runs"), run)).drop("_runs", "_text", "_known")
+
+
+def _bit(word: str) -> int:
+    return zlib.crc32(word.encode()) % FILTER_BITS
+
+
+def _passes(word: str, bits: bytes) -> bool:
+    place = _bit(word)
+    return bits[place >> 3] >> (place & 7) & 1 == 1
+
+
+def _substrings(runs: list[str], longest: int) -> set[str]:
+    return {r[i : i + size] for r in runs for i in range(len(r)) for size in range(1, min(longest, len(r) - i) + 1)}
+
+
+def _word_filter(words: DataFrame) -> bytes:
+    """One bit per word by hash. Each piece of the bits is made by one task, so the driver gets ``FILTER_BITS`` bits at most."""
+    piece_bits = FILTER_BITS >> 10
+
+    @F.pandas_udf("int")
+    def place(batch: pd.Series) -> pd.Series:
+        return batch.map(_bit)
+
+    def make(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        held = np.zeros(piece_bits, np.uint8)
+        held[pdf["place"].to_numpy() % piece_bits] = 1
+        return pd.DataFrame({"piece": [key[0]], "bits": [np.packbits(held, bitorder="little").tobytes()]})
+
+    places = words.select(place("word").alias("place")).distinct().withColumn("piece", F.floor(F.col("place") / piece_bits).cast("int"))
+    bits = bytearray(FILTER_BITS >> 3)
+    for row in places.groupBy("piece").applyInPandas(make, "piece int, bits binary").toLocalIterator():
+        bits[row.piece * (piece_bits >> 3) : (row.piece + 1) * (piece_bits >> 3)] = row.bits
+    return bytes(bits)
 
 
 def _rejoin(text: Column, runs: Column, run: str) -> Column:
