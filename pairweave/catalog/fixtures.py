@@ -58,6 +58,11 @@ def bitext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asked.join(answered, ["conv_id", "next"]).select("pair_id", "src_text", "tgt_text")
 
 
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(pair_id, text)`` of every turn, whoever speaks; the ids are those of ``bitext``."""
+    return spread(table(spark, sf_dir, "conversations").select(F.concat_ws(":", "conv_id", "turn").alias("pair_id"), "text"))
+
+
 def line_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line of a document with the line after it; made inside the row, without a shuffle."""
     lines = F.split("text", "\n")

@@ -255,8 +255,8 @@ def vocab_compatible(spark, sf_dir):
 @query(key="segment_runs")
 def segment_text(spark, sf_dir):
     words = piece_counts(fx.documents(spark, sf_dir), "text").filter(F.col("word").rlike(r"^[\p{L}\p{M}]+$"))
-    unspaced = F.regexp_replace(normalize_text(F.col("src_text")), " ", "")
-    runs = fx.bitext(spark, sf_dir).select("pair_id", unspaced.alias("text"))
+    unspaced = F.regexp_replace(normalize_text(F.col("text")), " ", "")
+    runs = fx.turns(spark, sf_dir).select("pair_id", unspaced.alias("text"))
     return segment_runs(runs, "text", words, "segmented", r"[\p{L}\p{M}]+").select("pair_id", "segmented")
 
 
