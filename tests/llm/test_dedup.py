@@ -2,6 +2,7 @@
 
 import hashlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -182,6 +183,12 @@ def test_join_with_empty_blocks(spark, monkeypatch):
     assert [(f.doc_id, f.class_id, f.n_links, f.n_texts) for f in sorted(found)] == [(i, i - i % 2, 1, 1) for i in range(24)]
 
 
+def test_bands_are_the_stated_ones():
+    """The README names these numbers."""
+    assert jj.choose_bands(0.8, 0.9999) == (18, 4)
+    assert "18 bands of 4 minimum hashes" in (Path(__file__).parents[2] / "README.md").read_text()
+
+
 def test_bands_reach_the_recall():
     bands, rows = jj.choose_bands(0.8, 0.9999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9999
