@@ -7,17 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairweave.llm import secret_scan
+from pairweave.llm.chat_format import Template, chat_digest, format_chats, table_turns
 from pairweave.llm.decontamination import find_contamination
 from pairweave.llm.exact_dedup import exact_dedup
+from pairweave.llm.importance import resample
 from pairweave.llm.jaccard_join import jaccard_join
 from pairweave.llm.language_model import score_documents
 from pairweave.llm.packing import pack
 from pairweave.llm.pii import find_personal_data, personal_data_digest
 from pairweave.llm.secret_scan import find_secrets, secret_digest
+from pairweave.llm.structure_repair import repair_parts, repair_report
 from pairweave.llm.substring_dedup import substring_dedup
 from pairweave.llm.toxicity import fit_severity, score_severity
 from pairweave.llm.warc import read_archives, write_archives
-from pairweave.session import scratch_path
+from pairweave.session import rewrite, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -228,3 +231,171 @@ FROM d LEFT JOIN k USING (place)
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of every document under a bigram model of four fifths of them."""
     return score_documents(documents(spark, sf_dir), order=2)
+
+
+_TRICKY = r"\### Assistant: </turn> ok"
+
+
+@query
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that says the template's own markers, formatted, written, read back and parsed."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame([(-7, 0, "user", _TRICKY), (-7, 1, "assistant", _TRICKY)], turns.schema)
+    written, _ = rewrite(format_chats(table_turns(turns.unionByName(tricky))), "formatted")
+    return chat_digest(written)
+
+
+def _escaped(text: str, *controls: str) -> str:
+    """SQL for a backslash before each backslash and control string."""
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    for control in ("\\", *controls):
+        text = f"replace({text}, {quoted(control)}, {quoted(chr(92) + control)})"
+    return text
+
+
+_T = Template()
+_CONTROLS = (_T.begin, _T.end, *_T.others)
+_MARKERS = len(_T.begin + _T.role_end + _T.end) + 1
+ORACLES["op11_chat_formatting"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{_TRICKY}'), (-7, 1, 'assistant', '{_TRICKY}')
+), o AS (
+  SELECT *, {_MARKERS} + length({_escaped("role", *_CONTROLS, _T.role_end)}) + length({_escaped("text", *_CONTROLS)}) AS marked,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place, CASE WHEN role = '{_T.trained}' THEN text ELSE '' END AS trained
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  CAST(sum(length(trained)) AS BIGINT) AS loss_chars, sha256(string_agg(trained, '' ORDER BY place)) AS loss_sha256,
+  CAST(sum(marked) AS BIGINT) AS formatted_chars
+FROM o GROUP BY conv_id
+"""
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn by how much their words look like those of the benchmark."""
+    return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text"))
+
+
+ORACLES["op12_importance_resampling"] = r"""
+WITH RECURSIVE r(k, l) AS (
+  SELECT 0, range(256) UNION ALL
+  SELECT k + 1, list_transform(l, lambda x: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) FROM r WHERE k < 8
+), d AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), u AS (
+  SELECT rid, unnest(words) AS word FROM d
+), v AS (
+  SELECT word, sum(s) AS s, sum(t) AS t FROM (
+    SELECT word, count(*) AS s, 0 AS t FROM u GROUP BY word UNION ALL SELECT word, 0, count(*) FROM (SELECT unnest(words) AS word FROM b) GROUP BY word
+  ) GROUP BY word
+), h AS MATERIALIZED (
+  SELECT word, s, t, xor(list_reduce(
+    list_prepend(4294967295, list_transform(range(0, strlen(word)), lambda i: CAST('0x' || substr(hex(encode(word)), 2 * i + 1, 2) AS BIGINT))),
+    lambda a, x: xor(a >> 8, l[1 + xor(a, x) % 256])), 4294967295) % 10000 AS bucket
+  FROM v, r WHERE k = 8
+), g AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST((sum(t) + 1) * (st + 10000) AS DOUBLE) / CAST((sum(s) + 1) * (tt + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM h, (SELECT sum(s) AS st, sum(t) AS tt FROM h) GROUP BY bucket, st, tt
+), w AS (
+  SELECT rid, CAST(sum(gain) AS BIGINT) AS total FROM u JOIN h USING (word) JOIN g USING (bucket) GROUP BY rid
+), z AS (
+  SELECT doc_id, len(words) AS n_features, CAST(CASE WHEN len(words) = 0 THEN 0 ELSE floor(CAST(total AS DOUBLE) / len(words)) END AS BIGINT) AS weight,
+    (CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296 AS share
+  FROM d LEFT JOIN w USING (rid)
+), x AS (
+  SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln(CAST(share AS DOUBLE)))) AS BIGINT) AS score, n_features >= 20 AS eligible FROM z
+), n AS (
+  SELECT *, row_number() OVER (PARTITION BY eligible ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place FROM x
+)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+  CASE WHEN eligible AND place <= (SELECT count(*) FILTER (eligible) * 10 // 100 FROM x) THEN place END AS rank
+FROM n
+"""
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """``conv_id, turn, role, text`` with one row in five damaged, by a checksum of its place; nulls of role and text are one blank."""
+    said = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(said("conv_id"), F.lit(":"), said("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(said("text"), "[.!?]", "")).otherwise(said("text"))
+    role = F.when(kind == 4, "user").otherwise(said("role"))
+    times = F.when(kind == 0, F.array().cast("array<int>")).when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("time")).drop("time")
+
+
+@query
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every damaged conversation repaired; one that lost all its rows has an empty audit."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    report = repair_report(*repair_parts(damaged(turns)))
+    every = turns.select("conv_id").distinct().withColumnRenamed("conv_id", "id")
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
+    return every.join(report, F.col("id").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("id").alias("conv_id"), *[zero(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+ORACLES["op13_structure_repair"] = r"""
+WITH RECURSIVE crc(k, l) AS (
+  SELECT 0, range(256) UNION ALL
+  SELECT k + 1, list_transform(l, lambda x: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) FROM crc WHERE k < 8
+), c AS (
+  SELECT conv_id, coalesce(CAST(conv_id AS VARCHAR), 'null') AS key, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place FROM conversations
+), k AS (
+  SELECT c.*, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(place) + 1), lambda i: CAST(ascii(substr(place, i, 1)) AS BIGINT))),
+    lambda a, x: xor(a >> 8, l[1 + xor(a, x) % 256])), 4294967295) % 20 AS kind
+  FROM c, crc WHERE k = 8
+), m AS (
+  SELECT key, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM k, LATERAL (SELECT unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)))
+), o AS (
+  SELECT *, left(role, 1) AS initial, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown,
+    row_number() OVER (PARTITION BY key ORDER BY turn NULLS FIRST, role, text) AS i, count(*) OVER (PARTITION BY key) AS n
+  FROM m
+), f AS MATERIALIZED (
+  SELECT *, CASE WHEN shown = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY key, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(initial) OVER (PARTITION BY key ORDER BY i) || initial AS pair FROM o
+), fit(q, next) AS (
+  VALUES (0, 2), (1, 2), (2, 3), (3, 2)
+), before(q, letters, state, cost) AS (
+  SELECT q, '', q, 0 FROM fit UNION ALL SELECT q, 'I', next, 2 FROM fit UNION ALL SELECT a.q, 'II', b.next, 4 FROM fit a JOIN fit b ON b.q = a.next
+), edit(state, letter, initial, next, cost) AS (
+  SELECT q, 'D', NULL, q, 3 FROM fit UNION ALL SELECT q, 'R', NULL, next, 2 FROM fit
+  UNION ALL SELECT q, 'K', CASE next WHEN 2 THEN 'u' ELSE 'a' END, next, 0 FROM fit UNION ALL VALUES (0, 'K', 's', 1, 0)
+), best(key, i, q, b) AS (
+  SELECT DISTINCT key, 0, 0, '00000000' FROM f
+  UNION ALL
+  SELECT best.key, best.i + 1, edit.next, min(printf('%08d', CAST(left(b, 8) AS BIGINT) + before.cost + edit.cost + CASE WHEN fault = 'truncated' AND letter <> 'D' THEN 1 ELSE 0 END)
+    || substr(b, 9) || before.letters || letter)
+  FROM best JOIN before ON before.q = best.q JOIN edit ON edit.state = before.state JOIN f ON f.key = best.key AND f.i = best.i + 1
+  WHERE letter = 'D' OR fault NOT IN ('blank', 'duplicate') AND (letter = 'R' OR edit.initial = f.initial)
+  GROUP BY best.key, best.i + 1, edit.next
+), a AS (
+  SELECT key, CAST(left(b, 8) AS BIGINT) AS cost, substr(b, 9) AS audit FROM (
+    SELECT best.key, min(printf('%08d', CAST(left(b, 8) AS BIGINT) + CASE q WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 0 END) || substr(b, 9) || CASE q WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END) AS b
+    FROM best JOIN (SELECT DISTINCT key, n FROM f) USING (key) WHERE best.i = n GROUP BY best.key)
+), e AS (
+  SELECT key, j, substr(audit, j, 1) AS letter, length(replace(left(audit, j), 'I', '')) AS i, length(replace(left(audit, j), 'D', '')) AS place
+  FROM (SELECT key, audit, unnest(range(1, length(audit) + 1)) AS j FROM a)
+), s AS (
+  SELECT e.key, bool_or(initial = 's') AS led FROM e JOIN f ON f.key = e.key AND f.i = e.i WHERE letter = 'K' AND place = 1 GROUP BY e.key
+), h AS (
+  SELECT e.key, string_agg(CASE WHEN letter = 'K' THEN role ELSE CASE (place + CASE WHEN led THEN 1 ELSE 0 END) % 2 WHEN 1 THEN 'user' ELSE 'assistant' END END
+    || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS said
+  FROM e LEFT JOIN f ON f.key = e.key AND f.i = e.i LEFT JOIN s ON s.key = e.key WHERE letter <> 'D' GROUP BY e.key
+), g AS (
+  SELECT key, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY key
+)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, key FROM c) d LEFT JOIN g USING (key) LEFT JOIN a USING (key) LEFT JOIN h USING (key)
+"""
