@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pairweave.operators.lengths import (
     LengthRange,
@@ -56,6 +56,20 @@ def assign_cell(df: DataFrame, src: list[LengthRange], tgt: list[LengthRange]) -
     return assign_range(assign_range(df, "src_len", src, "src"), "tgt_len", tgt, "tgt")
 
 
+def cell_key() -> Column:
+    """One number for the cell of a row, from its two range starts; -1 where it has none.
+
+    Joins use it instead of the four range columns: it is never null, so Spark infers no filter that would repeat how the
+    ranges were found.
+    """
+    return F.coalesce(F.shiftleft(F.col("src_start").cast("bigint"), 32) + F.col("tgt_start"), F.lit(-1).cast("bigint"))
+
+
+def _matched(placed: DataFrame, cells: DataFrame, how: str) -> DataFrame:
+    keys = F.broadcast(cells.select(cell_key().alias("_cell")))
+    return placed.withColumn("_cell", cell_key()).join(keys, "_cell", how).drop("_cell")
+
+
 def count_cells(placed: DataFrame, weight: str | None = None) -> DataFrame:
     """Rows per non-empty cell; ``weight`` names the count column when ``placed`` is a histogram."""
     rows = F.sum(weight) if weight else F.count(F.lit(1))
@@ -67,7 +81,8 @@ def cell_grid(spark: SparkSession, src: list[LengthRange], tgt: list[LengthRange
     """Every cell of the grid with its count, empty cells included; at most ``num_cuts`` squared rows."""
     cells = [(*s, *t) for s in src for t in tgt]
     grid = spark.createDataFrame(cells, ", ".join(f"{c} int" for c in CELL))
-    return grid.join(counts, CELL, "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+    counted = counts.select(cell_key().alias("_cell"), "n")
+    return grid.withColumn("_cell", cell_key()).join(counted, "_cell", "left").select(*CELL, F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
 
 
 def filter_min_samples(counts: DataFrame, min_samples: int) -> DataFrame:
@@ -82,12 +97,12 @@ def valid_cells(grid: Grid, min_samples: int) -> DataFrame:
 
 def keep_valid(placed: DataFrame, cells: DataFrame) -> DataFrame:
     """Rows whose cell is kept. ``cells`` has at most ``num_cuts`` squared rows, hence the broadcast."""
-    return placed.join(F.broadcast(cells.select(*CELL)), CELL, "left_semi")
+    return _matched(placed, cells, "left_semi")
 
 
 def discarded(placed: DataFrame, cells: DataFrame) -> DataFrame:
     """Rows whose cell was dropped, or whose lengths no range holds."""
-    return placed.join(F.broadcast(cells.select(*CELL)), CELL, "left_anti")
+    return _matched(placed, cells, "left_anti")
 
 
 def padding_totals(kept: DataFrame, weight: str | None = None) -> DataFrame:

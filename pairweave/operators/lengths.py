@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
@@ -135,22 +136,37 @@ def collect_sides(cuts: DataFrame) -> tuple[list[LengthRange], list[LengthRange]
     return src, tgt
 
 
-def range_index(length: Column, ranges: list[LengthRange]) -> Column:
-    """Index of the range that holds a length, null where none does; one comparison per range, whatever the lengths."""
+#: Lengths up to here are placed by an array of one entry per length; ranges that end later by comparisons.
+LOOKUP_LENGTHS = 1 << 16
+
+
+def range_value(length: Column, ranges: list[LengthRange], values: list[int]) -> Column:
+    """The value that belongs to the range holding a length, null where none does. ``ranges`` must be sorted.
+
+    The array of values by length is one constant, so the result is a single cheap expression over the length: Spark may
+    repeat it wherever it is used. (``get`` is used because ``element_at`` is not null-safe in its index under ANSI mode.)
+    """
     if not ranges:
         return F.lit(None).cast("int")
+    if ranges[-1].end <= LOOKUP_LENGTHS:
+        by_length: list[int | None] = [None] * ranges[-1].end
+        for r, value in zip(ranges, values):
+            by_length[r.start : r.end] = [value] * (r.end - r.start)
+        return F.get(F.from_json(F.lit(json.dumps(by_length)), "array<int>"), length)
     begun = reduce(lambda a, b: a + b, [(length >= r.start).cast("int") for r in ranges])
-    return F.when(length < F.get(F.lit([r.end for r in ranges]), begun - 1), begun - 1)
+    constant = lambda of: F.from_json(F.lit(json.dumps(of)), "array<int>")
+    return F.when(length < F.get(constant([r.end for r in ranges]), begun - 1), F.get(constant(values), begun - 1))
+
+
+def range_index(length: Column, ranges: list[LengthRange]) -> Column:
+    """Index of the range that holds a length, null where none does."""
+    return range_value(length, ranges, list(range(len(ranges))))
 
 
 def assign_range(df: DataFrame, length: str, ranges: list[LengthRange], prefix: str) -> DataFrame:
     """Add ``{prefix}_bucket``, ``{prefix}_start`` and ``{prefix}_end``; null where no range holds the length.
 
-    A projection over constants: no join and no shuffle. ``ranges`` must be sorted. (``get`` is used because
-    ``element_at`` is not null-safe in its index under ANSI mode.)
+    A projection over constants: no join and no shuffle.
     """
-    bucket = F.col(f"{prefix}_bucket")
-    ends = {"start": [r.start for r in ranges] or [None], "end": [r.end for r in ranges] or [None]}
-    edge = lambda values: F.get(F.array(*[F.lit(v).cast("int") for v in values]), bucket)
-    placed = df.withColumn(f"{prefix}_bucket", range_index(F.col(length), ranges))
-    return placed.withColumns({f"{prefix}_{name}": edge(values) for name, values in ends.items()})
+    values = {"bucket": list(range(len(ranges))), "start": [r.start for r in ranges], "end": [r.end for r in ranges]}
+    return df.withColumns({f"{prefix}_{name}": range_value(F.col(length), ranges, of) for name, of in values.items()})

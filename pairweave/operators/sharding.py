@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pairweave.operators.cells import CELL
+from pairweave.operators.cells import CELL, cell_key
 from pairweave.operators.numbering import SLICE_ROWS, hash_key, hash_slice, number_rows
 
 #: Token positions per batch; close to what the published run used over its cells.
@@ -28,15 +28,15 @@ def assign_shards(placed: DataFrame, cells: DataFrame, max_samples: int, key: st
     less), however large its shards are. ``cells`` has at most ``num_cuts`` squared rows and is broadcast.
     """
     sized = cells.select(
-        *CELL,
+        cell_key().alias("_cell"),
         shard_count(F.col("n"), max_samples).alias("num_shards"),
         F.greatest(F.lit(1), F.ceil(F.col("n") / min(max_samples, SLICE_ROWS))).cast("int").alias("_slices"),
     )
-    keyed = placed.join(F.broadcast(sized), CELL).withColumn("shuffle_key", hash_key(seed, key))
+    keyed = placed.withColumn("_cell", cell_key()).join(F.broadcast(sized), "_cell").withColumn("shuffle_key", hash_key(seed, key))
     keyed = keyed.withColumn("_slice", hash_slice(F.col("shuffle_key"), F.col("_slices")))
-    ranked = number_rows(keyed, CELL, "_slice", ["shuffle_key", key], "cell_rank")
+    ranked = number_rows(keyed, ["_cell"], "_slice", ["shuffle_key", key], "cell_rank")
     shard = F.least(F.floor(F.col("cell_rank") / max_samples), F.col("num_shards") - 1).cast("int")
-    return ranked.withColumn("shard_idx", shard).drop("_slice", "_slices", "shuffle_key")
+    return ranked.withColumn("shard_idx", shard).drop("_cell", "_slice", "_slices", "shuffle_key")
 
 
 def shard_manifest(sharded: DataFrame) -> DataFrame:

@@ -202,3 +202,15 @@ def test_placing_rows_joins_and_shuffles_nothing(spark):
     kept = cells.keep_valid(cells.assign_cell(pairs, grid.src, grid.tgt), cells.valid_cells(grid, 10))
     kept_plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in kept_plan and "NestedLoop" not in kept_plan and "SortMergeJoin" not in kept_plan
+
+
+def test_placing_adds_no_filter(spark):
+    """Ranges are found in projections; nothing that repeats them is pushed below the join or the scan."""
+    pairs = spark.range(500).selectExpr("id AS pair_id", "cast(2 + id % 40 as int) AS src_len", "cast(2 + id % 37 as int) AS tgt_len")
+    grid = cells.build_grid(pairs, 6)
+    placed, valid = cells.assign_cell(pairs, grid.src, grid.tgt), cells.valid_cells(grid, 5)
+    for df in (cells.keep_valid(placed, valid), cells.discarded(placed, valid), sharding.assign_shards(placed, valid, 100)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        rows = plan.splitlines()
+        scan = next(i for i, line in enumerate(rows) if "Range (0, 500" in line)
+        assert not any("Filter" in line for line in rows[:scan])

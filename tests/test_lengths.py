@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
+from pairweave.operators import lengths
 from pairweave.operators import lengths
 from pairweave.operators.lengths import (
     LengthRange,
@@ -106,5 +107,14 @@ def test_lengths_outside_all_ranges_get_null(spark):
     }
 
 
+def test_lengths_are_placed_alike_with_and_without_an_array(spark, monkeypatch):
+    ranges = [LengthRange(0, 4), LengthRange(4, 9), LengthRange(12, 70_000)]
+    lookup = assign_range(lengths_frame(spark, [0, 3, 4, 8, 9, 11, 12, 69_999, 70_000, -1, None]), "n", ranges[:2], "x").collect()
+    assert lengths.LOOKUP_LENGTHS < ranges[-1].end
+    compared = assign_range(lengths_frame(spark, [0, 3, 4, 8, 9, 11, 12, 69_999, 70_000, -1, None]), "n", ranges, "x").collect()
+    placed = lambda rows: {r.n: (r.x_bucket, r.x_start, r.x_end) for r in rows}
+    assert placed(compared) == placed(lookup) | {12: (2, 12, 70_000), 69_999: (2, 12, 70_000)}
+
+
 def test_no_ranges_hold_nothing(spark):
     assert assign_range(lengths_frame(spark, [0, 4]), "n", [], "x").filter("x_start IS NOT NULL").count() == 0
