@@ -10,12 +10,12 @@ from pairweave.operators.vocabulary import Bpe, id_lookup, lookup_ids, train_bpe
 from pairweave.plans.buckets import Plan, plan_buckets
 from pairweave.plans.preprocess import piece_counts
 from pairweave.session import cut_lineage, scratch_path, spread
+from pairweave.sources.tables import read_vocab, write_vocab
 
 NUM_CUTS = 8
 MIN_SAMPLES = 200
 MAX_SAMPLES = 1500
 WORD_VOCABULARY = 2000
-MERGES = 8
 TOKEN_BUDGET = 2000
 EPOCHS = 4
 
@@ -106,9 +106,22 @@ def encoded_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("pair_id", add_specials(F.col("_src")).alias("src_ids"), add_specials(F.col("_tgt")).alias("tgt_ids"))
 
 
+_MODELS: dict[tuple[str, str], str] = {}
+
+
 def bpe_model(spark: SparkSession, sf_dir: str) -> Bpe:
-    """A few merges over the units of all documents."""
-    return train_bpe(unit_counts(documents(spark, sf_dir), "text"), num_merges=MERGES)
+    """The subword model of all documents, trained to the real stop: 16,384 tokens, or no pair that occurs four times.
+
+    It is trained once per session and data set, saved, and loaded from then on.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    try:
+        return read_vocab(spark, _MODELS[key])
+    except (KeyError, FileNotFoundError):
+        path = scratch(spark, "bpe")
+        write_vocab(train_bpe(unit_counts(documents(spark, sf_dir), "text")), path)
+        _MODELS[key] = path
+        return read_vocab(spark, path)
 
 
 def drop_every_fifth(text):

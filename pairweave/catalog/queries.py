@@ -215,9 +215,14 @@ def bpe_merges(spark, sf_dir):
     return fx.bpe_model(spark, sf_dir).merges
 
 
+@query
+def bpe_first_merges(spark, sf_dir):
+    return fx.bpe_model(spark, sf_dir).merges.filter("rank < 8")
+
+
 @query(key="bpe_encode")
-def bpe_encode_pairs(spark, sf_dir):
-    encoded = bpe_encode(fx.bitext(spark, sf_dir), fx.bpe_model(spark, sf_dir), {"ids": "src_text"})
+def bpe_encode_turns(spark, sf_dir):
+    encoded = bpe_encode(fx.turns(spark, sf_dir), fx.bpe_model(spark, sf_dir), {"ids": "text"})
     return encoded.select("pair_id", joined(F.col("ids")).alias("ids"))
 
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import heapq
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pairweave.functions.arrays import SPECIAL_TOKENS, UNK
@@ -16,20 +18,6 @@ from pairweave.session import remove, rewrite
 VOCAB_SCHEMA = "token string, id int"
 MERGE_SCHEMA = "rank int, left string, right string"
 
-# One character per symbol id, so that a pair is a two-character string and a merge is ``replace``. Starting at U+0100
-# and stepping over the surrogates keeps code-point order equal to id order.
-_FIRST, _SURROGATES, _SURROGATES_END = 0x100, 0xD800, 0xE000
-
-
-def _symbol(token_id: int) -> str:
-    code = _FIRST + token_id
-    return chr(code if code < _SURROGATES else code + _SURROGATES_END - _SURROGATES)
-
-
-def _symbol_id(symbol: str) -> int:
-    code = ord(symbol)
-    return (code if code < _SURROGATES else code - (_SURROGATES_END - _SURROGATES)) - _FIRST
-
 
 class Bpe(NamedTuple):
     """A trained subword model: ``vocab(token, id)`` and ``merges(rank, left, right)``."""
@@ -77,17 +65,20 @@ def train_bpe(
     vocab_size: int = 16_384,
     min_frequency: int = 4,
     num_merges: int | None = None,
-    tracked_pairs: int = 20_000,
-    rewrite_after: int = 12,
+    tracked_pairs: int = 50_000,
+    most_steps: int = 1024,
 ) -> Bpe:
     """Learn merges over distinct byte-level words ``(word, cnt)``.
 
-    The words stay distributed, one symbol per character. One full count gives the driver the ``tracked_pairs`` most
-    frequent pairs; it then chooses every pair that is certain to be next in turn (``_certain_prefix``), and a job over
-    the words holding those pairs returns how their merging changes the counts, at most a few rows per token. Pairs
-    below the tracked ones can only become rarer, so the table stays exact until it is used up and counted anew.
-    The words are rewritten after ``rewrite_after`` merges, and the table before is dropped; until then a job replays
-    the merges on the fly.
+    The words stay distributed, under an index from pair to words (``WordIndex``). The driver holds the counts of the most
+    frequent pairs, four times ``tracked_pairs`` at most. A round predicts the next merges by the counts at hand and runs one job
+    over the words that hold one of them; it returns, merge by merge, how pair counts change. The driver then takes merges
+    as counting anew after each would choose them, for as long as the choice is among the predicted ones and what the job
+    says of it holds: predicted merges that meet in no word may change places, others may not (``_dependencies``).
+    The first predicted merge is always taken, and mostly a few hundred are.
+
+    A pair outside the table can only become rarer, so the table stays exact until it is used up and counted anew; a merge
+    that spells a token already there is the exception, and is followed by a new count.
     Training ends at ``vocab_size`` tokens, after ``num_merges`` merges if given, or when no pair occurs
     ``min_frequency`` times.
     """
@@ -100,123 +91,275 @@ def train_bpe(
     merges: list[tuple[int, str, str]] = []
     most = float("inf") if num_merges is None else num_merges
 
-    spelled = F.translate("word", "".join(alphabet), "".join(_symbol(ids[c]) for c in alphabet))
-    state = words.select(spelled.alias("word"), "cnt").filter(F.char_length("word") > 1)
-    # Merging costs far more per byte than reading: one partition per core, however small the table.
-    state = state.repartition(spark.sparkContext.defaultParallelism).persist()
-    pending: list[tuple[str, str]] = []
-    known: dict[str, int] | None = None
-    floor = 0  # no pair outside ``known`` is more frequent than this
-    while len(tokens) < vocab_size and len(merges) < most:
-        if known is None:
-            known, floor = _frequent_pairs(_apply(state, pending), min_frequency, tracked_pairs)
-        ranked = heapq.nsmallest(65, known.items(), key=lambda item: (-item[1], item[0]))
-        if not ranked:
-            if floor < min_frequency:
+    index = WordIndex.of_words(words, alphabet, len(SPECIAL_TOKENS))
+    remove(spark, table)
+    known = PairCounts(*index.frequent_pairs(min_frequency, tracked_pairs))
+    expected = 64
+    while (room := int(min(vocab_size - len(tokens), most - len(merges), expected))) > 0:
+        if not known:
+            if known.floor < min_frequency:
                 break
-            known = None
+            index = index.rebuilt()
+            known = PairCounts(*index.frequent_pairs(min_frequency, tracked_pairs))
             continue
-        unseen = ranked[64][1] if len(ranked) > 64 else floor
-        chosen = _certain_prefix(ranked[:64], unseen, tokens, ids)
-        room = int(min(vocab_size - len(tokens), most - len(merges), len(chosen)))
-        step: list[tuple[str, str]] = []
+        steps = _predicted(known.leading(room), tokens, ids)
+        changes = index.count_changes(steps, known.floor)
+        needs, place = _dependencies(steps, changes), {pair: i for i, (pair, _) in enumerate(steps)}
+        symbols: dict[int, int] = {}  # predicted ones as they are numbered now
+        taken: dict[int, tuple[int, int]] = {}
         repeats = False
-        for pair in chosen[:room]:
-            left, right = (tokens[_symbol_id(s)] for s in pair)
-            merged = left + right
-            repeats = repeats or merged in ids
-            if merged not in ids:
-                ids[merged] = len(tokens)
-                tokens.append(merged)
+        while known and not repeats and (step := place.get(known.first())) is not None and needs[step] <= taken.keys():
+            pair, predicted = steps[step]
+            left, right = tokens[pair >> 32], tokens[pair & _LOW]
             merges.append((len(merges), left, right))
-            step.append((pair, _symbol(ids[merged])))
+            repeats = left + right in ids
+            symbol = symbols[predicted] = ids.setdefault(left + right, len(tokens))
+            if not repeats:
+                tokens.append(left + right)
+            taken[step] = (pair, symbol)
+            known.update([(symbols.get(p >> 32, p >> 32) << 32 | symbols.get(p & _LOW, p & _LOW), n) for p, n in changes.get(step, ())], symbol)
+        index.accept(list(taken.values()))
+        expected = min(most_steps, max(64, expected // 2, 2 * len(taken)))
         if repeats:
-            known = None  # a known token became more frequent, and pairs outside the table with it
-        elif len(tokens) < vocab_size and len(merges) < most:
-            changes = _count_changes(_apply(state, pending), step).collect()
-            known = _updated(known, changes, {symbol for _, symbol in step}, floor)
-        pending += step
-        if len(pending) >= rewrite_after:
-            rewritten, new_table = rewrite(_apply(state, pending), "words")
-            state.unpersist()
-            remove(spark, table)
-            state, table, pending = rewritten.persist(), new_table, []
-    state.unpersist()
-    remove(spark, table)
+            known = PairCounts({}, max(min_frequency, known.floor))  # a known token became more frequent: count anew
+        known.trim(tracked_pairs)
+        if index.reads > 2 * index.rows:
+            index = index.rebuilt()
+    index.drop()
     vocab = spark.createDataFrame(list(zip(tokens, range(len(tokens)))), VOCAB_SCHEMA)
     return Bpe(vocab, spark.createDataFrame(merges, MERGE_SCHEMA))
 
 
-def _frequent_pairs(state: DataFrame, least: int, tracked: int) -> tuple[dict[str, int], int]:
-    """The most frequent pairs, and a count that no other pair exceeds."""
-    counted = pair_counts(state).filter(F.col("cnt") >= least)
-    rows = counted.orderBy(F.desc("cnt"), "pair").limit(tracked + 1).collect()
-    floor = least - 1 if len(rows) <= tracked else rows[-1].cnt
-    return {r.pair: r.cnt for r in rows if r.cnt > floor} or {r.pair: r.cnt for r in rows[:1]}, floor
+_LOW = 0xFFFFFFFF
 
 
-def _merged(merges: list[tuple[str, str]]) -> str:
-    """SQL for ``word`` after the merges, one after the other. Symbols lie above U+00FF, so no quoting is needed.
+def _predicted(pairs: list[int], tokens: list[str], ids: dict[str, int]) -> list[tuple[int, int]]:
+    """``(pair, symbol it becomes)`` for pairs in turn, up to and with the first that spells a known token."""
+    made: dict[str, int] = {}
+    steps = []
+    for pair in pairs:
+        merged = tokens[pair >> 32] + tokens[pair & _LOW]
+        if merged in made:
+            break
+        if merged in ids:
+            return [*steps, (pair, ids[merged])]
+        made[merged] = len(tokens) + len(steps)
+        steps.append((pair, made[merged]))
+    return steps
 
-    The merges are data to one expression, so that all rounds share compiled code.
+
+def _dependencies(steps: list[tuple[int, int]], changes: dict[int, list[tuple[int, int]]]) -> list[set[int]]:
+    """For each step the earlier ones without which its changes would be others.
+
+    Steps are pairs of symbols from before the round. So an earlier step matters to a later one only where it takes away
+    an occurrence of the later one's pair, which is among the earlier one's changes, or where it makes the symbol next to such an
+    occurrence, which then is in a pair among the later one's changes.
     """
-    pairs, symbols = (" ".join(column) for column in zip(*merges))
-    steps = f"arrays_zip(split('{pairs}', ' '), split('{symbols}', ' '))"
-    return f"aggregate({steps}, word, (w, m) -> replace(w, m['0'], m['1']))"
-
-
-def _apply(state: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
-    if not merges:
-        return state
-    return state.selectExpr(f"{_merged(merges)} AS word", "cnt").where("char_length(word) > 1")
-
-
-def _count_changes(state: DataFrame, step: list[tuple[str, str]]) -> DataFrame:
-    """How pair counts change by ``step``, from the words it touches alone."""
-    pairs = " ".join(pair for pair, _ in step)
-    touched = state.where(f"exists(split('{pairs}', ' '), p -> contains(word, p))")
-    both = touched.selectExpr("word", f"{_merged(step)} AS after", "cnt")
-    signed = [
-        f"transform(sequence(1, char_length({w}) - 1), i -> struct(substring({w}, i, 2) AS pair, {sign} AS sign))"
-        for w, sign in (("word", -1), ("after", 1))
-    ]
-    each = both.selectExpr("cnt", f"inline(concat({signed[0]}, if(char_length(after) > 1, {signed[1]}, array())))")
-    return each.groupBy("pair").agg(F.expr("sum(cnt * sign) AS change")).where("change <> 0")
-
-
-def _updated(known: dict[str, int], changes, made: set[str], floor: int) -> dict[str, int]:
-    """Tracked counts after a step. Only pairs with a new symbol may join; those at or below the floor leave."""
-    for row in changes:
-        if row.pair in known or made & set(row.pair):
-            known[row.pair] = known.get(row.pair, 0) + row.change
-            if known[row.pair] <= floor:
-                del known[row.pair]
-    return known
-
-
-def _certain_prefix(ranked: list[tuple[str, int]], unseen: int, tokens: list[str], ids: dict[str, int]) -> list[str]:
-    """The leading pairs that would also be chosen, in this order, if counts were redone after every single merge.
-
-    Merging (a, b) only changes counts of pairs touching a or b, and a pair with the new symbol occurs at most as often
-    as the pair touching a or b that it replaces. So while the pairs share no symbol their counts stand, and anything
-    new is at most as frequent as the first pair left out: pairs counted strictly more often than that are certain.
-    A pair of equal symbols, or one spelling a known token, may create more frequent pairs: it ends the prefix.
-    ``unseen`` is the count that no pair outside ``ranked`` exceeds.
+    place = {pair: i for i, (pair, _) in enumerate(steps)}
+    made = {symbol: i for i, (_, symbol) in enumerate(steps)}
+    needs: list[set[int]] = [set() for _ in steps]
+    for step, rows in changes.items():
+        for pair, _ in rows:
+            if place.get(pair, -1) > step:
+                needs[place[pair]].add(step)
+            for symbol in (pair >> 32, pair & _LOW):
+                if made.get(symbol, step) < step:
+                    needs[step].add(made[symbol])
+    return needs
+
+
+class PairCounts:
+    """Counts of the pairs that occur more often than ``floor``, in the order training takes them: by count, then by symbols."""
+
+    def __init__(self, counts: dict[int, int], floor: int):
+        self.counts, self.floor = counts, floor
+        self.order = [(-n, pair) for pair, n in counts.items()]
+        heapq.heapify(self.order)
+
+    def __bool__(self) -> bool:
+        return bool(self.counts)
+
+    def first(self) -> int | None:
+        """The pair that is next."""
+        while self.order and self.counts.get(self.order[0][1]) != -self.order[0][0]:
+            heapq.heappop(self.order)
+        return self.order[0][1] if self.order else None
+
+    def leading(self, n: int) -> list[int]:
+        """The next ``n`` pairs as the counts stand."""
+        return [pair for _, pair in heapq.nsmallest(n, ((-count, pair) for pair, count in self.counts.items()))]
+
+    def update(self, changes: list[tuple[int, int]], made: int) -> None:
+        """Counts after a merge. Only pairs with the symbol it made may join; those at or below the floor leave."""
+        for pair, change in changes:
+            if pair in self.counts or made in (pair >> 32, pair & _LOW):
+                count = self.counts.get(pair, 0) + change
+                if count > self.floor:
+                    self.counts[pair] = count
+                    heapq.heappush(self.order, (-count, pair))
+                else:
+                    self.counts.pop(pair, None)
+
+    def trim(self, tracked: int) -> None:
+        """Raise the floor once the table has grown to four times the tracked pairs."""
+        if len(self.counts) > 4 * tracked:
+            self.floor = heapq.nlargest(tracked + 1, self.counts.values())[-1]
+            self.__init__({p: n for p, n in self.counts.items() if n > self.floor}, self.floor)
+
+
+class Replay:
+    """Merges in turn, applied to single words.
+
+    Each merge goes over a word once, so a pair that a later merge brings about again is left alone, as in training.
     """
-    used: set[str] = set()
-    made: set[str] = set()
-    stop = 0
-    for pair, _ in ranked:
-        if used & set(pair):
-            break
-        stop += 1
-        merged = "".join(tokens[_symbol_id(s)] for s in pair)
-        if pair[0] == pair[1] or merged in ids or merged in made:
-            break
-        used.update(pair)
-        made.add(merged)
-    bound = ranked[stop][1] if stop < len(ranked) else unseen
-    return [pair for i, (pair, count) in enumerate(ranked[:stop]) if i == 0 or count > bound]
+
+    def __init__(self, merges: list[tuple[int, int]]):
+        self.merges = merges
+        self.ranks = {pair: rank for rank, (pair, _) in enumerate(merges)}
+
+    def run(self, word: list[int], counted_from: int, cnt: int, changes: dict[tuple[int, int], int]) -> list[int]:
+        """The word after all merges; adds what merges from ``counted_from`` on change to ``changes``, by (merge, pair)."""
+        last = -1
+        while True:
+            pairs = [a << 32 | b for a, b in zip(word, word[1:])]
+            last = min((r for p in pairs if (r := self.ranks.get(p, -1)) > last), default=None)
+            if last is None:
+                return word
+            pair, symbol = self.merges[last]
+            left, right, out, i = pair >> 32, pair & _LOW, [], 0
+            while i < len(word):
+                if word[i] == left and i + 1 < len(word) and word[i + 1] == right:
+                    out.append(symbol)
+                    i += 2
+                else:
+                    out.append(word[i])
+                    i += 1
+            if last >= counted_from:
+                for p in pairs:
+                    changes[last, p] = changes.get((last, p), 0) - cnt
+                for a, b in zip(out, out[1:]):
+                    changes[last, a << 32 | b] = changes.get((last, a << 32 | b), 0) + cnt
+            word = out
+
+
+class WordIndex:
+    """Distinct words as symbol ids, and the inverted table pair -> words: one file per share of the words, sorted by pair.
+
+    Building it shuffles nothing, and a pair that is in most words is in all files. The table holds words as they were when it was built. Merges accepted since then are pending: a job reads the words
+    under the pairs of the pending and of the new merges, found by the sort order, and replays the merges on them. Once jobs
+    have read twice as many rows as the table has, the words are rewritten and the table is built again, so reading stays
+    in proportion to what merges touch.
+    """
+
+    SCHEMA = "pair bigint, word array<int>, cnt bigint, times int"
+
+    def __init__(self, spark: SparkSession, words: DataFrame, words_path: str, symbols: int):
+        self.spark, self.words, self.words_path, self.symbols = spark, words, words_path, symbols
+        self.pending: list[tuple[int, int]] = []
+        self.reads = 0
+        self.table, self.path = rewrite(words.mapInArrow(_words_by_pair, self.SCHEMA).sortWithinPartitions("pair"), "pairs")
+        self.rows = self.table.count()
+
+    @classmethod
+    def of_words(cls, words: DataFrame, alphabet: list[str], first: int) -> WordIndex:
+        """The index of spelled words ``(word, cnt)``; letter ``i`` of the alphabet is symbol ``first + i``."""
+        of = {c: first + i for i, c in enumerate(alphabet)}
+
+        def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                spelled = [[of[c] for c in w] for w in batch.column(0).to_pylist()]
+                yield pa.RecordBatch.from_pydict({"word": pa.array(spelled, pa.list_(pa.int32())), "cnt": batch.column(1)})
+
+        spark = words.sparkSession
+        # Merging costs far more per byte than reading: one share per core, however small the table.
+        longer = words.filter(F.char_length("word") > 1).select("word", F.col("cnt").cast("bigint")).repartition(spark.sparkContext.defaultParallelism)
+        return cls(spark, *rewrite(longer.mapInArrow(spell, "word array<int>, cnt bigint"), "words"), first + len(alphabet))
+
+    def frequent_pairs(self, least: int, tracked: int) -> tuple[dict[int, int], int]:
+        """The most frequent pairs, and a count that no other pair exceeds. No merge may be pending."""
+        counted = self.table.groupBy("pair").agg(F.sum(F.col("cnt") * F.col("times")).cast("bigint").alias("cnt")).filter(F.col("cnt") >= least)
+        rows = counted.orderBy(F.desc("cnt"), "pair").limit(tracked + 1).collect()
+        floor = least - 1 if len(rows) <= tracked else rows[-1].cnt
+        above = {r.pair: r.cnt for r in rows if r.cnt > floor}
+        if rows and not above:  # all are equally frequent: as many as there are
+            floor -= 1
+            above = {r.pair: r.cnt for r in counted.filter(F.col("cnt") > floor).collect()}
+        return above, floor
+
+    def _touched(self, merges: list[tuple[int, int]]) -> list[int]:
+        """The pairs of merges that words of the table may hold."""
+        return sorted(p for p, _ in merges if p >> 32 < self.symbols and p & _LOW < self.symbols)
+
+    def count_changes(self, steps: list[tuple[int, int]], floor: int) -> dict[int, list[tuple[int, int]]]:
+        """By step, ``(pair, change of its count)``. New pairs that occur no more often than the floor are left out."""
+        merges, start = [*self.pending, *steps], len(self.pending)
+        wanted = self._touched(merges)
+
+        def changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            replay, found, held, read = Replay(merges), {}, set(wanted), 0
+            for batch in batches:
+                read += len(batch)
+                for pair, word, cnt in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                    # A word is listed under each of its pairs, and counted under the least of those that were asked for.
+                    if pair == min(p for a, b in zip(word, word[1:]) if (p := a << 32 | b) in held):
+                        replay.run(word, start, cnt, found)
+            rows = [(rank - start, pair, n) for (rank, pair), n in found.items() if n] + [(-1, 0, read)]
+            steps_, pairs, counts = zip(*rows)
+            yield pa.RecordBatch.from_pydict({"step": pa.array(steps_, pa.int32()), "pair": pa.array(pairs, pa.int64()), "n": pa.array(counts, pa.int64())})
+
+        rows = self.table.filter(_among("pair", wanted)).select("pair", "word", "cnt")
+        summed = rows.mapInArrow(changes, "step int, pair bigint, n bigint").groupBy("step", "pair").agg(F.sum("n").alias("n"))
+        out: dict[int, list[tuple[int, int]]] = {}
+        for r in summed.filter(f"step < 0 or n < 0 or n > {floor}").collect():
+            out.setdefault(r.step, []).append((r.pair, r.n))
+        self.reads += sum(n for _, n in out.pop(-1, ()))
+        return out
+
+    def accept(self, steps: list[tuple[int, int]]) -> None:
+        """Merges that all later jobs replay."""
+        self.pending += steps
+
+    def rebuilt(self) -> WordIndex:
+        """The index of the words after the pending merges."""
+        merges = self.pending
+
+        def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            replay = Replay(merges)
+            for batch in batches:
+                after = [(w, c) for word, c in zip(*(c.to_pylist() for c in batch.columns)) if len(w := replay.run(word, len(merges), c, {})) > 1]
+                yield pa.RecordBatch.from_pydict({"word": pa.array([w for w, _ in after], pa.list_(pa.int32())), "cnt": pa.array([c for _, c in after], pa.int64())})
+
+        words, path = rewrite(self.words.mapInArrow(apply, "word array<int>, cnt bigint"), "words")
+        self.drop()
+        return WordIndex(self.spark, words, path, max([self.symbols - 1, *(s for _, s in merges)]) + 1)
+
+    def drop(self) -> None:
+        """Remove what the index has stored."""
+        remove(self.spark, self.path)
+        remove(self.spark, self.words_path)
+
+
+def _words_by_pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each distinct pair of a word, with how often it is in the word."""
+    for batch in batches:
+        rows = [(p, w, c, n) for w, c in zip(*(c.to_pylist() for c in batch.columns)) for p, n in Counter(a << 32 | b for a, b in zip(w, w[1:])).items()]
+        pairs, words, counts, times = zip(*rows) if rows else ((),) * 4
+        yield pa.RecordBatch.from_pydict({
+            "pair": pa.array(pairs, pa.int64()), "word": pa.array(words, pa.list_(pa.int32())), "cnt": pa.array(counts, pa.int64()), "times": pa.array(times, pa.int32()),
+        })
+
+
+def _among(column: str, values: list[int], ranges: int = 16) -> str:
+    """A filter for some sorted values, stated also as at most so many ranges around them.
+
+    A scan skips pages by ranges; of a long list of values alone it only knows the least and the greatest.
+    """
+    if not values:
+        return "false"
+    gaps = sorted(range(1, len(values)), key=lambda i: values[i - 1] - values[i])[: ranges - 1]
+    cuts = [0, *sorted(gaps), len(values)]
+    spans = " OR ".join(f"{column} BETWEEN {values[a]} AND {values[b - 1]}" for a, b in zip(cuts, cuts[1:]))
+    return f"({spans}) AND {column} IN ({', '.join(map(str, values))})"
 
 
 def id_lookup(vocab: DataFrame, unknown: int = UNK):
