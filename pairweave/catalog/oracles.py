@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import re
 
-from pairweave.catalog.fixtures import EPOCHS, MAX_SAMPLES, MERGES, MIN_SAMPLES, NUM_CUTS, TOKEN_BUDGET, WORD_VOCABULARY
+from pairweave.catalog.fixtures import EPOCHS, MAX_SAMPLES, MIN_SAMPLES, NUM_CUTS, TOKEN_BUDGET, WORD_VOCABULARY
 from pairweave.operators.scoring import HAN_BLOCKS, PUNCTUATION_RULES
 
 _CTES: dict[str, str] = {}
 
+#: Merges that are worth unrolling in SQL, of the thousands that training makes.
+FIRST_MERGES = 8
+
 # --- inputs
 
 _CTES["length_pairs"] = """
@@ -212,7 +215,7 @@ def _wrapped(word: str) -> str:
 
 
 _CTES["w0"] = f"SELECT {_wrapped('word')} AS word, cnt FROM unit_counts"
-for _r in range(1, MERGES + 1):
+for _r in range(1, FIRST_MERGES + 1):
     _CTES[f"p{_r}"] = f"""
 SELECT s[i] AS l, s[i + 1] AS r, sum(cnt) AS n
 FROM (SELECT s, cnt, unnest(range(1, len(s))) AS i
@@ -228,19 +231,82 @@ SELECT l || r, (SELECT CAST(max(id) + 1 AS INTEGER) FROM v{_r - 1}) FROM top{_r}
 SELECT replace(word, {_OPEN} || l || {_CLOSE} || {_OPEN} || r || {_CLOSE}, {_OPEN} || l || r || {_CLOSE}) AS word, cnt
 FROM w{_r - 1}, top{_r}"""
 
-_CTES["pair_units"] = f"""
-SELECT pair_id, unnest(u) AS unit, unnest(range(len(u))) AS pos FROM (SELECT pair_id, {_units('src_text')} AS u FROM bitext)"""
-_CTES["spelled_pair_units"] = _spelled("unit", "unit") % "pair_units"
-_CTES["e0"] = f"SELECT unit, {_wrapped('spelled')} AS word FROM spelled_pair_units"
-for _r in range(1, MERGES + 1):
-    _CTES[f"e{_r}"] = f"""
-SELECT unit, replace(word, {_OPEN} || l || {_CLOSE} || {_OPEN} || r || {_CLOSE}, {_OPEN} || l || r || {_CLOSE}) AS word
-FROM e{_r - 1}, top{_r}"""
-_CTES["unit_ids"] = f"""
-SELECT unit, i, coalesce(v.id, 3) AS id
-FROM (SELECT unit, s[i] AS token, i FROM (SELECT unit, s, unnest(range(1, len(s) + 1)) AS i
-      FROM (SELECT unit, string_split(substr(word, 2, len(word) - 2), {_CLOSE} || {_OPEN}) AS s FROM e{MERGES})))
-LEFT JOIN v{MERGES} v USING (token)"""
+# --- segmentation
+
+_LETTERS = r"[\p{L}\p{M}]+"
+_CTES["seg_texts"] = f"""
+SELECT row_number() OVER () AS seg_row, concat_ws(':', conv_id, turn) AS pair_id, replace({_normalized('text')}, ' ', '') AS t FROM conversations"""
+_CTES["seg_dictionary"] = f"""
+SELECT word, cnt, CAST(floor(1000000 * ln(cnt / CAST(sum(cnt) OVER () AS DOUBLE))) AS BIGINT) AS score, length(word) AS size
+FROM piece_counts WHERE regexp_full_match(word, '{_LETTERS}')"""
+_CTES["seg_unknown"] = "SELECT CAST(floor(1000000 * ln(1 / CAST(sum(cnt) AS DOUBLE))) AS BIGINT) AS alone, max(size) AS longest FROM seg_dictionary"
+_CTES["seg_runs"] = f"SELECT DISTINCT unnest(regexp_extract_all(t, '{_LETTERS}')) AS run FROM seg_texts"
+_CTES["seg_places"] = "SELECT run, unnest(range(1, length(run) + 1)) AS place FROM seg_runs"
+_CTES["seg_matches"] = """
+SELECT run, place, d.size, d.score FROM (
+  SELECT run, place, substr(run, place, unnest(range(1, least(longest, length(run) - place + 1) + 1))) AS word FROM seg_places, seg_unknown
+) JOIN seg_dictionary d USING (word)"""
+_CTES["seg_options"] = """
+SELECT run, place, list({'size': size, 'known': known, 'score': score}) AS options FROM (
+  SELECT run, place, size, 1 AS known, score FROM seg_matches UNION ALL
+  SELECT run, place, 1, 0, alone FROM seg_places p, seg_unknown WHERE NOT EXISTS (SELECT 1 FROM seg_matches m WHERE m.run = p.run AND m.place = p.place AND m.size = 1)
+) GROUP BY run, place"""
+# Totals and steps from a place to the end as lists; a total and the size that gives it are one number, so the longer word wins a tie.
+_CTES["seg_path"] = """
+SELECT run, length(run) + 1 AS place, [CAST(0 AS BIGINT)] AS totals, CAST([] AS BIGINT[]) AS sizes, CAST([] AS INTEGER[]) AS knowns FROM seg_runs
+UNION ALL
+SELECT run, place, list_prepend((b - (b % 8192 + 8192) % 8192) // 8192, totals), list_prepend(((b % 8192 + 8192) % 8192) // 2, sizes),
+  list_prepend(CAST(((b % 8192 + 8192) % 8192) % 2 AS INTEGER), knowns)
+FROM (SELECT p.run, o.place, totals, sizes, knowns, list_max(list_transform(o.options, lambda x: (x.score + totals[x.size]) * 8192 + x.size * 2 + x.known)) AS b
+      FROM seg_path p JOIN seg_options o ON o.run = p.run AND o.place = p.place - 1)"""
+_CTES["seg_steps"] = """
+SELECT run, CAST(1 AS BIGINT) AS place, sizes[1] AS size, knowns[1] AS known, sizes, knowns FROM seg_path WHERE place = 1
+UNION ALL
+SELECT run, place + size, sizes[place + size], knowns[place + size], sizes, knowns FROM seg_steps WHERE place + size <= length(run)"""
+_CTES["seg_stretches"] = """
+SELECT run, min(place) AS place, count(*) AS n, known, CASE WHEN known = 0 THEN substr(run, min(place), count(*)) ELSE substr(run, min(place), any_value(size)) END AS piece
+FROM (SELECT *, CASE WHEN known = 0 THEN place - row_number() OVER (PARTITION BY run, known ORDER BY place) ELSE -place END AS stretch FROM seg_steps)
+GROUP BY run, known, stretch"""
+_CTES["state_counts"] = """
+SELECT s, c, CAST(sum(cnt) AS BIGINT) AS n FROM (
+  SELECT 'S' AS s, word AS c, cnt FROM seg_dictionary WHERE size = 1
+  UNION ALL SELECT 'B', left(word, 1), cnt FROM seg_dictionary WHERE size > 1
+  UNION ALL SELECT 'E', right(word, 1), cnt FROM seg_dictionary WHERE size > 1
+  UNION ALL SELECT 'M', unnest(string_split(substr(word, 2, size - 2), '')), cnt FROM seg_dictionary WHERE size > 2
+) GROUP BY s, c"""
+_CTES["state_sums"] = """
+SELECT CAST(coalesce(sum(n) FILTER (s = 'S'), 0) AS BIGINT) AS single, CAST(coalesce(sum(n) FILTER (s = 'B'), 0) AS BIGINT) AS multi,
+  CAST(coalesce(sum(n) FILTER (s = 'M'), 0) AS BIGINT) AS inside, count(DISTINCT c) + 1 AS characters,
+  (SELECT CAST(coalesce(sum(cnt), 0) AS BIGINT) FROM seg_dictionary WHERE size > 2) AS longer FROM state_counts"""
+_CTES["state_follows"] = """
+SELECT s, t, CAST(floor(1000000 * ln(CAST(a AS DOUBLE) / b)) AS BIGINT) AS score FROM (
+  SELECT unnest(['', 'E', 'S']) AS s, 'S' AS t, single + 1 AS a, multi + single + 2 AS b FROM state_sums
+  UNION ALL SELECT unnest(['', 'E', 'S']), 'B', multi + 1, multi + single + 2 FROM state_sums
+  UNION ALL SELECT 'B', 'E', multi - longer + 1, multi + 2 FROM state_sums UNION ALL SELECT 'B', 'M', longer + 1, multi + 2 FROM state_sums
+  UNION ALL SELECT 'M', 'E', longer + 1, inside + 2 FROM state_sums UNION ALL SELECT 'M', 'M', inside - longer + 1, inside + 2 FROM state_sums)"""
+_CTES["state_totals"] = """
+SELECT unnest(['S', 'B', 'E', 'M']) AS s, unnest([single, multi, multi, inside]) + characters AS total FROM state_sums"""
+_CTES["state_shown"] = """
+SELECT piece, place, s, CAST(floor(1000000 * ln((coalesce(n, 0) + 1) / CAST(total AS DOUBLE))) AS BIGINT) AS score FROM (
+  SELECT piece, place, substr(piece, place, 1) AS c FROM (SELECT piece, unnest(range(1, n + 1)) AS place FROM (SELECT DISTINCT piece, n FROM seg_stretches WHERE known = 0 AND n > 1))
+) CROSS JOIN state_totals LEFT JOIN state_counts USING (s, c)"""
+# Paths are spelled so that of equal ones the least is the one whose words end sooner: e and s before what goes on.
+_CTES["state_path"] = """
+SELECT piece, place, s, score, CASE s WHEN 'E' THEN 'e' ELSE 's' END AS path FROM state_shown WHERE place = length(piece) AND s IN ('E', 'S')
+UNION ALL
+SELECT piece, place, s, score, path FROM (
+  SELECT h.piece, h.place, h.s, h.score + f.score + p.score AS score, CASE h.s WHEN 'E' THEN 'e' WHEN 'M' THEN 'm' WHEN 'S' THEN 's' ELSE 't' END || p.path AS path
+  FROM state_path p JOIN state_shown h ON h.piece = p.piece AND h.place = p.place - 1 JOIN state_follows f ON f.s = h.s AND f.t = p.s)
+QUALIFY row_number() OVER (PARTITION BY piece, s ORDER BY score DESC, path) = 1"""
+_CTES["state_best"] = """
+SELECT piece, path FROM state_path p JOIN state_follows f ON f.s = '' AND f.t = p.s WHERE place = 1
+QUALIFY row_number() OVER (PARTITION BY piece ORDER BY p.score + f.score DESC, path) = 1"""
+_CTES["state_words"] = """
+SELECT piece, rtrim(string_agg(substr(piece, i, 1) || CASE WHEN substr(path, i, 1) IN ('e', 's') THEN ' ' ELSE '' END, '' ORDER BY i)) AS cut
+FROM (SELECT *, unnest(range(1, length(piece) + 1)) AS i FROM state_best) GROUP BY piece"""
+_CTES["seg_cut"] = """
+SELECT run, string_agg(CASE WHEN known = 0 THEN coalesce(cut, piece) ELSE piece END, ' ' ORDER BY place) AS cut
+FROM seg_stretches LEFT JOIN state_words USING (piece) GROUP BY run"""
 
 # --- candidates, predictions, scores
 
@@ -322,17 +388,19 @@ _CTES["scored_bleu"] = _bleu("scored_matches")
 def _with(body: str) -> str:
     """Prefix ``body`` with the common table expressions it needs, in order of dependence."""
     ordered: list[str] = []
+    seen: set[str] = set()
 
     def visit(sql: str) -> None:
         for name in dict.fromkeys(re.findall(r"[a-z_0-9]+", sql)):
-            if name in _CTES and name not in ordered:
+            if name in _CTES and name not in seen:
+                seen.add(name)  # a recursive table names itself
                 visit(_CTES[name])
                 ordered.append(name)
 
     visit(body)
     if not ordered:
         return body
-    return "WITH " + ",\n".join(f"{name} AS MATERIALIZED ({_CTES[name]})" for name in ordered) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(f"{name} AS MATERIALIZED ({_CTES[name]})" for name in ordered) + "\n" + body
 
 
 def _r(col: str, digits: int = 6) -> str:
@@ -370,7 +438,6 @@ FROM (SELECT en, zh, coalesce('+' || en, '-') AS e, coalesce('+' || zh, '-') AS
 FROM (SELECT CAST(len(labels) // 16 AS INTEGER) AS bucket, unnest(list_transform(labels, lambda y: CASE WHEN y <> 0 THEN 1 ELSE 0 END)) AS real,
       unnest(list_transform(labels, lambda y, i: CASE WHEN y <> 0 AND ((len(pair_id) + i - 1) % 5 <> 0 OR y = 3) THEN 1 ELSE 0 END)) AS hit FROM predictions)
 GROUP BY bucket""",
-    "vocab_roundtrip": f"SELECT token, id FROM v{MERGES}",
     "metrics_log": """SELECT CAST(epoch AS INTEGER) AS epoch, bucket, split, round(sum(loss * n_rows) / sum(n_rows) FILTER (loss IS NOT NULL), 6) + 0.0 AS loss,
 round(coalesce(sum(hits) / nullif(sum(reals), 0), 0.0), 6) + 0.0 AS acc
 FROM (SELECT e AS epoch, batch_id, CAST(batch_id % 4 AS INTEGER) AS bucket, CASE WHEN batch_id % 5 = 4 THEN 'valid' ELSE 'train' END AS split,
@@ -392,17 +459,11 @@ GROUP BY epoch, bucket, split""",
     "byte_unit_counts": "SELECT word, cnt FROM unit_counts",
     "word_vocab": "SELECT token, id FROM word_vocab",
     "pair_counts": 'SELECT l AS "left", r AS "right", CAST(n AS BIGINT) AS cnt FROM p1',
-    "bpe_merges": " UNION ALL ".join(f'SELECT {i - 1} AS rank, l AS "left", r AS "right" FROM top{i}' for i in range(1, MERGES + 1)),
-    "bpe_encode": """SELECT b.pair_id, concat_ws(',', '1', string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos, i), '2') AS ids
-FROM bitext b LEFT JOIN pair_units USING (pair_id) LEFT JOIN unit_ids USING (unit) GROUP BY b.pair_id""",
+    "bpe_first_merges": " UNION ALL ".join(f'SELECT {i - 1} AS rank, l AS "left", r AS "right" FROM top{i}' for i in range(1, FIRST_MERGES + 1)),
     "decode_ids": "SELECT doc_id, array_to_string(p, '') AS decoded FROM doc_pieces",
     "encode_words": f"SELECT doc_id, {_joined('ids')} AS ids FROM doc_words",
     "special_tokens": f"""SELECT pair_id, {_joined('src_ids')} AS single,
 {_joined('src_ids || tgt_ids')} AS pair FROM encoded_pairs""",
-    "vocab_check": f"""SELECT token, a.id AS left_id, b.id AS right_id, (SELECT count(*) FROM word_vocab) AS left_size,
-(SELECT count(*) FROM v{MERGES}) AS right_size,
-coalesce(a.id = b.id, false) AND (SELECT count(*) FROM word_vocab) = (SELECT count(*) FROM v{MERGES}) AS compatible
-FROM (SELECT * FROM word_vocab WHERE id < 4) a FULL JOIN (SELECT * FROM v{MERGES} WHERE id < 4) b USING (token)""",
     "length_filter": """SELECT pair_id, CAST(len(src_ids) AS INTEGER) AS src_n, CAST(len(tgt_ids) AS INTEGER) AS tgt_n
 FROM encoded_pairs WHERE len(src_ids) <= 64 AND len(tgt_ids) <= 64""",
     "eval_discards": """SELECT count(*) AS total, count(*) FILTER (len(src_ids) <= 64) AS valid,
@@ -481,6 +542,14 @@ QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score / pow(len, 0.6) D
 (SELECT count(*) FROM bleu_tokens) - (SELECT count(*) FROM scored_tokens) AS discarded, round(bp * geo, 6) AS bleu FROM scored_bleu""",
     "translate_batches": f"SELECT doc_id, text, {_FIFTH.format('text')} AS hyp_text FROM documents",
 }
+_EDGE = "chr(57344)"
+_BODIES["segment_runs"] = f"""
+SELECT any_value(pair_id) AS pair_id, replace(regexp_replace(regexp_replace(string_agg(around || CASE WHEN cut IS NULL THEN '' ELSE {_EDGE} || cut || {_EDGE} END, '' ORDER BY i),
+  '(^|\\s)' || {_EDGE}, '\\1', 'g'), {_EDGE} || '(\\s|$)', '\\1', 'g'), {_EDGE}, ' ') AS segmented
+FROM (SELECT seg_row, pair_id, i, a[i] AS around, r[i] AS run FROM (
+  SELECT *, unnest(range(1, len(a) + 1)) AS i FROM (
+    SELECT seg_row, pair_id, regexp_split_to_array(t, '{_LETTERS}') AS a, regexp_extract_all(t, '{_LETTERS}') AS r FROM seg_texts)))
+LEFT JOIN seg_cut USING (run) GROUP BY seg_row"""
 _BODIES["beam_first_step"] = f"""SELECT item_id, CAST(rn - 1 AS INTEGER) AS new_beam, beam AS from_beam, token, {_r('new_score')},
 CAST(CASE WHEN token = 2 OR finished THEN len ELSE len + 1 END AS INTEGER) AS new_len
 FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY new_score DESC, beam, token) AS rn

@@ -1,128 +1,282 @@
-"""Cutting unspaced script into dictionary words."""
+"""Cutting unspaced script into dictionary words.
+
+Words of a run come from a best path over a dictionary; stretches of characters that no word covers are decoded as hidden
+states (begin, middle, end of a word, or a word of one character) of a model counted on the same dictionary. Scores are
+logarithms in whole millionths, so sums are exact and equal totals are ties on every machine.
+"""
 
 from __future__ import annotations
 
 import math
-import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairweave.session import cut_lineage
+from pairweave.operators.numbering import range_slice
+from pairweave.session import cut_lineage, rewrite
 
 #: A run of Han characters; other text is left as it is.
 HAN_RUN = r"\p{IsHan}+"
-#: Size of the filter that travels with the tasks (8 MB); a fuller one lets more substrings through to the join.
-FILTER_BITS = 1 << 26
-#: Strings of at most so many characters are dealt over so many join keys.
-SHORT, SALTS = 4, 16
+#: Most words in one automaton, which travels with the tasks: about 100 MB. Larger dictionaries are cut in parts.
+PART_WORDS = 1_000_000
+
+_NO_WORD = np.iinfo(np.int64).min
+_CHARACTER_BITS = 21
+#: What may follow each state. Of equal paths the one that ends words sooner is taken, in this order.
+_FOLLOWING = {"B": "EM", "M": "EM", "E": "SB", "S": "SB"}
+
+
+def millionths(probability: Column | float) -> Column | int:
+    """A logarithm in whole millionths, rounded down."""
+    if isinstance(probability, Column):
+        return F.floor(1_000_000 * F.log(probability)).cast("bigint")
+    return math.floor(1_000_000 * math.log(probability))
+
+
+class Automaton(NamedTuple):
+    """A prefix tree as two arrays: node ``i + 1`` is reached by edge ``i``, whose number is parent and character.
+
+    Nodes are numbered level by level, so edges are sorted, and a step from any number of nodes at once is one binary search.
+    """
+
+    edges: np.ndarray
+    scores: np.ndarray
+
+    @classmethod
+    def of_words(cls, words: list[str], scores: list[int]) -> Automaton:
+        """The tree of distinct words."""
+        order = sorted(range(len(words)), key=words.__getitem__)
+        text = np.frombuffer("".join(words[i] for i in order).encode("utf-32-le"), np.uint32).astype(np.int64)
+        sizes = np.array([len(words[i]) for i in order], np.int64)
+        starts, values = np.cumsum(sizes) - sizes, np.array([scores[i] for i in order], np.int64)
+        at, node, edges, ends, depth = np.flatnonzero(sizes > 0), np.zeros(len(words), np.int64), [], [np.array([_NO_WORD])], 0
+        made = 1
+        while len(at):
+            new, which = np.unique(node[at] << _CHARACTER_BITS | text[starts[at] + depth], return_inverse=True)
+            node[at] = made + which
+            edges.append(new)
+            level = np.full(len(new), _NO_WORD)
+            over = sizes[at] == depth + 1
+            level[which[over]] = values[at[over]]
+            ends.append(level)
+            made, depth, at = made + len(new), depth + 1, at[~over]
+        return cls(np.concatenate([*edges, np.zeros(0, np.int64)]), np.concatenate(ends))
+
+    def matches(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(place, length, score)`` of every word in a text, by place and length."""
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+        at, node, found, size = np.arange(len(codes)), np.zeros(len(codes), np.int64), [], 0
+        while len(at) and len(self.edges):
+            wanted = node << _CHARACTER_BITS | codes[at + size]
+            edge = np.minimum(np.searchsorted(self.edges, wanted), len(self.edges) - 1)
+            alive = self.edges[edge] == wanted
+            at, node, size = at[alive], edge[alive] + 1, size + 1
+            word = self.scores[node] != _NO_WORD
+            found.append((at[word], np.full(int(word.sum()), size), self.scores[node[word]]))
+            inside = at + size < len(codes)
+            at, node = at[inside], node[inside]
+        places, lengths, scores = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]) for i in range(3))
+        order = np.lexsort((lengths, places))
+        return places[order], lengths[order], scores[order]
+
+
+class HiddenStates(NamedTuple):
+    """Scores of the states that characters may be in: of a first state, of one after another, and of a character in a state."""
+
+    first: dict[str, int]
+    after: dict[tuple[str, str], int]
+    shown: dict[str, dict[str, int]]
+    unseen: dict[str, int]
 
+    @classmethod
+    def of_counts(cls, shown: dict[tuple[str, str], int]) -> HiddenStates:
+        """The model of ``(state, character)`` counts, each count and each following state one up."""
+        total = {s: sum(n for (t, _), n in shown.items() if t == s) for s in "BMES"}
+        characters = len({c for _, c in shown} - {""}) + 1
+        inner = total["M"]
+        longer = shown.get(("B", ""), 0)  # words of three characters and more, counted beside the characters
+        multi, single = total["B"] - longer, total["S"]
+        open_, stay = millionths((multi + 1) / (multi + single + 2)), millionths((single + 1) / (multi + single + 2))
+        after = {("B", "E"): millionths((multi - longer + 1) / (multi + 2)), ("B", "M"): millionths((longer + 1) / (multi + 2))}
+        after |= {("M", "E"): millionths((longer + 1) / (inner + 2)), ("M", "M"): millionths((inner - longer + 1) / (inner + 2))}
+        after |= {(s, t): v for s in "ES" for t, v in (("B", open_), ("S", stay))}
+        total["B"] = multi
+        scores: dict[str, dict[str, int]] = {s: {} for s in "BMES"}
+        for (s, c), n in shown.items():
+            if c:
+                scores[s][c] = millionths((n + 1) / (total[s] + characters))
+        return cls({"B": open_, "S": stay}, after, scores, {s: millionths(1 / (total[s] + characters)) for s in "BMES"})
 
-def best_path(run: str, score: Callable[[str], float | None], longest: int, unknown: float) -> list[str]:
-    """The segmentation of ``run`` with the highest total score; single characters are always allowed.
+    def cut(self, text: str) -> list[str]:
+        """A stretch of characters as the words of its best states."""
+        later: list[dict[str, int]] = [{"E": 0, "S": 0}]  # a stretch ends with a word
+        for i in range(len(text) - 1, 0, -1):
+            said = {s: self.shown[s].get(text[i], self.unseen[s]) for s in "BMES"}
+            reach = {s: said[s] + later[-1][s] for s in later[-1]}
+            later.append({s: max(self.after[s, t] + reach[t] for t in _FOLLOWING[s] if t in reach) for s in "BMES" if any(t in reach for t in _FOLLOWING[s])})
+        words, state = [], ""
+        for c in text:
+            left = later.pop()
+            options = [t for t in (_FOLLOWING[state] if state else "SB") if t in left]
+            score = {t: (self.after[state, t] if state else self.first[t]) + self.shown[t].get(c, self.unseen[t]) + left[t] for t in options}
+            state = max(options, key=lambda t: (score[t], -options.index(t)))
+            if state in "SB":
+                words.append(c)
+            else:
+                words[-1] += c
+        return words
 
-    On equal totals the longer first word wins.
+
+def best_path(run: str, matches: list[tuple[int, int, int]], unknown: int, states: HiddenStates | None = None) -> list[str]:
+    """The segmentation of ``run`` with the highest total score; on equal totals the longer first word wins.
+
+    ``matches`` are ``(place, length, score)`` by place and length. A character that is no word scores ``unknown``; two or more of
+    them on end are cut anew by their hidden states.
     """
     n = len(run)
-    total = [0.0] * (n + 1)
-    step = [1] * n
+    total, step, known = [0] * (n + 1), [1] * n, [False] * n
+    options: dict[int, list[tuple[int, int]]] = {}
+    for place, size, score in matches:
+        options.setdefault(place, []).append((size, score))
     for i in range(n - 1, -1, -1):
-        best = None
-        for size in range(1, min(longest, n - i) + 1):
-            s = score(run[i : i + size])
-            if s is None and size == 1:
-                s = unknown
-            if s is not None and (best is None or s + total[i + size] >= best):
-                best, step[i] = s + total[i + size], size
+        here = options.get(i, ())
+        best = None if here and here[0][0] == 1 else unknown + total[i + 1]
+        for size, score in here:
+            value = score + total[i + size]
+            if best is None or value >= best:
+                best, step[i], known[i] = value, size, True
         total[i] = best
-    words, i = [], 0
+    words: list[str] = []
+    i = 0
     while i < n:
-        words.append(run[i : i + step[i]])
-        i += step[i]
+        j = i
+        while j < n and not known[j]:
+            j += 1
+        if j > i:
+            words += states.cut(run[i:j]) if states is not None and j - i > 1 else list(run[i:j])
+            i = j
+        else:
+            words.append(run[i : i + step[i]])
+            i += step[i]
     return words
 
 
-def segment_runs(df: DataFrame, text: str, dictionary: DataFrame, out: str, run: str = HAN_RUN) -> DataFrame:
+def _state_counts(words: DataFrame) -> dict[tuple[str, str], int]:
+    """How often each character begins, continues, ends or is a word. The driver gets four rows per character of the script at most."""
+    size = F.char_length("word")
+    inner = F.when(size > 2, F.split(F.expr("substring(word, 2, char_length(word) - 2)"), "")).otherwise(F.array().cast("array<string>"))
+    many = F.array(F.struct(F.lit("B").alias("s"), F.substring("word", 1, 1).alias("c")), F.struct(F.lit("E").alias("s"), F.expr("right(word, 1)").alias("c")))
+    longer = F.when(size > 2, F.array(F.struct(F.lit("B").alias("s"), F.lit("").alias("c")))).otherwise(F.array().cast("array<struct<s:string,c:string>>"))
+    middle = F.transform(F.filter(inner, lambda c: c != ""), lambda c: F.struct(F.lit("M").alias("s"), c.alias("c")))
+    each = F.when(size == 1, F.array(F.struct(F.lit("S").alias("s"), F.col("word").alias("c")))).otherwise(F.concat(many, middle, longer))
+    counted = words.select(F.explode(each).alias("e"), "cnt").groupBy("e.s", "e.c").agg(F.sum("cnt").alias("n"))
+    return {(r.s, r.c): r.n for r in counted.collect()}
+
+
+def _automata(words: DataFrame, part_words: int) -> Iterator[Broadcast]:
+    """Broadcast automata over ranges of the sorted dictionary, one at a time; a task each builds them."""
+    parts = cut_lineage(range_slice(words, "word", "part", part_words))
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        tree = Automaton.of_words(pdf["word"].tolist(), pdf["score"].tolist())
+        return pd.DataFrame({"edges": [tree.edges.tobytes()], "scores": [tree.scores.tobytes()]})
+
+    for (part,) in parts.select("part").distinct().orderBy("part").collect():
+        row = parts.filter(F.col("part") == part).select("word", "score").repartition(1).groupBy().applyInPandas(build, "edges binary, scores binary").first()
+        tree = Automaton(np.frombuffer(row.edges, np.int64), np.frombuffer(row.scores, np.int64))
+        shared = words.sparkSession.sparkContext.broadcast(tree)
+        yield shared
+
+
+def segment_runs(df: DataFrame, text: str, dictionary: DataFrame, out: str, run: str = HAN_RUN, part_words: int = PART_WORDS) -> DataFrame:
     """Add ``out``: ``text`` with a space between the words of each run, by best path over ``dictionary(word, cnt)``.
 
-    The dictionary may grow with the corpus: it stays distributed. The substrings of each distinct text that pass a filter
-    of ``FILTER_BITS`` bits are joined with it, and every text gets the words it holds back by its digest. The filter
-    only spares rows; the join decides. With an empty dictionary every character is a word.
+    Words are distinct; null and empty ones and those with a line break are not used. A dictionary of up to ``part_words`` words is one automaton that travels with the
+    tasks, and texts are cut where they lie. A larger one is cut in parts of that size by the order of words; the texts
+    are read once for each part, which leaves the words it finds in the shared folder, and every text gets all of them back by its
+    digest. With an empty dictionary every character is a word.
     """
-    words = cut_lineage(dictionary.select("word", "cnt"))
-    top = words.agg(F.sum("cnt").alias("total"), F.max(F.char_length("word")).alias("longest")).first()
-    total, longest = top.total or 0, top.longest or 1
-    unknown = math.log(1 / max(total, 1))
-    bits = df.sparkSession.sparkContext.broadcast(_word_filter(words))
+    words = dictionary.select("word", F.col("cnt").cast("bigint").alias("cnt")).filter(r"word <> '' AND NOT contains(word, '\n')")
+    top = words.agg(F.sum("cnt").alias("total"), F.count(F.lit(1)).alias("n")).first()
+    total = max(top.total or 0, 1)
+    scored = words.select("word", millionths(F.col("cnt") / F.lit(float(total))).alias("score"))
+    states = df.sparkSession.sparkContext.broadcast(HiddenStates.of_counts(_state_counts(words)))
+    unknown = millionths(1 / total)
+    runs = F.regexp_extract_all(F.col(text), F.lit(run), F.lit(0))
+    automata = _automata(scored, part_words)
+    if top.n <= part_words:
+        tree = next(automata, None)
 
-    @F.pandas_udf("array<string>")
-    def possible(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        held = bits.value
-        for texts in batches:
-            yield texts.map(lambda runs: [w for w in _substrings(runs, longest) if _passes(w, held)])
+        @F.pandas_udf("array<string>")
+        def split_runs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                yield texts.map(lambda of: None if of is None else _cut(of, [] if tree is None else _found(tree.value, of), unknown, states.value))
 
-    @F.pandas_udf("array<string>")
-    def split_runs(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, names, counts in batches:
-            found = []
-            for runs, ws, ns in zip(texts, names, counts):
-                scores = {} if ws is None else {w: math.log(n / total) for w, n in zip(ws, ns)}
-                found.append(None if runs is None else [" ".join(best_path(r, scores.get, longest, unknown)) for r in runs])
-            yield pd.Series(found, dtype=object)
+        cut = df.withColumn("_runs", split_runs(runs))
+        return cut.withColumn(out, _rejoin(F.col(text), F.col("_runs"), run)).drop("_runs")
 
-    runs = F.regexp_extract_all(F.col(text), F.lit(run), F.lit(0))
     digest = F.unhex(F.md5(F.col(text)))
-    texts = df.select(digest.alias("_text"), runs.alias("_runs")).filter(F.size("_runs") > 0).dropDuplicates(["_text"])
-    # Short strings are in nearly every text; their rows are dealt over several keys.
-    short = F.char_length("word") <= SHORT
-    asked = texts.select("_text", F.explode(possible("_runs")).alias("word"))
-    asked = asked.withColumn("_salt", F.when(short, F.pmod(F.xxhash64("_text"), F.lit(SALTS)).cast("int")).otherwise(0))
-    salts = F.when(short, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    known = asked.hint("merge").join(words.withColumn("_salt", F.explode(salts)), ["word", "_salt"])
-    known = known.groupBy("_text").agg(F.collect_list(F.struct("word", "cnt")).alias("_known"))
-    rows = df.withColumn("_text", digest).hint("merge").join(known, "_text", "left")
-    cut = split_runs(runs, F.col("_known.word"), F.col("_known.cnt"))
-    return rows.withColumn("_runs", cut).withColumn(out, _rejoin(F.col(text), F.col("_runs"), run)).drop("_runs", "_text", "_known")
-
+    texts, _ = rewrite(df.select(digest.alias("_text"), runs.alias("_runs")).filter(F.size("_runs") > 0).dropDuplicates(["_text"]), "runs")
+    found = []
+    for tree in automata:
+        found.append(rewrite(_words_in(texts, tree), "matches")[0])
+        tree.unpersist()
+    all_found = reduce(DataFrame.unionByName, found)
+    # One array per text and part: as many as the dictionary has parts.
+    per_text = all_found.groupBy("_text").agg(F.flatten(F.collect_list("_found")).alias("_found"))
 
-def _bit(word: str) -> int:
-    return zlib.crc32(word.encode()) % FILTER_BITS
+    @F.pandas_udf("array<string>")
+    def split_found(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts_, lists in batches:
+            rows = []
+            for of, flat in zip(texts_, lists):
+                triples = sorted(map(tuple, np.asarray([] if flat is None else flat, np.int64).reshape(-1, 3).tolist()))
+                rows.append(None if of is None else _cut(of, triples, unknown, states.value))
+            yield pd.Series(rows, dtype=object)
 
+    rows = df.withColumn("_text", digest).join(per_text, "_text", "left")
+    return rows.withColumn("_runs", split_found(runs, F.col("_found"))).withColumn(out, _rejoin(F.col(text), F.col("_runs"), run)).drop("_runs", "_text", "_found")
 
-def _passes(word: str, bits: bytes) -> bool:
-    place = _bit(word)
-    return bits[place >> 3] >> (place & 7) & 1 == 1
 
+def _words_in(texts: DataFrame, tree: Broadcast) -> DataFrame:
+    """``(_text, _found)``: place, length and score of each word of an automaton, one after the other."""
 
-def _substrings(runs: list[str], longest: int) -> set[str]:
-    return {r[i : i + size] for r in runs for i in range(len(r)) for size in range(1, min(longest, len(r) - i) + 1)}
+    @F.pandas_udf("array<bigint>")
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for lists in batches:
+            yield lists.map(lambda of: [x for triple in _found(tree.value, list(of)) for x in triple])
 
+    return texts.select("_text", find("_runs").alias("_found"))
 
-def _word_filter(words: DataFrame) -> bytes:
-    """One bit per word by hash. Each piece of the bits is made by one task, so the driver gets ``FILTER_BITS`` bits at most."""
-    piece_bits = FILTER_BITS >> 10
 
-    @F.pandas_udf("int")
-    def place(batch: pd.Series) -> pd.Series:
-        return batch.map(_bit)
+def _found(tree: Automaton, runs: list[str]) -> list[tuple[int, int, int]]:
+    """Matches in runs set apart by a character that no word holds; places count from the first run on."""
+    return list(zip(*(column.tolist() for column in tree.matches("\n".join(runs)))))
 
-    def make(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        held = np.zeros(piece_bits, np.uint8)
-        held[pdf["place"].to_numpy() % piece_bits] = 1
-        return pd.DataFrame({"piece": [key[0]], "bits": [np.packbits(held, bitorder="little").tobytes()]})
 
-    places = words.select(place("word").alias("place")).distinct().withColumn("piece", F.floor(F.col("place") / piece_bits).cast("int"))
-    bits = bytearray(FILTER_BITS >> 3)
-    for row in places.groupBy("piece").applyInPandas(make, "piece int, bits binary").toLocalIterator():
-        bits[row.piece * (piece_bits >> 3) : (row.piece + 1) * (piece_bits >> 3)] = row.bits
-    return bytes(bits)
+def _cut(runs: list[str], matches: list[tuple[int, int, int]], unknown: int, states: HiddenStates) -> list[str]:
+    """Each run with spaces between its words."""
+    out, at, start = [], 0, 0
+    for run in runs:
+        end = at
+        own = []
+        while end < len(matches) and matches[end][0] < start + len(run):
+            place, size, score = matches[end]
+            own.append((place - start, size, score))
+            end += 1
+        out.append(" ".join(best_path(run, own, unknown, states)))
+        at, start = end, start + len(run) + 1
+    return out
 
 
 def _rejoin(text: Column, runs: Column, run: str) -> Column:
     """Put segmented runs back into the text, set off by a space where the text has none; the rest stays as it was."""
-    edge = "\ue000"
+    edge = ""
     around = F.split(text, run, -1)
     woven = F.zip_with(around, runs, lambda a, r: F.concat(a, F.coalesce(F.concat(F.lit(edge), r, F.lit(edge)), F.lit(""))))
     no_space = F.regexp_replace(F.array_join(woven, ""), rf"(?<=^|\s){edge}|{edge}(?=\s|$)", "")
