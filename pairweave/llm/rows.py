@@ -10,12 +10,21 @@ def row_key(text_hash: Column | str = "text_hash") -> Column:
     return F.concat_ws(":", text_hash, "doc_id")
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``docs`` named by ``kept`` (``doc_id, text_hash``), one each, with all their columns.
 
     Join and numbering use one key, so a document is shuffled once.
     """
-    keyed = docs.withColumn("_row_key", row_key(F.xxhash64("text")))
-    named = kept.select(row_key().alias("_row_key")).distinct().hint("merge")
-    first = F.row_number().over(Window.partitionBy("_row_key").orderBy("_row_key"))
-    return keyed.join(named, "_row_key", "left_semi").withColumn("_row_place", first).filter("_row_place = 1").select(*docs.columns)
+    key, place = unused("_row_key", docs), unused("_row_place", docs)
+    keyed = docs.withColumn(key, row_key(F.xxhash64("text")))
+    named = kept.select(row_key().alias(key)).distinct().hint("merge")
+    first = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    return keyed.join(named, key, "left_semi").withColumn(place, first).filter(F.col(place) == 1).select(*docs.columns)
