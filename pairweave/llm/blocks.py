@@ -135,3 +135,14 @@ def pack_keys(keys: np.ndarray) -> bytes:
 def unpack_keys(data: bytes) -> np.ndarray:
     """The inverse of ``pack_keys``."""
     return np.cumsum(from_planes(data, np.uint64), dtype=np.uint64)
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts of any size as planes of the fewest bytes that hold the largest, behind that number of bytes."""
+    kind = np.min_scalar_type(int(counts.max(initial=0)))
+    return bytes([kind.itemsize]) + planes(counts.astype(kind))
+
+
+def unpack_counts(data: bytes) -> np.ndarray:
+    """The inverse of ``pack_counts``."""
+    return from_planes(data[1:], np.dtype(f"u{data[0]}").type).astype(np.int64)

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pairweave.llm.blocks import Block, blocks_in, dealt, from_planes, pack_keys, planes, store_blocks, unpack_keys
+from pairweave.llm.blocks import Block, blocks_in, dealt, pack_counts, pack_keys, store_blocks, unpack_counts, unpack_keys
 from pairweave.llm.words import mix, words_of
 from pairweave.session import scratch_path
 
@@ -132,7 +132,7 @@ class Tokens:
 def counted_answers(answers: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
     """Counts and ownership of a block's distinct n-grams, in order of their keys."""
     answers = sorted(answers or [], key=lambda a: a["bucket"])
-    counts = [from_planes(a["counts"], np.uint32) for a in answers]
+    counts = [unpack_counts(a["counts"]) for a in answers]
     owned = [np.unpackbits(np.frombuffer(a["owned"], np.uint8), count=a["size"]) for a in answers]
     return np.concatenate([np.zeros(0, np.int64), *counts]).astype(np.int64), np.concatenate([np.zeros(0, np.uint8), *owned]).astype(bool)
 
@@ -211,8 +211,8 @@ def _ask_counts(model: Model, orders: int, bits: int):
                 for _ in range(orders):
                     tokens.lengthen()
                 keys, place = np.unique(tokens.grams, return_inverse=True)
-                counts = np.bincount(place, tokens.training, len(keys)).astype(np.uint32)
-                rows = [{"bucket": b, "block": block.number, "keys": pack_keys(keys[s]), "counts": planes(counts[s])} for b, s in dealt(keys, bits)]
+                counts = np.bincount(place, tokens.training, len(keys)).astype(np.int64)
+                rows = [{"bucket": b, "block": block.number, "keys": pack_keys(keys[s]), "counts": pack_counts(counts[s])} for b, s in dealt(keys, bits)]
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
     return run
@@ -222,11 +222,11 @@ def add_counts(table: pa.Table) -> pa.Table:
     """One bucket's answers, its counts to store, and its counts of counts."""
     asks = table.sort_by("block").to_pydict()
     asked = [unpack_keys(k) for k in asks["keys"]]
-    given = [from_planes(c, np.uint32) for c in asks["counts"]]
+    given = [unpack_counts(c) for c in asks["counts"]]
     sizes = [len(k) for k in asked]
-    every, add = np.concatenate(asked), np.concatenate(given).astype(np.int64)
+    every, add = np.concatenate(asked), np.concatenate(given)
     keys, place = np.unique(every, return_inverse=True)
-    totals = np.bincount(place, add, len(keys)).astype(np.int64)
+    totals = np.bincount(place, add, len(keys)).astype(np.int64)  # exact up to 2**53
     first = np.full(len(keys), len(every))
     with_count = np.flatnonzero(add > 0)
     np.minimum.at(first, place[with_count], with_count)
@@ -234,12 +234,12 @@ def add_counts(table: pa.Table) -> pa.Table:
     owned[first] = True
     cuts = np.cumsum(sizes)[:-1]
     rows = [
-        {"kind": "answer", "bucket": bucket, "block": block, "counts": planes(c.astype(np.uint32)), "owned": np.packbits(o).tobytes(), "size": len(c)}
+        {"kind": "answer", "bucket": bucket, "block": block, "counts": pack_counts(c), "owned": np.packbits(o).tobytes(), "size": len(c)}
         for bucket, block, c, o in zip(asks["bucket"], asks["block"], np.split(totals[place], cuts), np.split(owned[:-1], cuts))
     ]
     seen = totals > 0
     stats = [int(totals.sum()), int(seen.sum()), *[int((totals == r).sum()) for r in range(1, DISCOUNTED + 2)]]
-    rows.append({"kind": "counts", "bucket": asks["bucket"][0], "keys": pack_keys(keys[seen]), "counts": planes(totals[seen].astype(np.uint32)), "stats": stats})
+    rows.append({"kind": "counts", "bucket": asks["bucket"][0], "keys": pack_keys(keys[seen]), "counts": pack_counts(totals[seen]), "stats": stats})
     return pa.Table.from_pylist(rows, _COUNTED)
 
 
