@@ -7,10 +7,12 @@ of ``m + 2 k`` words, overlapping windows of an item are joined, and Myers' recu
 as one machine word of ``m`` bits (Python integers, so any length).
 
 The items reach the tasks as a broadcast of at most ``BLOCK_WORDS`` words; a larger benchmark is searched block by block,
-all documents for each. Documents are not shuffled; only matches leave a task.
+all documents for each, and one block is gone before the next is made. Documents are not shuffled; only matches leave a task.
 
-Defined cases: null and empty texts match nothing. Items of fewer than ``min_words`` words (five) are not searched, as
-chance alone would match them. Repeated item ids are searched each for themselves and give a row each. Repeated
+Items of fewer than ``min_words`` words (five) would be met by chance inside any text: they match, unedited, where they are a
+whole line or the whole document.
+
+Defined cases: null and empty texts and items without words match nothing. Repeated item ids are searched each for themselves and give a row each. Repeated
 documents give a row each. A null document or item id is passed on. Empty tables give no rows. Other columns are not read.
 """
 
@@ -24,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pairweave.llm.words import by_size, plain, window_hashes, words_of
+from pairweave.session import rewrite
 
 #: Words of items that one broadcast holds at most, but for a single longer item.
 BLOCK_WORDS = 1_000_000
@@ -67,11 +70,14 @@ class Items:
 
     def __init__(self, items: list[tuple[int | None, str | None]], similarity: float, min_words: int):
         self.items: list[tuple[int | None, list[int], int]] = []
+        self.short: dict[bytes, list[tuple[int | None, int]]] = {}
         found: dict[int, dict[int, list[tuple[int, int]]]] = {}
         for item_id, text in items:
             hashes = words_of([plain(text)]).hashes()
             m = len(hashes)
             if m < min_words:
+                if m:
+                    self.short.setdefault(b" ".join(plain(text).split()), []).append((item_id, m))
                 continue
             k = budget_of(m, similarity)
             for a, b in split_pieces(m, k):
@@ -98,6 +104,20 @@ class Items:
         for a, b in by_size([len(t) for t in cleaned]):
             for text, *found in self._matches(cleaned[a:b], filters):
                 yield (a + text, ids[a + text], *found)
+        for i, text in enumerate(cleaned if self.short else ()):
+            for item_id, m, end in self._whole(text):
+                yield i, ids[i], item_id, 0, m, end
+
+    def _whole(self, text: bytes) -> Iterator[tuple[int | None, int, int]]:
+        """Short items that are the text or a line of it: ``(item, words, end of the first)``, one row per item."""
+        longest, seen, at = max(m for found in self.short.values() for _, m in found), set(), 0
+        for line in [*text.splitlines(), None]:
+            words = text.split() if line is None else line.split()
+            at = len(words) if line is None else at + len(words)
+            key = b" ".join(words) if 0 < len(words) <= longest else b""
+            if key not in seen:
+                seen.add(key)
+                yield from ((item_id, m, at) for item_id, m in self.short.get(key, ()))
 
     def _matches(self, texts: list[bytes], filters: dict[int, np.ndarray]) -> Iterator[tuple]:
         words = words_of(texts)
@@ -128,14 +148,14 @@ class Items:
                 yield text, item_id, best[0], len(pattern), best[1]
 
 
-def item_blocks(benchmark: DataFrame, similarity: float, min_words: int) -> Iterator[Items]:
-    """The pieces of ``(item_id, text)``, in blocks of at most about ``BLOCK_WORDS`` words."""
+def item_blocks(benchmark: DataFrame, similarity: float, min_words: int) -> Iterator[tuple[Items, bool]]:
+    """The pieces of ``(item_id, text)``, in blocks of at most about ``BLOCK_WORDS`` words; whether a block is the last."""
     items = benchmark.select("item_id", "text")
     size = items.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1)).first()[0] or 0
     blocks = max(1, -(-size // (2 * BLOCK_WORDS)))  # a word takes two bytes or more
     for block in range(blocks):
         part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        yield Items([tuple(r) for r in part.collect()], similarity, min_words)
+        yield Items([tuple(r) for r in part.collect()], similarity, min_words), block == blocks - 1
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_words: int = 5) -> DataFrame:
@@ -151,11 +171,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, similarity: float
             rows = list(items.search(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_pydict({n: pa.array([r[i] for r in rows], pa.int64()) for i, n in enumerate(names, 1)})
 
-    searched = [
-        docs.select("doc_id", "text").mapInArrow(partial(matches, docs.sparkSession.sparkContext.broadcast(vars(items))), MATCH)
-        for items in item_blocks(benchmark, similarity, min_words)
-    ]
-    return reduce(DataFrame.unionByName, searched)
+    spark, found = docs.sparkSession, []
+    for items, last in item_blocks(benchmark, similarity, min_words):
+        shared = spark.sparkContext.broadcast(vars(items))
+        searched = docs.select("doc_id", "text").mapInArrow(partial(matches, shared), MATCH)
+        if not (last and not found):
+            searched, _ = rewrite(searched, "matches")
+            shared.unpersist()
+        found.append(searched)
+    return reduce(DataFrame.unionByName, found)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_words: int = 5) -> DataFrame:
@@ -168,6 +192,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float =
             hit = {found[0] for found in items.search(texts, texts)}
             yield batch.filter(pa.array([i not in hit for i in range(len(texts))], pa.bool_()))
 
-    for items in item_blocks(benchmark, similarity, min_words):
-        docs = docs.mapInArrow(partial(clean, docs.sparkSession.sparkContext.broadcast(vars(items))), docs.schema)
+    for items, last in item_blocks(benchmark, similarity, min_words):
+        shared = docs.sparkSession.sparkContext.broadcast(vars(items))
+        docs = docs.mapInArrow(partial(clean, shared), docs.schema)
+        if not last:
+            docs, _ = rewrite(docs, "clean")
+            shared.unpersist()
     return docs
