@@ -162,12 +162,20 @@ def screen(rows: DataFrame, path: str, buckets: int) -> DataFrame:
     return keyed.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(probe, "fp bigint")
 
 
-def confirm(docs: DataFrame, positives: DataFrame, path: str) -> DataFrame:
-    """``(digest)`` of the batch texts whose bytes equal a text in their exact bucket."""
+def confirm(docs: DataFrame, rows: DataFrame, positives: DataFrame, path: str) -> DataFrame:
+    """``(digest)`` of the batch texts whose bytes equal a text in their exact bucket.
+
+    One document stands for all with its digest and original text; it is found among the narrow ``rows``, so texts move
+    spread over (digest, text, id), and a text with a third of all rows is compared once.
+    """
     exact = docs.sparkSession.read.schema("fp bigint, digest binary, plain binary").parquet(f"{path}/exact")
-    texts = text_digests(docs, with_text=True).select("fp", "digest", "plain").join(positives, "fp", "left_semi")
-    same = (texts.fp == exact.fp) & (texts.plain == exact.plain)
-    return texts.join(exact.hint("shuffle_merge"), same, "left_semi").select("digest").distinct()
+    first = rows.join(positives, "fp", "left_semi").groupBy("digest", "text_hash").agg(F.min(F.struct("doc_id")).alias("first"))
+    chosen = first.select("digest", "text_hash", F.col("first.doc_id").alias("chosen"))
+    texts = text_digests(docs, with_text=True)
+    same = (texts.digest == chosen.digest) & (texts.text_hash == chosen.text_hash) & texts.doc_id.eqNullSafe(chosen.chosen)
+    picked = texts.join(chosen, same, "left_semi").select("fp", "digest", "plain")
+    equal = (picked.fp == exact.fp) & (picked.plain == exact.plain)
+    return picked.join(exact.hint("shuffle_merge"), equal, "left_semi").select("digest").distinct()
 
 
 def exact_dedup(snapshot: DataFrame, batch: DataFrame) -> DataFrame:
@@ -183,7 +191,7 @@ def exact_dedup(snapshot: DataFrame, batch: DataFrame) -> DataFrame:
     path = scratch_path(spark, "snapshot")
     buckets = build_snapshot(snapshot, old, path)
     positives, _ = rewrite(screen(new, path, buckets), "positives")
-    confirmed, _ = rewrite(confirm(batch, positives, path).withColumn("known", F.lit(True)), "confirmed")
+    confirmed, _ = rewrite(confirm(batch, new, positives, path).withColumn("known", F.lit(True)), "confirmed")
     flagged = new.join(positives.withColumn("screened", F.lit(True)), "fp", "left").join(confirmed, "digest", "left")
     flagged = flagged.withColumns({"screened": F.coalesce("screened", F.lit(False)), "known": F.coalesce("known", F.lit(False))})
     everything = old.withColumns({"screened": F.lit(False), "known": F.lit(True)}).unionByName(flagged)
