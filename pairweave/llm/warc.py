@@ -31,6 +31,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pairweave.session import rewrite
 
+#: About the most bytes of records in a file, and the most that a task holds before it passes them on.
+FILE_BYTES = 64 << 20
+BATCH_BYTES = 4 << 20
 _END = b"\r\n\r\n"
 _PAYLOADS = "page_id bigint, url string, html string, payload_bytes bigint, payload_digest string"
 _READ = "record_id string, record_type string, page_id bigint, refers_to_record string, payload_bytes bigint, payload_digest string, valid boolean"
@@ -144,11 +147,20 @@ def write_archives(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, len(batch), 256):
-                records = [r for row in batch.slice(low, 256).to_pylist() for r in _records_of(row, segment_bytes, date)]
-                yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], names=["record"])
+            held: list[bytes] = []
+            size = 0
+            for i in range(len(batch)):
+                for record in _records_of(batch.slice(i, 1).to_pylist()[0], segment_bytes, date):
+                    held.append(record)
+                    size += len(record)
+                    if size > BATCH_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], names=["record"])
+                        held, size = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], names=["record"])
 
     records = ready.mapInArrow(write, "record binary").select(F.col("record").cast("string").alias("value"))
+    # A record is a segment and a header, so this bounds the bytes of a file, which is read as one value.
+    file_records = max(1, min(file_records, FILE_BYTES // segment_bytes))
     options = {"lineSep": _END.decode(), "compression": "gzip", "maxRecordsPerFile": file_records}
     records.write.options(**options).text(path)
 
