@@ -156,7 +156,9 @@ SELECT rid, {order} AS o, '{kind}' AS kind, s, s + len(value) AS e, value FROM (
 ) WHERE {kept.format(pattern=quoted)}"""
 
 
+_PLAIN = f"regexp_matches(x, '{secret_scan.PLAIN}') OR regexp_matches(x, '{secret_scan.LETTERS}') AND NOT regexp_matches(x, '{secret_scan.JAGGED}')"
 _ALLOWED = " OR ".join(f"regexp_matches(value, '{p}')" for p in secret_scan.ALLOW)
+_ALLOWED += f" OR len(list_filter(regexp_split_to_array(value, '{secret_scan.BETWEEN}'), lambda x: NOT ({_PLAIN}))) = 0"
 _LEAST = "CASE " + " ".join(f"WHEN regexp_matches(value, '{p}') THEN {h}" for p, h in secret_scan.CLASSES.values()) + " END"
 ORACLES["op2_secrets"] = f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),

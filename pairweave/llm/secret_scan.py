@@ -4,8 +4,9 @@ Known shapes (``BASE``) are spans of their own. Candidates for the entropy scan
 base64, URL and name alphabet. A window of 20 characters slides over each; its Shannon entropy is
 ``log2 20 - S / 20`` with ``S`` the sum of ``c log2 c`` over the counts ``c`` of its characters, and a step changes only the
 counts of the character that leaves and the one that enters. The candidate's character class (hexadecimal, upper case and
-digits, or mixed) sets the entropy that some window must reach. A candidate that the allow-list matches, or that lies in
-a span of a known shape, is not reported.
+digits, or mixed) sets the entropy that some window must reach. A candidate that the allow-list matches as a whole, or all
+of whose parts are words, numbers or examples, or that lies in a span of a known shape, is not reported; one random part is
+enough to report a path or a name that holds it.
 
 Everything is a built-in expression of one row: no Python on the executors and no shuffle.
 
@@ -32,14 +33,14 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
 CANDIDATE = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{20,}+"
 #: Least entropy in bits of some window, by class; a random window of the class is above it nearly always.
 CLASSES = {"hex": (r"^[0-9a-f]+$|^[0-9A-F]+$", 2.8), "upper": (r"^[A-Z0-9]+$", 3.2), "mixed": (r"", 3.5)}
-#: What long runs usually are: words and names, numbers, identifiers, paths, rules, and values meant as examples.
-ALLOW = (
-    r"^[A-Za-z_/=+-]+$",
-    r"^[0-9+/=_-]+$",
-    r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx",
-    r"^[A-Za-z]+([_/-][A-Za-z]+)*[_/-]?[0-9]{1,4}$",
-)
+#: Identifiers that are no secrets as a whole.
+ALLOW = (r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",)
+#: Other candidates are allowed only if each part between these is plain.
+BETWEEN = r"[+/=_-]+"
+#: A plain part: a number, a value meant as an example, letters with up to four digits; the letters may not change case as random ones do.
+PLAIN = r"^[0-9]*$|(?i)example|sample|dummy|placeholder|changeme|your|xxxx"
+LETTERS = r"^([A-Z]{1,16}|[A-Z]?[a-z][A-Za-z]*)[0-9]{0,4}$"
+JAGGED = r"[a-z][A-Z][a-z][A-Z]|[a-z][A-Z][a-z]?[A-Z][a-z]?[A-Z]"
 
 
 def window_entropy(value: Column) -> Column:
@@ -73,9 +74,11 @@ def window_entropy(value: Column) -> Column:
 
 def is_secret(value: Column, allow: tuple[str, ...] = ALLOW) -> Column:
     """Whether a candidate's entropy is that of a secret of its class and nothing allows it."""
-    allowed = F.lit(False)
+    like = lambda text, pattern: F.regexp_like(text, F.lit(pattern))
+    plain = lambda part: like(part, PLAIN) | (like(part, LETTERS) & ~like(part, JAGGED))
+    allowed = F.forall(F.split(value, BETWEEN), plain)
     for pattern in allow:
-        allowed = allowed | F.regexp_like(value, F.lit(pattern))
+        allowed = allowed | like(value, pattern)
     least = F.when(F.regexp_like(value, F.lit(CLASSES["hex"][0])), CLASSES["hex"][1])
     least = least.when(F.regexp_like(value, F.lit(CLASSES["upper"][0])), CLASSES["upper"][1]).otherwise(CLASSES["mixed"][1])
     return F.when(allowed, False).otherwise(window_entropy(value) >= least)
