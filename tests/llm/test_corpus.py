@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from hard_words import thue_morse
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -210,6 +211,24 @@ def test_items_are_found_within_the_budget(spark, docs, monkeypatch, block_words
     assert kept == {d for d, _ in rows} - {d for d, *_ in expected}
 
 
+def test_short_items_match_as_a_line_or_a_document(spark):
+    items = spark.createDataFrame([(1, "Yes, indeed."), (2, "two"), (3, "  "), (4, None), (5, "yes indeed")], "item_id bigint, text string")
+    texts = ["yes indeed", "We said\nYES -- indeed!\nand left\nyes indeed", "we said yes indeed and left", "two", "", None, "one\ntwo\nthree", "yes\nindeed"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = sorted((r.doc_id, r.item_id, r.distance, r.item_words, r.end_word) for r in de.find_contamination(docs, items).collect())
+    both = lambda doc, end: [(doc, 1, 0, 2, end), (doc, 5, 0, 2, end)]
+    assert found == [*both(0, 2), *both(1, 4), (3, 2, 0, 1, 1), (6, 2, 0, 1, 2), *both(7, 2)]
+    assert {r.doc_id for r in de.drop_contaminated(docs, items).collect()} == {2, 4, 5}
+
+
+def test_long_words_are_told_apart(spark):
+    one, other = thue_morse(11)
+    head = "these are some words before it"
+    docs = spark.createDataFrame([(1, f"{head} {one}"), (2, f"{head} {other}")], "doc_id bigint, text string")
+    found = de.find_contamination(docs, spark.createDataFrame([(1, f"{head} {one}")], "item_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.distance) for r in found) == [(1, 0), (2, 1)]
+
+
 def test_decontamination_of_odd_rows(spark, odd, empty):
     bench = spark.createDataFrame([(1, " ".join(f"copied{i}" for i in range(40)))], "item_id bigint, text string")
     found = de.find_contamination(odd, bench).collect()

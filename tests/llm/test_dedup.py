@@ -7,12 +7,14 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pytest
+from hard_words import thue_morse
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from pairweave.llm import exact_dedup as ed, jaccard_join as jj, substring_dedup as sd
+from pairweave.llm import exact_dedup as ed, jaccard_join as jj, substring_dedup as sd, words as words_module
 from pairweave.llm.components import connected_components
 from pairweave.llm.rows import keep_rows
+from pairweave.llm.words import words_of
 
 BLANKS = str.maketrans("", "", " \t\n\x0b\x0c\r")
 
@@ -59,7 +61,7 @@ def test_bytes_decide(spark, tmp_path):
     exact = spark.read.parquet(str(tmp_path / "s/exact"))
     forged = exact.withColumn("plain", F.when(F.col("plain") == F.lit("other").cast("binary"), F.lit("forged").cast("binary")).otherwise(F.col("plain")))
     forged.write.parquet(str(tmp_path / "f/exact"))
-    confirmed = {bytes(r.digest) for r in ed.confirm(docs, rows.select("fp"), str(tmp_path / "f")).collect()}
+    confirmed = {bytes(r.digest) for r in ed.confirm(docs, rows, rows.select("fp"), str(tmp_path / "f")).collect()}
     assert confirmed == {hashlib.sha256(b"sametext").digest()}
 
 
@@ -68,6 +70,39 @@ def test_keep_rows_keeps_one_of_rows_alike(odd):
     rows = keep_rows(odd, kept)
     assert rows.columns == odd.columns
     assert rows.count() == odd.select("doc_id", "text").distinct().count()
+    assert {r._row_key for r in rows.collect()} == {"mine"}
+
+
+def test_a_hot_text_is_compared_once(spark):
+    """A text of most rows, in the snapshot and in the batch, with other blanks in some."""
+    old = spark.createDataFrame([(i, "hot text") for i in range(40)], "doc_id bigint, text string")
+    new = spark.createDataFrame([(100 + i, "hot text" if i % 2 else "hot  text") for i in range(40)] + [(200, "cold")], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in ed.exact_dedup(old, new).collect()}
+    assert {(r.keep_id, r.group_size) for i, r in found.items() if i < 200} == {(100, 80)}
+    assert (found[200].keep_id, found[200].group_size) == (200, 1)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab \n", max_size=300), max_size=6), st.sampled_from([64, 128, 1 << 20]))
+def test_words_have_one_hash_each(texts, chunk):
+    """Equal words have equal hashes wherever they stand and however they are cut, and others have others."""
+    old, words_module._CHUNK = words_module._CHUNK, chunk
+    try:
+        blob = words_of([t.encode() for t in texts])
+        for seed in (0, 1):
+            found = dict(zip((blob.blob[a:b] for a, b in zip(blob.starts, blob.ends)), blob.hashes(seed).tolist()))
+            assert all(words_of([w]).hashes(seed).tolist() == [h] for w, h in found.items())
+            assert len(set(found.values())) == len(found)
+    finally:
+        words_module._CHUNK = old
+
+
+@pytest.mark.parametrize("n", [6, 10, 11, 13])
+def test_words_that_sums_of_powers_mix_up(n):
+    one, other = (w.encode() for w in thue_morse(n))
+    for seed in (0, 1):
+        hashes = words_of([one, other, one + b"a", b"a" + one]).hashes(seed).tolist()
+        assert len(set(hashes)) == 4
 
 
 # --- substrings
@@ -100,6 +135,7 @@ def test_substrings(spark, docs, window):
 def test_substrings_of_odd_rows(odd, empty):
     found = sd.substring_dedup(odd).collect()
     assert len(found) == odd.count()
+    assert {r.doc_id: r.n_removed for r in found if r.doc_id in (12, 13)} == {12: 0, 13: 0}
     copies = [r for r in found if r.n_words == 40]
     assert sorted(r.n_removed for r in copies) == [0, *[40] * (len(copies) - 1)]
     assert all(r.n_removed == 0 and not r.kept_text for r in found if r.n_words == 0)

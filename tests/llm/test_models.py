@@ -5,7 +5,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hard_words import thue_morse
 from pyspark.sql import functions as F
 
 from pairweave.llm import language_model as lm, toxicity as tox
@@ -126,6 +128,16 @@ def test_scores_and_normalisation(spark, docs, order):
         assert a == pytest.approx(b)
 
 
+def test_long_words_are_told_apart(spark):
+    one, other = thue_morse(11)
+    ids = [i for i in range(50) if not lm.is_held_out(i)][:3]
+    rows = list(zip(ids, (f"x {one}", f"x {one}", f"x {other}")))
+    found = {r.doc_id: r.score for r in lm.score_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), 2).collect()}
+    expected, _ = brute_scores(rows, 2)
+    assert [found[i] for i in ids] == pytest.approx([e[-1] for e in expected])
+    assert found[ids[0]] > found[ids[2]]
+
+
 def test_model_of_odd_rows(odd, empty):
     found = lm.score_documents(odd).collect()
     assert len(found) == odd.count()
@@ -144,11 +156,22 @@ def test_tables_are_stored(spark, docs, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "m/counts2")).filter("kind = 'counts'").collect()
     train = [(r.text or "").encode().lower().split() for r in docs.collect() if not lm.is_held_out(r.doc_id)]
     bigrams = Counter(g for x in train for g in zip(["<s>", *x], [*x, "</s>"]))
-    counts = np.concatenate([lm.from_planes(r.counts, np.uint32) for r in stored])
+    counts = np.concatenate([lm.unpack_counts(r.counts) for r in stored])
     assert sorted(counts.tolist()) == sorted(bigrams.values())
     assert spark.read.parquet(str(tmp_path / "m/backoff2")).filter("kind = 'backoff'").count() > 0
 
 
+def test_counts_beyond_32_bits_stay():
+    key = np.array([5, 9], np.uint64)
+    asks = [{"bucket": 0, "block": b, "keys": lm.pack_keys(key), "counts": lm.pack_counts(np.array([2**32 - 1, n]))} for b, n in ((1, 0), (2, 3))]
+    out = lm.add_counts(pa.Table.from_pylist(asks)).to_pylist()
+    answers = [lm.unpack_counts(r["counts"]).tolist() for r in out if r["kind"] == "answer"]
+    assert answers == [[2**33 - 2, 3]] * 2
+    assert [r["stats"][0] for r in out if r["kind"] == "counts"] == [2**33 + 1]
+    for counts in ([], [0], [255, 256], [2**40, 1]):
+        assert lm.unpack_counts(lm.pack_counts(np.array(counts, np.int64))).tolist() == counts
+
+
 def test_discounts():
     assert (lm.good_turing([1000, 400, 200, 120, 80, 55]) <= 1).all()
     assert (lm.good_turing([0] * 6) > 0).all() and (lm.good_turing([3, 0, 0, 0, 0, 0]) > 0).all()

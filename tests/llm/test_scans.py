@@ -107,6 +107,9 @@ def test_added_secrets_and_the_allow_list(spark):
         (4, "see x9Kq2LmZ7vTn4RsW8yBdExample1 end"),
         (5, "token = x9Kq2LmZ7vTn4RsW8yBdPq1c"),  # inside a known shape
         (6, "HEXUP 0F1E2D3C4B5A69788796A5B4C3D2E1F0 end"),
+        (7, "run QkfRzWxLpTnYvBmHsJdGcAeUiOqZ end"),  # letters alone, but no words
+        (8, "see docs/sample/aB3dE5fG7hJ9kL1mN3pQ5rS end"),  # a path with a random part
+        (9, "see docs/sample/chapter_12/HttpServerSettings.txt MAX_RETRY_COUNT_LIMIT=2024 getUserAccountSettings end"),
     ]
     found = {r.doc_id: r.spans for r in ss.secret_digest(ss.find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string"))).collect()}
     con = duckdb.connect()
@@ -114,7 +117,7 @@ def test_added_secrets_and_the_allow_list(spark):
     con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
     twin = con.execute(ORACLES["op2_secrets"]).fetchall()
     assert {r[0]: r[-1] for r in twin} == found
-    assert found == {1: "entropy:4:28", 2: "", 3: "", 4: "", 5: "assign:0:32", 6: "entropy:6:38"}
+    assert found == {1: "entropy:4:28", 2: "", 3: "", 4: "", 5: "assign:0:32", 6: "entropy:6:38", 7: "entropy:4:32", 8: "entropy:4:39", 9: ""}
 
 
 @settings(max_examples=5, deadline=None)
