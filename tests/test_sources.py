@@ -185,6 +185,64 @@ def test_raw_files_end_to_end(spark, tmp_path):
     assert totals.first().total_samples == 300 and shards.agg(F.sum("num_samples")).first()[0] == 300
 
 
+def test_broken_files_are_told_by_footer_and_rows(spark, tmp_path):
+    """Cut at the head, in the middle and at the tail, filled with something else, empty; the rest is read whole."""
+    raw = spark.createDataFrame([((f"the cat {i} {i * 7919 % 10007}", f"die katze {i}"),) for i in range(4000)], bitext.RAW_SCHEMA)
+    names = ["whole", "head", "middle", "tail", "other", "none", "noise"]
+    for i, name in enumerate(names):
+        rows = raw.filter("false") if name == "none" else raw.limit(1000 + i)
+        rows.coalesce(1).write.parquet(str(tmp_path / name))
+    files = {name: next((tmp_path / name).glob("part-*.parquet")) for name in names}
+    for crc in tmp_path.glob("*/.*.crc"):
+        crc.unlink()
+    data = {name: f.read_bytes() for name, f in files.items()}
+    half = len(data["middle"]) // 2
+    changed = bytearray(data["noise"])
+    changed[half : half + 30] = bytes(30)
+    files["head"].write_bytes(data["head"][50:])
+    files["middle"].write_bytes(data["middle"][:half] + data["middle"][half + 64 :])
+    files["tail"].write_bytes(data["tail"][:-10])
+    files["other"].write_bytes(b"no table at all")
+    files["noise"].write_bytes(changed)
+    report = {r.path.rsplit("/", 2)[1]: r for r in bitext.file_report(spark, str(tmp_path)).collect()}
+    assert {name: r.status for name, r in report.items()} == {
+        "whole": "complete", "head": "damaged", "middle": "damaged", "tail": "unreadable", "other": "unreadable", "none": "complete", "noise": "damaged",
+    }
+    assert (report["whole"].stated, report["whole"].read, report["none"].stated) == (1000, 1000, 0)
+    assert (report["middle"].stated, report["tail"].stated) == (1002, None)
+    with pytest.warns(UserWarning):
+        rows, left_out = bitext.read_readable(spark, str(tmp_path))
+    assert left_out == 5 and rows.columns == ["translation"] and rows.count() == 1000
+
+
+@pytest.mark.parametrize("split", ["200b", "128m"])
+def test_lines_are_numbered_where_they_are_read(spark, tmp_path, split):
+    """Over several files, and files over several splits."""
+    lines = [f"line {i} {'x' * (i % 50)}" for i in range(500)]
+    for i, (a, b) in enumerate([(0, 120), (120, 121), (121, 400), (400, 400), (400, 500)]):
+        (tmp_path / "t").mkdir(exist_ok=True)
+        (tmp_path / "t" / f"part-{i:05d}.txt").write_text("".join(f"{x}\n" for x in lines[a:b]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        rows = bitext.numbered_lines(spark, str(tmp_path / "t")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.value for r in sorted(rows)] == lines and sorted(r.line_no for r in rows) == list(range(500))
+
+
+def test_corpora_are_read_back_in_step(spark, tmp_path):
+    texts = ["plain", "back\\slash", "\\n no break", "a\nb\rc", "\\\\n", "", "end\\", "\\\n\\r"]
+    rows = [(i, t, texts[-1 - i]) for i, t in enumerate(texts)]
+    path = str(tmp_path / "c")
+    bitext.write_corpus(flat(spark, rows), path)
+    back = bitext.read_corpus(spark, path)
+    assert sorted(map(tuple, back.collect())) == rows
+    assert tuple(bitext.ragged_lines(back).first()) == (0, 0)
+    (tmp_path / "c/side=src/part-99999.txt").write_text("one line more\n")
+    assert tuple(bitext.ragged_lines(bitext.read_corpus(spark, path)).first()) == (1, 0)
+
+
 def test_saved_over_itself_and_interrupted(spark, tmp_path, monkeypatch):
     """A store is always one build: the old one until the pointer moves, then the new one."""
     pairs = spark.range(400).select(F.col("id").alias("pair_id"), (F.col("id") % 9 + 3).cast("int").alias("src_len"), (F.col("id") % 7 + 3).cast("int").alias("tgt_len"))
