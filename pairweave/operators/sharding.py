@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pairweave.operators.cells import CELL, cell_key
 from pairweave.operators.numbering import SLICE_ROWS, hash_key, hash_slice, number_rows
+from pairweave.session import cut_lineage
 
 #: Token positions per batch; close to what the published run used over its cells.
 DEFAULT_TOKEN_BUDGET = 116_000
@@ -79,6 +81,46 @@ def spread_batch_size(shards: DataFrame, size: Callable[[Column, Column], Column
     return shards.drop("suggested_batch_size").join(F.broadcast(sizes), CELL)
 
 
+def largest_batch(fits: Callable[[int], bool], most: int = 16_384) -> int:
+    """The largest batch size that a probe was seen to bear, by halving the sizes from 1 to ``most``; 0 if it bore none.
+
+    At most ``ceil(log2(most))`` sizes are tried. A probe that raises does not bear the size.
+    """
+    low, high, best = 1, most, 0
+    for _ in range((most - 1).bit_length()):
+        if low > high:
+            break
+        size = (low + high) // 2
+        try:
+            held = bool(fits(size))
+        except Exception:  # noqa: BLE001  out of memory, timed out, or whatever the probe meets
+            held = False
+        if held:
+            best, low = size, size + 1
+        else:
+            high = size - 1
+    return best
+
+
+def probe_batch_size(shards: DataFrame, probe: Callable[[int, int, int], bool], most: int = 16_384) -> DataFrame:
+    """One batch size per distinct cell by trying ``probe(src_end, tgt_end, size)``, copied to all shards of the cell.
+
+    Cells are dealt out one to a task, since a probe may take long; it runs on the executors, so it must be picklable.
+    """
+    cells = shards.select(*CELL).distinct().withColumn("_cell", cell_key())
+    count = max(1, cells.count())  # at most num_cuts squared
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for cells_ in batches:
+            sizes = [largest_batch(lambda n, s=s, t=t: probe(s, t, n), most) for s, t in zip(cells_["src_end"].tolist(), cells_["tgt_end"].tolist())]
+            yield pd.DataFrame({"_cell": cells_["_cell"], "suggested_batch_size": sizes})
+
+    dealt = cells.select("_cell", "src_end", "tgt_end").repartitionByRange(count, "_cell")
+    probed = cut_lineage(dealt.mapInPandas(run, "_cell bigint, suggested_batch_size int"))  # a probe is not run twice
+    rest = [c for c in shards.columns if c != "suggested_batch_size"]
+    return shards.select(*rest, cell_key().alias("_cell")).join(F.broadcast(probed), "_cell").select(*rest, "suggested_batch_size")
+
+
 def reset_batch_size(shards: DataFrame) -> DataFrame:
     """Forget all batch sizes."""
     return shards.withColumn("suggested_batch_size", F.lit(0))

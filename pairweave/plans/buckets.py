@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from pairweave.operators.cells import assign_cell, build_grid, grid_totals, valid_cells
-from pairweave.operators.sharding import assign_shards, batch_size_for, manifest_from_counts, spread_batch_size
+from pairweave.operators.sharding import assign_shards, batch_size_for, manifest_from_counts, probe_batch_size, spread_batch_size
 from pairweave.session import cut_lineage, remove
 from pairweave.sources.manifest import load_manifest, manifest_exists, read_pointer, write_manifest
 from pairweave.sources.shards import write_shards
@@ -74,8 +74,14 @@ def data_path(spark: SparkSession, path: str) -> str:
     return f"{path}/{read_pointer(spark, f'{path}/manifest')[1]}"
 
 
-def save_batch_sizes(spark: SparkSession, path: str, size: Callable[[Column, Column], Column] = batch_size_for) -> DataFrame:
-    """Work out the batch size of every shard of the store at ``path``, save them in its manifest, and return the shards."""
+def save_batch_sizes(
+    spark: SparkSession, path: str, size: Callable[[Column, Column], Column] = batch_size_for, probe: Callable[[int, int, int], bool] | None = None
+) -> DataFrame:
+    """Work out the batch size of every shard of the store at ``path``, save them in its manifest, and return the shards.
+
+    ``probe(src_end, tgt_end, size)``, if given, is tried for each cell instead of computing ``size``.
+    """
     shards, totals = load_manifest(spark, f"{path}/manifest")
-    write_manifest(spread_batch_size(shards, size), totals, f"{path}/manifest")
+    sized = spread_batch_size(shards, size) if probe is None else probe_batch_size(shards, probe)
+    write_manifest(sized, totals, f"{path}/manifest")
     return load_manifest(spark, f"{path}/manifest")[0]

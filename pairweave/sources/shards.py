@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 SHARD_KEYS = ["src_start", "tgt_start", "shard_idx"]
 
@@ -33,3 +33,38 @@ def read_shard(
     except AnalysisException as error:
         raise ValueError(f"no shard {shard_idx} for {src_range} x {tgt_range} in {path}") from error
     return rows.filter((rows.src_end == src_range[1]) & (rows.tgt_end == tgt_range[1]))
+
+
+INDEX_SCHEMA = "src_start int, tgt_start int, shard_idx int, first bigint, last bigint, file string"
+
+
+def shard_ordinal(max_samples: int):
+    """The place of a stored row in its shard, which follows from its place in the cell."""
+    return F.col("cell_rank") - F.col("shard_idx") * F.lit(max_samples).cast("bigint")
+
+
+def index_shards(spark: SparkSession, path: str, index: str, max_samples: int) -> None:
+    """Write which file holds which rows of each shard below ``path``: a row per unbroken range of places in a file.
+
+    Only places and file names are read. Rows lie in files by slices of the order, so ranges are as few as slices.
+    """
+    rows = read_shards(spark, path).select(*SHARD_KEYS, shard_ordinal(max_samples).alias("row"), F.col("_metadata.file_path").alias("file"))
+    order = Window.partitionBy("file").orderBy("row")  # one file
+    islands = rows.withColumn("island", F.col("row") - F.row_number().over(order))
+    ranges = islands.groupBy(*SHARD_KEYS, "file", "island").agg(F.min("row").alias("first"), F.max("row").alias("last"))
+    ranges.select(*SHARD_KEYS, "first", "last", "file").write.parquet(index)
+
+
+def read_rows(spark: SparkSession, path: str, index: str, wanted: DataFrame, max_samples: int) -> DataFrame:
+    """The stored rows at places ``wanted`` (``src_start, tgt_start, shard_idx, row``), with ``row``; only files that hold one are opened.
+
+    The names of those files reach the driver, as many as there are wanted rows at most. A place that no shard has gives no row.
+    """
+    keys = [*SHARD_KEYS, "row"]
+    ranges = spark.read.schema(INDEX_SCHEMA).parquet(index)
+    held = wanted.select(*keys).distinct().join(ranges, SHARD_KEYS).filter((F.col("row") >= F.col("first")) & (F.col("row") <= F.col("last")))
+    files = sorted(r.file for r in held.select("file").distinct().collect())
+    if not files:
+        return read_shards(spark, path).withColumn("row", F.lit(None).cast("bigint")).filter("false")
+    rows = spark.read.option("basePath", path).parquet(*files).withColumn("row", shard_ordinal(max_samples))
+    return rows.join(wanted.select(*keys).distinct(), keys, "left_semi")

@@ -1,10 +1,12 @@
+import uuid
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from pairweave.operators import cells, sharding
 from pairweave.operators.batching import assign_batches
-from pairweave.plans.buckets import build_buckets, plan_buckets
+from pairweave.plans.buckets import build_buckets, plan_buckets, save_batch_sizes
 from pairweave.sources import manifest, shards as shard_store
 
 CELLS = ", ".join(f"{c} int" for c in cells.CELL) + ", n bigint"
@@ -146,6 +148,61 @@ def test_shard_read_prunes_and_fails_when_missing(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(src_start" in plan_text and "(src_start" in plan_text
 
 
+def test_single_rows_open_single_files(spark, tmp_path):
+    pairs = spark.range(900).select(F.col("id").alias("pair_id"), (F.col("id") % 9 + 3).cast("int").alias("src_len"), (F.col("id") % 7 + 3).cast("int").alias("tgt_len"))
+    plan = plan_buckets(pairs, 2, 1, 60)
+    path, index = str(tmp_path / "s"), str(tmp_path / "i")
+    shard_store.write_shards(plan.sharded.repartition(3, "cell_rank"), path)
+    shard_store.index_shards(spark, path, index, 60)
+    stored = shard_store.read_shards(spark, path).withColumn("row", shard_store.shard_ordinal(60))
+    by_place = {(r.src_start, r.tgt_start, r.shard_idx, r.row): r.pair_id for r in stored.collect()}
+    assert len(by_place) == 900
+    places = sorted(by_place)[::97]
+    schema = "src_start int, tgt_start int, shard_idx int, row bigint"
+    found = shard_store.read_rows(spark, path, index, spark.createDataFrame([*places, places[0], (99, 99, 0, 0)], schema), 60)
+    assert {(r.src_start, r.tgt_start, r.shard_idx, r.row): r.pair_id for r in found.collect()} == {p: by_place[p] for p in places}
+    assert found.count() == len(places)
+    one = shard_store.read_rows(spark, path, index, spark.createDataFrame(places[:1], schema), 60)
+    assert len(one.inputFiles()) == 1
+    assert shard_store.read_rows(spark, path, index, spark.createDataFrame([], schema), 60).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 40_000), st.integers(1, 20_000))
+def test_halving_finds_what_a_probe_bears(most_that_fits, most):
+    tried = []
+
+    def fits(size):
+        tried.append(size)
+        if size > most_that_fits + 100:
+            raise MemoryError
+        return size <= most_that_fits
+
+    found = sharding.largest_batch(fits, most)
+    assert len(tried) <= (most - 1).bit_length() and all(1 <= n <= most for n in tried)
+    assert found == max((n for n in tried if n <= most_that_fits), default=0)
+    # One try fewer than sizes need may leave one size untried.
+    assert found >= min(most, most_that_fits) - 1
+
+
+def test_each_cell_is_probed_once_and_saved(spark, tmp_path):
+    pairs = spark.range(400).select(F.col("id").alias("pair_id"), (F.col("id") % 9 + 3).cast("int").alias("src_len"), (F.col("id") % 7 + 3).cast("int").alias("tgt_len"))
+    path = str(tmp_path / "store")
+    build_buckets(spark, path, pairs, 3, 1, 30)
+    log = tmp_path / "log"
+    log.mkdir()
+
+    def bears(src_end, tgt_end, size):
+        (log / f"{src_end}-{tgt_end}-{size}-{uuid.uuid4()}").touch()
+        return size * (src_end + tgt_end) <= 5_000
+
+    sized = save_batch_sizes(spark, path, probe=bears).collect()
+    assert len(sized) > len({(r.src_end, r.tgt_end) for r in sized})
+    assert all(abs(r.suggested_batch_size - 5_000 // (r.src_end + r.tgt_end)) <= 1 for r in sized)
+    tries = [f.name.split("-")[:3] for f in log.iterdir()]
+    assert len(tries) == len(set(map(tuple, tries)))
+
+
 def test_older_manifest_gets_defaults(spark, tmp_path):
     path = str(tmp_path)
     (tmp_path / "shards").mkdir()
