@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pairweave.functions.arrays import BOS, UNK, add_specials
+from pairweave.functions.arrays import BOS, EOS, UNK, add_specials
 from pairweave.functions.text import normalize_text, pretokenize
 from pairweave.operators.vocabulary import Bpe, id_lookup, lookup_ids, train_bpe, unit_counts, word_vocabulary
 from pairweave.plans.buckets import Plan, plan_buckets
@@ -160,6 +160,36 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+FOLLOWERS = 16
+
+
+def next_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(prev, token, logit)``: the tokens that follow each token of the word vocabulary most often in all documents."""
+    ended = encoded_documents(spark, sf_dir).select(F.concat(F.array(F.lit(BOS)), "ids", F.array(F.lit(EOS))).alias("ids"))
+    pairs = ended.select(F.explode(F.arrays_zip(F.slice("ids", F.lit(1), F.size("ids") - 1).alias("prev"), F.slice("ids", F.lit(2), F.size("ids") - 1).alias("token"))).alias("p"))
+    counts = pairs.groupBy("p.prev", "p.token").agg(F.count(F.lit(1)).alias("cnt"))
+    place = F.row_number().over(Window.partitionBy("prev").orderBy(F.desc("cnt"), "token"))  # a vocabulary at most
+    top = counts.withColumn("place", place).filter(F.col("place") <= FOLLOWERS)
+    return cut_lineage(top.select("prev", "token", F.round(F.log("cnt"), 9).alias("logit")))
+
+
+def break_file(spark: SparkSession, folder: str, keep: list[tuple[float, int, float, int]]) -> None:
+    """Replace the one data file of a folder by stretches of itself, each from and to a share of its length and an offset."""
+    hadoop = spark._jvm.org.apache.hadoop
+    location = hadoop.fs.Path(folder)
+    fs = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    (whole,) = [e for e in fs.listStatus(location) if e.getPath().getName().startswith("part-")]
+    size, broken = whole.getLen(), hadoop.fs.Path(folder, "broken.parquet")
+    out = fs.create(broken, True)
+    for low_share, low, high_share, high in keep:
+        start, end = int(size * low_share) + low, int(size * high_share) + high
+        stream = fs.open(whole.getPath())
+        spark._jvm.org.apache.commons.io.IOUtils.copyLarge(stream, out, start, end - start)
+        stream.close()
+    out.close()
+    fs.delete(whole.getPath(), False)
+
+
 def token_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each vector as the logits of one token; eight tokens make a sentence and eight sentences a batch."""
     vec = F.col("vec_id")

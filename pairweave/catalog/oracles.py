@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pairweave.catalog.fixtures import EPOCHS, MAX_SAMPLES, MIN_SAMPLES, NUM_CUTS, TOKEN_BUDGET, WORD_VOCABULARY
+from pairweave.catalog.fixtures import EPOCHS, FOLLOWERS, MAX_SAMPLES, MIN_SAMPLES, NUM_CUTS, TOKEN_BUDGET, WORD_VOCABULARY
 from pairweave.operators.scoring import HAN_BLOCKS, PUNCTUATION_RULES
 
 _CTES: dict[str, str] = {}
@@ -542,6 +542,68 @@ QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score / pow(len, 0.6) D
 (SELECT count(*) FROM bleu_tokens) - (SELECT count(*) FROM scored_tokens) AS discarded, round(bp * geo, 6) AS bleu FROM scored_bleu""",
     "translate_batches": f"SELECT doc_id, text, {_FIFTH.format('text')} AS hyp_text FROM documents",
 }
+_RAW = """SELECT md5(len(e) || e || z) || ':' || (row_number() OVER (PARTITION BY en, zh) - 1) AS pair_id, en, zh{more}
+FROM (SELECT en, zh, coalesce('+' || en, '-') AS e, coalesce('+' || zh, '-') AS z FROM nested_pairs{where})"""
+_BODIES["readable_pairs"] = _RAW.format(more=", 1 AS left_out", where=" WHERE len(pair_id) % 2 = 0")
+_BODIES["corrupt_files"] = """
+SELECT CAST(part AS VARCHAR) AS part, ['complete', 'damaged', 'damaged', 'unreadable'][part + 1] AS status,
+  CASE WHEN part < 3 THEN n END AS stated, CASE WHEN part = 0 THEN n END AS read
+FROM (SELECT len(pair_id) % 4 AS part, count(*) AS n FROM nested_pairs GROUP BY ALL)"""
+_BODIES["zip_by_position"] = "SELECT row_number() OVER (ORDER BY pair_id) - 1 AS line_no, src_text, tgt_text FROM bitext"
+_BODIES["shard_rows"] = f"""
+SELECT pair_id, {_CELL}, shard_idx, place AS row FROM (
+  SELECT *, row_number() OVER (PARTITION BY {_CELL}, shard_idx ORDER BY cell_rank) - 1 AS place, count(*) OVER (PARTITION BY {_CELL}, shard_idx) AS n FROM g_sharded)
+WHERE place IN (0, n // 2, n - 1)"""
+_CTES["probe_cells"] = "SELECT DISTINCT src_start, src_end, tgt_start, tgt_end FROM g_manifest"
+_CTES["probe_steps"] = """
+SELECT src_start, tgt_start, src_end, tgt_end, 1 AS low, 16384 AS high, 0 AS best, 0 AS tries FROM probe_cells
+UNION ALL
+SELECT src_start, tgt_start, src_end, tgt_end, CASE WHEN held THEN size + 1 ELSE low END, CASE WHEN held THEN high ELSE size - 1 END, CASE WHEN held THEN size ELSE best END, tries + 1
+FROM (SELECT *, (low + high) // 2 AS size, (low + high) // 2 <= 9000 AND (low + high) // 2 * (src_end + tgt_end) + src_end * tgt_end <= 50000 AS held FROM probe_steps)
+WHERE low <= high AND tries < 14"""
+_BODIES["probed_batch_size"] = f"""
+SELECT {_CELL}, shard_idx, CAST(best AS INTEGER) AS suggested_batch_size, num_samples FROM g_manifest JOIN (
+  SELECT src_start, tgt_start, arg_max(best, tries) AS best FROM probe_steps GROUP BY ALL) USING (src_start, tgt_start)"""
+_CTES["next_pairs"] = """
+SELECT e[i] AS prev, e[i + 1] AS token, count(*) AS cnt
+FROM (SELECT e, unnest(range(1, len(e))) AS i FROM (SELECT [1] || ids || [2] AS e FROM doc_words)) GROUP BY ALL"""
+_CTES["next_table"] = f"""
+SELECT prev, token, round(ln(cnt), 9) AS logit FROM next_pairs
+QUALIFY row_number() OVER (PARTITION BY prev ORDER BY cnt DESC, token) <= {FOLLOWERS}"""
+_CTES["beam_states"] = """
+SELECT doc_id, 0 AS step, 0 AS beam, [CAST(coalesce(ids[-1], 1) AS INTEGER)] AS tokens, 0.0::DOUBLE AS score, 1 AS len, false AS finished FROM doc_words
+UNION ALL
+SELECT doc_id, step + 1, CAST(row_number() OVER best - 1 AS INTEGER), list_append(tokens, CAST(token AS INTEGER)), score + logp,
+  len + CASE WHEN token = 2 OR finished THEN 0 ELSE 1 END, token = 2 OR finished
+FROM (
+  SELECT doc_id, step, beam, tokens, score, len, finished, token, round(z - top - ln(sum(exp(z - top)) OVER (PARTITION BY doc_id, beam)), 9) AS logp FROM (
+    SELECT *, max(z) OVER (PARTITION BY doc_id, beam) AS top FROM (
+      SELECT b.*, n.token, n.logit / pow(1.1, len(list_filter(tokens[2:], lambda t: t = n.token))) AS z
+      FROM beam_states b JOIN next_table n ON n.prev = b.tokens[-1] WHERE NOT finished AND step < 6))
+  UNION ALL SELECT doc_id, step, beam, tokens, score, len, finished, 2, 0.0 FROM beam_states WHERE finished AND step < 6)
+WINDOW best AS (PARTITION BY doc_id ORDER BY (score + logp) / pow(len + 1, 0.6) DESC, beam, token)
+QUALIFY row_number() OVER best <= 4"""
+_BODIES["beam_decode"] = """
+SELECT doc_id, array_to_string(tokens[:coalesce(list_position(tokens, 2), len(tokens))], ',') AS tokens, round(score / pow(len, 0.6), 6) + 0.0 AS final_score
+FROM beam_states WHERE step = 6 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score / pow(len, 0.6) DESC, beam) = 1"""
+_SEVENTH = "array_to_string([w for w, i in string_split({0}, ' ') if i % 7 <> 0], ' ')"
+_CTES["multi_tokens"] = f"SELECT pair_id, h, r, {_bleu_tokens(_SEVENTH.format('ref_text'))} AS q FROM bleu_tokens JOIN (SELECT pair_id, ref_text FROM hypotheses) USING (pair_id)"
+_CTES["multi_grams"] = " UNION ALL ".join(
+    f"SELECT pair_id, {n} AS n, '{side}' AS side, array_to_string({side}[i:i + {n - 1}], ' ') AS g "
+    f"FROM (SELECT pair_id, {side}, unnest(range(1, len({side}) - {n - 2})) AS i FROM multi_tokens)"
+    for n in range(1, 5) for side in "hrq"
+)
+_CTES["multi_counts"] = """
+SELECT pair_id, n, sum(least(hc, greatest(rc, qc))) AS correct, sum(hc) AS total FROM (
+  SELECT pair_id, n, g, count(*) FILTER (side = 'h') AS hc, count(*) FILTER (side = 'r') AS rc, count(*) FILTER (side = 'q') AS qc FROM multi_grams GROUP BY pair_id, n, g
+) GROUP BY pair_id, n"""
+_MULTI_COLUMNS = ", ".join(f"CAST(coalesce(max({k}) FILTER (n = {n}), 0) AS BIGINT) AS {k}_{n}" for k in ("correct", "total") for n in range(1, 5))
+_CTES["multi_matches"] = f"""
+SELECT t.pair_id, {_MULTI_COLUMNS}, CAST(any_value(len(h)) AS BIGINT) AS hyp_len,
+  CAST(any_value(CASE WHEN (abs(len(r) - len(h)), len(r)) <= (abs(len(q) - len(h)), len(q)) THEN len(r) ELSE len(q) END) AS BIGINT) AS ref_len
+FROM multi_tokens t LEFT JOIN multi_counts c ON c.pair_id = t.pair_id GROUP BY t.pair_id"""
+_CTES["multi_bleu"] = _bleu("multi_matches")
+_BODIES["corpus_bleu_multi"] = "SELECT * EXCLUDE (bp, geo), round(bp, 6) AS bp, round(bp * geo, 6) AS bleu FROM multi_bleu"
 _EDGE = "chr(57344)"
 _BODIES["segment_runs"] = f"""
 SELECT any_value(pair_id) AS pair_id, replace(regexp_replace(regexp_replace(string_agg(around || CASE WHEN cut IS NULL THEN '' ELSE {_EDGE} || cut || {_EDGE} END, '' ORDER BY i),

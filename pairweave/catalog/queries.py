@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairweave.catalog import fixtures as fx
-from pairweave.functions.arrays import add_specials, argmax_index, cut_at_eos, joined, narrow_ids, pad_to
+from pairweave.functions.arrays import BOS, add_specials, argmax_index, cut_at_eos, joined, narrow_ids, pad_to
 from pairweave.functions.schedule import cosine_anneal
 from pairweave.functions.text import byte_units, normalize_text, pretokenize
 from pairweave.operators import cells, lengths, sharding
 from pairweave.operators.batching import assign_batches, assign_batches_global, dynamic_width, stack_batches
+from pairweave.operators.decoding import beam_decode
 from pairweave.operators.encoding import bpe_encode, decode_ids
 from pairweave.operators.metrics import epoch_loss, smoothed_loss, token_accuracy
-from pairweave.operators.scoring import corpus_bleu, eval_summary, ngram_matches, split_by_source_length, tokenize_zh
+from pairweave.operators.scoring import corpus_bleu, corpus_bleu_multi, eval_summary, ngram_matches, split_by_source_length, tokenize_zh
 from pairweave.operators.segmentation import segment_runs
 from pairweave.operators.selection import beam_step, nbest_pick, repetition_penalty
 from pairweave.operators.shuffle import shuffle_rank
@@ -73,6 +74,40 @@ def bitext_rejects(spark, sf_dir):
     return bitext.count_rejects(fx.nested_pairs(fx.line_pairs(spark, sf_dir)))
 
 
+@query
+def corrupt_files(spark, sf_dir):
+    """Four files, of which three have lost bytes at the head, in the middle, or at the tail."""
+    folder = fx.scratch(spark, "broken")
+    part = F.length("pair_id") % 4
+    nested = fx.nested_pairs(fx.line_pairs(spark, sf_dir)).select("translation", part.alias("part"))
+    nested.repartition("part").write.partitionBy("part").parquet(folder)
+    fx.break_file(spark, f"{folder}/part=1", [(0.0, 40, 1.0, 0)])
+    fx.break_file(spark, f"{folder}/part=2", [(0.0, 0, 0.4, 0), (0.4, 40, 1.0, 0)])
+    fx.break_file(spark, f"{folder}/part=3", [(0.0, 0, 1.0, -6)])
+    report = bitext.file_report(spark, folder)
+    return report.select(F.regexp_extract("path", "part=([0-9])", 1).alias("part"), "status", "stated", F.when(F.col("status") == "complete", F.col("read")).alias("read"))
+
+
+@query
+def readable_pairs(spark, sf_dir):
+    """The pairs of the files that are complete, next to one that is cut in the middle."""
+    folder = fx.scratch(spark, "broken")
+    part = F.length("pair_id") % 2
+    nested = fx.nested_pairs(fx.line_pairs(spark, sf_dir)).select("translation", part.alias("part"))
+    nested.repartition("part").write.partitionBy("part").parquet(folder)
+    fx.break_file(spark, f"{folder}/part=1", [(0.0, 0, 0.5, 0), (0.5, 40, 1.0, 0)])
+    pairs, left_out = bitext.read_readable(spark, folder)
+    return bitext.with_pair_id(pairs).select("pair_id", "translation.en", "translation.zh", F.lit(left_out).alias("left_out"))
+
+
+@query
+def zip_by_position(spark, sf_dir):
+    """The two exported corpora read back in step, line by line."""
+    folder = fx.scratch(spark, "corpus")
+    bitext.write_corpus(fx.bitext(spark, sf_dir), folder)
+    return bitext.read_corpus(spark, folder)
+
+
 @query
 def corpus_lines(spark, sf_dir):
     return bitext.corpus_lines(fx.bitext(spark, sf_dir))
@@ -112,6 +147,19 @@ def shard_read(spark, sf_dir):
     return rows.select("pair_id", "src_len", "tgt_len", *SHARD)
 
 
+@query
+def shard_rows(spark, sf_dir):
+    """The first, middle and last row of every shard, by their places."""
+    folder, index = fx.scratch(spark, "shards"), fx.scratch(spark, "index")
+    plan = fx.bucket_plan(spark, sf_dir)
+    shard_store.write_shards(plan.sharded, folder)
+    shard_store.index_shards(spark, folder, index, fx.MAX_SAMPLES)
+    n = F.col("num_samples")
+    places = F.array_distinct(F.array(F.lit(0), F.floor(n / 2), n - 1).cast("array<bigint>"))
+    wanted = plan.shards.select("src_start", "tgt_start", "shard_idx", F.explode(places).alias("row"))
+    return shard_store.read_rows(spark, folder, index, wanted, fx.MAX_SAMPLES).select("pair_id", *SHARD, "row")
+
+
 @query(key="validation_shard")
 def single_shard(spark, sf_dir):
     folder = fx.scratch(spark, "valid")
@@ -433,6 +481,24 @@ def batch_size_plan(spark, sf_dir):
     return _sized_shards(spark, sf_dir)[0].select(*SHARD, "suggested_batch_size", "num_samples")
 
 
+@query
+def probed_batch_size(spark, sf_dir):
+    """Sizes found by trying, saved in the manifest."""
+    folder = fx.scratch(spark, "store")
+    build_buckets(spark, folder, fx.length_pairs(spark, sf_dir), fx.NUM_CUTS, fx.MIN_SAMPLES, fx.MAX_SAMPLES)
+    save_batch_sizes(spark, folder, probe=_budget_probe())
+    return build_buckets(spark, folder)[0].select(*SHARD, "suggested_batch_size", "num_samples")
+
+
+def _budget_probe():
+    def bears(src_end: int, tgt_end: int, size: int) -> bool:
+        if size > 9_000:
+            raise MemoryError
+        return size * (src_end + tgt_end) + src_end * tgt_end <= 50_000
+
+    return bears
+
+
 @query
 def plan_complete(spark, sf_dir):
     shards, _ = _sized_shards(spark, sf_dir)
@@ -541,6 +607,17 @@ def beam_first_step(spark, sf_dir):
     )
 
 
+@query(key="beam_decode")
+def beam_search(spark, sf_dir):
+    """Every document continued from its last token by the tokens that follow it most often in all documents."""
+    table = F.broadcast(fx.next_token_table(spark, sf_dir))  # 16 rows per token of the vocabulary at most
+    last = F.coalesce(F.try_element_at("ids", F.lit(-1)), F.lit(BOS))
+    items = fx.encoded_documents(spark, sf_dir).select(F.col("doc_id").alias("item_id"), last.alias("start"))
+    follow = lambda beams: beams.join(table, F.element_at("tokens", -1) == F.col("prev"))
+    found = beam_decode(items, follow, max_length=6)
+    return found.select(F.col("item_id").alias("doc_id"), joined(F.col("tokens")).alias("tokens"), _rounded("final_score"))
+
+
 @query(key="repetition_penalty")
 def penalized_logits(spark, sf_dir):
     inner = fx.encoded_documents(spark, sf_dir).filter(F.size("ids") > 0)
@@ -569,6 +646,16 @@ def bleu_score(spark, sf_dir):
     return scored.select(*sums, _rounded("bp"), _rounded("bleu"))
 
 
+@query(key="corpus_bleu_multi")
+def bleu_of_two_references(spark, sf_dir):
+    """Two references: the answer, and the answer without every seventh word."""
+    words = F.split("ref_text", " ")
+    shorter = F.array_join(F.filter(words, lambda w, i: (i + 1) % 7 != 0), " ")
+    scored = corpus_bleu_multi(fx.hypotheses(spark, sf_dir).withColumn("second", shorter), refs=["ref_text", "second"])
+    sums = [c for c in scored.columns if c.startswith(("correct_", "total_")) or c.endswith("_len")]
+    return scored.select(*sums, _rounded("bp"), _rounded("bleu"))
+
+
 @query(key="eval_summary")
 def evaluation_summary(spark, sf_dir):
     scored = fx.hypotheses(spark, sf_dir)

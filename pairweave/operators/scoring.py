@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Sequence
 from functools import reduce
 
 import pandas as pd
@@ -37,23 +38,29 @@ def tokenize_zh(text: Column) -> Column:
 
 
 def _count_grams(order: int):
-    """A pandas UDF of two token arrays: clipped matches of each order, totals of each order, and both lengths."""
+    """A pandas UDF of a token array and an array of token arrays: clipped matches and totals of each order, and both lengths."""
 
     @F.pandas_udf("array<bigint>")
     def count(hyps: pd.Series, refs: pd.Series) -> pd.Series:
-        return pd.Series([gram_counts(list(h), list(r), order) for h, r in zip(hyps, refs)])
+        return pd.Series([gram_counts(list(h), [list(r) for r in rs], order) for h, rs in zip(hyps, refs)])
 
     return count
 
 
-def gram_counts(hyp: list[str], ref: list[str], order: int = MAX_ORDER) -> list[int]:
-    """Clipped n-gram matches for n up to ``order``, n-grams of ``hyp`` for each n, and the two lengths."""
+def gram_counts(hyp: list[str], refs: list[list[str]], order: int = MAX_ORDER) -> list[int]:
+    """Clipped n-gram matches for n up to ``order``, n-grams of ``hyp`` for each n, and the two lengths.
+
+    An n-gram may match as often as in the reference that has it most. The reference length is the one closest to the
+    hypothesis, the shorter of two as close; without references it is 0.
+    """
     matches, totals = [], []
     for n in range(1, order + 1):
-        sides = [Counter(zip(*(tokens[i:] for i in range(n)))) for tokens in (hyp, ref)]
-        matches.append((sides[0] & sides[1]).total())
-        totals.append(sides[0].total())
-    return [*matches, *totals, len(hyp), len(ref)]
+        grams = lambda tokens: Counter(zip(*(tokens[i:] for i in range(n))))  # noqa: B023, E731
+        mine, most = grams(hyp), reduce(lambda a, b: a | b, map(grams, refs), Counter())
+        matches.append((mine & most).total())
+        totals.append(mine.total())
+    closest = min((len(r) for r in refs), key=lambda size: (abs(size - len(hyp)), size), default=0)
+    return [*matches, *totals, len(hyp), closest]
 
 
 def _count_names(order: int) -> list[str]:
@@ -67,7 +74,7 @@ def ngram_matches(df: DataFrame, hyp: str, ref: str, key: str = "pair_id", order
     A missing side counts as no tokens.
     """
     none = F.array().cast("array<string>")
-    counted = df.select(key, _count_grams(order)(F.coalesce(hyp, none), F.coalesce(ref, none)).alias("_counts"))
+    counted = df.select(key, _count_grams(order)(F.coalesce(hyp, none), F.array(F.coalesce(ref, none))).alias("_counts"))
     return counted.select(key, *[F.col("_counts")[i].alias(name) for i, name in enumerate(_count_names(order))])
 
 
@@ -102,6 +109,17 @@ def corpus_bleu(
     return bleu_from_sums(counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in _count_names(MAX_ORDER)]))
 
 
+def corpus_bleu_multi(
+    df: DataFrame, hyp: str = "hyp_text", refs: Sequence[str] = ("ref_text",), key: str = "pair_id", tokenize=tokenize_zh
+) -> DataFrame:
+    """``corpus_bleu`` with several references per hypothesis, each a text column; a missing one is left out."""
+    tokens = F.filter(F.array(*[tokenize(F.col(r)) for r in refs]), lambda r: r.isNotNull())
+    none = F.array().cast("array<string>")
+    counted = df.select(key, _count_grams(MAX_ORDER)(F.coalesce(tokenize(F.col(hyp)), none), tokens).alias("_counts"))
+    sums = [F.coalesce(F.sum(F.col("_counts")[i]), F.lit(0)).cast("bigint").alias(name) for i, name in enumerate(_count_names(MAX_ORDER))]
+    return bleu_from_sums(counted.agg(*sums))
+
+
 def split_by_source_length(df: DataFrame, ids: str = "src_ids", max_length: int = 128) -> DataFrame:
     """Add ``kept``: is the source encoding, markers included, short enough? Missing encodings are not kept."""
     return df.withColumn("kept", F.coalesce(F.size(ids) <= max_length, F.lit(False)))

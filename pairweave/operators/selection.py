@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pairweave.functions.arrays import EOS
@@ -29,12 +31,13 @@ def live_candidates(cands: DataFrame, first_step: bool = False, eos: int = EOS)
 
 
 def beam_step(
-    cands: DataFrame, beam_size: int, alpha: float = 0.6, first_step: bool = False, eos: int = EOS
+    cands: DataFrame, beam_size: int, alpha: float = 0.6, first_step: bool = False, eos: int = EOS, carry: Sequence[str] = ()
 ) -> DataFrame:
     """The ``beam_size`` best continuations per item, by length-scaled score, then beam, then token.
 
     Rows carry on the unscaled score. ``len`` counts tokens before the end marker. Filtering on the row number lets
     Spark keep only the best rows of each item before the shuffle, so an item with most of the candidates stays cheap.
+    ``carry`` names further columns to keep.
     """
     scored = live_candidates(cands, first_step, eos).withColumn("new_score", F.col("score") + F.col("logp"))
     scored = scored.withColumn("scaled", length_scaled(F.col("new_score"), F.col("len") + 1, alpha))
@@ -51,6 +54,7 @@ def beam_step(
         "new_score",
         finished.alias("new_finished"),
         (F.col("len") + F.when(finished, 0).otherwise(1)).alias("new_len"),
+        *carry,
     )
 
 

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,8 @@ from pairweave.functions import arrays
 from pairweave.functions.schedule import cosine_anneal, teacher_ratio
 from pairweave.operators.cells import CELL
 from pairweave.operators.metrics import epoch_loss, smoothed_loss, token_accuracy
-from pairweave.operators.scoring import corpus_bleu, ngram_matches, split_by_source_length, tokenize_zh
+from pairweave.operators.decoding import beam_decode
+from pairweave.operators.scoring import corpus_bleu, corpus_bleu_multi, gram_counts, ngram_matches, split_by_source_length, tokenize_zh
 from pairweave.operators.selection import beam_step, nbest_pick, repetition_penalty
 from pairweave.operators.sharding import manifest_from_counts, spread_batch_size
 from pairweave.plans.preprocess import filter_max_length, padded, shift_targets, stored_pairs
@@ -186,6 +188,63 @@ def test_nbest_pick(spark):
     assert {(r.item_id, r.beam) for r in nbest_pick(frame, 0.0).collect()} == {(1, 0), (2, 0)}
 
 
+def plain_search(start, follow, max_length, beam_size, alpha, penalty, eos=2):
+    """A beam search of one item in plain Python; ``follow`` maps a token to logits by token."""
+    beams = [((start,), 0.0, 1, False)]
+    for _ in range(max_length):
+        options = []
+        for place, (tokens, score, size, done) in enumerate(beams):
+            if done:
+                options.append((score / (size + 1) ** alpha, place, eos, score, tokens, size, True))
+                continue
+            logits = {t: z / penalty ** tokens[1:].count(t) for t, z in follow.get(tokens[-1], {}).items()}
+            if logits:
+                top = max(logits.values())
+                total = math.log(sum(math.exp(z - top) for z in logits.values()))
+            for t, z in logits.items():
+                new = score + round(z - top - total, 9)
+                options.append((new / (size + 1) ** alpha, place, t, new, tokens, size, False))
+        best = sorted(options, key=lambda o: (-o[0], o[1], o[2]))[:beam_size]
+        if not best:
+            return [start], 0.0
+        beams = [((*tokens, t), score, size + (t != eos and not done), done or t == eos) for _, _, t, score, tokens, size, done in best]
+        if all(b[3] for b in beams):
+            break
+    tokens, score, size, _ = max(beams, key=lambda b: (b[1] / b[2] ** alpha, -beams.index(b)))
+    return list(tokens[: tokens.index(eos) + 1] if eos in tokens else tokens), score / size**alpha
+
+
+@pytest.mark.parametrize("beam_size, alpha, penalty, max_length", [(4, 0.6, 1.1, 7), (1, 0.0, 1.0, 5), (8, 0.95, 1.05, 4)])
+def test_beam_search_against_plain_python(spark, beam_size, alpha, penalty, max_length):
+    rng = random.Random(beam_size)
+    follow = {p: {t: round(rng.uniform(-2, 3), 6) for t in rng.sample(range(2, 14), rng.randint(1, 9))} for p in [1, *range(3, 14)]}
+    del follow[13]  # a token that nothing follows
+    table = spark.createDataFrame([(p, t, z) for p, row in follow.items() for t, z in row.items()], "prev int, next int, logit double")
+    items = spark.createDataFrame([(i, [1, 3, 4, 5, 6, 7, 8, 9, 10, 13][i]) for i in range(10)], "item_id bigint, start int")
+    join = lambda beams: beams.join(table, F.element_at("tokens", -1) == F.col("prev")).withColumnRenamed("next", "token")
+    found = {r.item_id: (r.tokens, r.final_score) for r in beam_decode(items, join, max_length, beam_size, alpha, penalty).collect()}
+    assert len(found) == 10
+    for r in items.collect():
+        tokens, score = plain_search(r.start, follow, max_length, beam_size, alpha, penalty)
+        assert found[r.item_id][0] == tokens, (r.item_id, found[r.item_id], score)
+        assert found[r.item_id][1] == pytest.approx(score)
+    assert beam_decode(items.filter("false"), join, 3).count() == 0
+
+
+def test_several_references_by_hand(spark):
+    """Matches are clipped by the reference that has most, and the closest length counts, the shorter of two as close."""
+    assert gram_counts("a a b c".split(), ["a b".split(), "a a x".split()], 2) == [3, 2, 4, 3, 4, 3]
+    assert gram_counts("a b c".split(), ["a b".split(), "a b c d".split()], 1)[-1] == 2
+    assert gram_counts("a".split(), [], 1) == [0, 1, 1, 0]
+    rows = [(1, "a b c d e", "a b c d", "b c d e"), (2, "x y z w", None, "x y z w"), (3, None, "q", "r")]
+    df = spark.createDataFrame(rows, "pair_id int, hyp_text string, ref_text string, other string")
+    both = corpus_bleu_multi(df, refs=["ref_text", "other"]).first()
+    assert (both.correct_1, both.correct_4, both.total_4, both.hyp_len, both.ref_len) == (9, 3, 3, 9, 9)
+    assert both.bleu == pytest.approx(100.0)
+    single, same = corpus_bleu(df, ref="other").first(), corpus_bleu_multi(df, refs=["other"]).first()
+    assert single == same
+
+
 def test_schedules(spark):
     assert one(spark, cosine_anneal(F.lit(0), F.lit(10), 1.0, 0.5)) == 1.0
     assert one(spark, cosine_anneal(F.lit(10), F.lit(10), 1.0, 0.5)) == pytest.approx(0.5)
