@@ -1,9 +1,8 @@
 """Words of many texts as arrays of hashes, so that tasks work on whole batches instead of single words.
 
 A word is a run of bytes other than space and U+0009 to U+000D. Hashes are 64 bits and depend only on the bytes and a
-seed; two seeds give 128 bits. A block of 64 bytes is the sum of independent random numbers, one for each place and byte; blocks are
-mixed with their number before they are added. (Sums of bytes times powers of a base modulo 2**64 would not do: some long words
-have equal sums for every base.)
+seed; two seeds give 128 bits. A word is read eight bytes at a time; each eight are mixed with their number before they are
+added. (Sums of bytes times powers of a base modulo 2**64 would not do: some long words have equal sums for every base.)
 """
 
 from __future__ import annotations
@@ -16,10 +15,9 @@ import numpy as np
 _MASK = 2**64 - 1
 _CHUNK = 1 << 20
 _BASES = {0: 0x9E3779B97F4A7C15, 1: 0xD1342543DE82EF95}
+#: Keeps the first 0 to 8 bytes of a little-endian number.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _POWERS: dict[tuple[int, int], np.ndarray] = {}
-#: Bytes of a word that are summed before they are mixed.
-_BLOCK = 64
-_TABLES = {s: np.random.default_rng(7 + s).integers(0, 2**64, (_BLOCK, 256), dtype=np.uint64) for s in _BASES}
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _PUNCTUATION = bytes(32 if chr(c) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else c for c in range(256))
@@ -58,21 +56,6 @@ def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int)
         return mix((sums[ends] - sums[starts]) * _powers(base, len(values) + 1, True)[starts])
 
 
-def _summed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first_block: np.ndarray, seed: int) -> np.ndarray:
-    """The mixed blocks of each ``data[start:end]``, added; blocks are numbered from ``first_block`` on."""
-    sizes = ends - starts
-    begin = np.cumsum(sizes) - sizes
-    place = np.arange(int(sizes.sum()))
-    inside = place - np.repeat(begin, sizes)
-    values = _TABLES[seed][inside % _BLOCK, data[place + np.repeat(starts - begin, sizes)]]
-    if sizes.max() <= _BLOCK:
-        return mix(np.add.reduceat(values, begin) + (first_block.astype(np.uint64) + np.uint64(1)) * np.uint64(_BASES[1 - seed]))
-    blocks = np.flatnonzero(inside % _BLOCK == 0)
-    number = inside[blocks] // _BLOCK + np.repeat(first_block, -(-sizes // _BLOCK))
-    mixed = mix(np.add.reduceat(values, blocks) + (number.astype(np.uint64) + np.uint64(1)) * np.uint64(_BASES[1 - seed]))
-    return np.add.reduceat(mixed, np.searchsorted(blocks, begin))
-
-
 @dataclass
 class Words:
     """Words of a batch of texts. Text ``i`` owns the words ``first[i]`` to ``first[i + 1]``; offsets count bytes of ``blob``."""
@@ -83,20 +66,24 @@ class Words:
     first: np.ndarray
 
     def hashes(self, seed: int = 0) -> np.ndarray:
-        """One hash per word, computed piecewise so that a very long text or word needs no array of eight times its size."""
-        data, sizes, out = np.frombuffer(self.blob, np.uint8), self.ends - self.starts, np.zeros(len(self.starts), np.uint64)
-        pieces = -(-sizes // _CHUNK)
-        owner = np.repeat(np.arange(len(sizes)), pieces)
-        nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        low = self.starts[owner] + nth * _CHUNK
-        high = np.minimum(low + _CHUNK, self.ends[owner])
-        done, a = np.cumsum(high - low), 0
+        """One hash per word, computed piecewise so that a very long text or word needs no array of its size."""
+        sizes, out, base = self.ends - self.starts, np.zeros(len(self.starts), np.uint64), np.uint64(_BASES[seed])
+        padded = self.blob + bytes(8)
+        eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))  # the eight bytes from each byte on
+        parts = -(-sizes // 8)
+        done = np.cumsum(parts)
         with np.errstate(over="ignore"):
-            while a < len(owner):
-                b = max(a + 1, int(np.searchsorted(done, (done[a - 1] if a else 0) + _CHUNK, "right")))
-                out[owner[a:b]] += _summed(data, low[a:b], high[a:b], nth[a:b] * (_CHUNK // _BLOCK), seed)  # one piece of a word at most
-                a = b
-            return mix(out + sizes.astype(np.uint64) * np.uint64(_BASES[seed]))
+            for low in range(0, int(done[-1]) if len(done) else 0, _CHUNK >> 2):
+                high = min(low + (_CHUNK >> 2), int(done[-1]))
+                a, b = np.searchsorted(done, [low, high - 1], "right") + [0, 1]
+                begin = done[a:b] - parts[a:b]
+                held = np.minimum(done[a:b], high) - np.maximum(begin, low)
+                number = np.arange(low, high) - np.repeat(begin, held)
+                at = np.repeat(self.starts[a:b], held) + 8 * number
+                kept = _FIRST_BYTES[np.minimum(np.repeat(self.ends[a:b], held) - at, 8)]
+                mixed = mix((eight[at] & kept) + (number + 1).astype(np.uint64) * base)
+                out[a:b] += np.add.reduceat(mixed, np.cumsum(held) - held)
+            return mix(out + sizes.astype(np.uint64) * base)
 
     def text_of(self) -> np.ndarray:
         """The text that each word belongs to."""
