@@ -7,6 +7,7 @@ from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -296,13 +297,13 @@ class WordIndex:
         wanted = self._touched(merges)
 
         def changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            replay, found, held, read = Replay(merges), {}, set(wanted), 0
+            replay, found, held, read = Replay(merges), {}, np.array(wanted, np.int64), 0
             for batch in batches:
                 read += len(batch)
-                for pair, word, cnt in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                    # A word is listed under each of its pairs, and counted under the least of those that were asked for.
-                    if pair == min(p for a, b in zip(word, word[1:]) if (p := a << 32 | b) in held):
-                        replay.run(word, start, cnt, found)
+                # A word is listed under each of its pairs, and counted under the least of those that were asked for.
+                own = batch.filter(pa.array(_least_held(batch.column(1), held) == batch.column(0).to_numpy()))
+                for word, cnt in zip(own.column(1).to_pylist(), own.column(2).to_pylist()):
+                    replay.run(word, start, cnt, found)
             rows = [(rank - start, pair, n) for (rank, pair), n in found.items() if n] + [(-1, 0, read)]
             steps_, pairs, counts = zip(*rows)
             yield pa.RecordBatch.from_pydict({"step": pa.array(steps_, pa.int32()), "pair": pa.array(pairs, pa.int64()), "n": pa.array(counts, pa.int64())})
@@ -339,6 +340,18 @@ class WordIndex:
         remove(self.spark, self.words_path)
 
 
+def _least_held(words: pa.ListArray, held: np.ndarray) -> np.ndarray:
+    """For each word, of two symbols or more, the least of its pairs that is among the sorted ``held``."""
+    starts, symbols = words.offsets.to_numpy(), words.values.to_numpy().astype(np.int64)
+    symbols = symbols[starts[0] : starts[-1]]
+    pairs = symbols << 32 | np.append(symbols[1:], 0)
+    at = np.minimum(np.searchsorted(held, pairs), len(held) - 1)
+    none = np.iinfo(np.int64).max
+    pairs = np.where(held[at] == pairs, pairs, none)
+    pairs[starts[1:] - starts[0] - 1] = none  # the last symbol and the first of the next word
+    return np.minimum.reduceat(pairs, starts[:-1] - starts[0])
+
+
 def _words_by_pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each distinct pair of a word, with how often it is in the word."""
     for batch in batches:
