@@ -1,4 +1,15 @@
-"""The corpus pipeline: documents in, packed training batches out."""
+"""The corpus pipeline: documents in, packed training batches out.
+
+Every stage takes all that its predecessor kept, and what a stage returns is written and read again. All but the last
+return the columns of documents.
+
+Defined cases, for every stage: a null or empty text is a text without words: it is not toxic, is equal to other such texts, is near
+none but those, holds no benchmark item and is packed in the narrowest bucket. A null ``doc_id`` sorts after all numbers, so of equal
+rows one with an id stays. Rows alike in id and text are one document to the two deduplicating stages, which keep one of them. Of
+equal or near texts ties go to the longer text (exact stage), then to the smaller id. Without usable labels nothing is toxic;
+without benchmark items nothing is contaminated. An empty table gives empty tables with the same columns. Other columns are kept, under
+any name.
+"""
 
 from __future__ import annotations
 
