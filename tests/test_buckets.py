@@ -16,7 +16,7 @@ def counted(spark, sizes):
     return spark.createDataFrame([(i, i + 1, 1, 2, n) for i, n in enumerate(sizes)], CELLS)
 
 
-# Cells of the published run (max_samples 262,144): rows, shards, rows in the last shard.
+# Cells of the published run (max_samples 262,144): rows, shards, rows in the last shard.
 PUBLISHED = [
     (1_514_283, 6, 203_563), (340_378, 1, 340_378), (873_768, 3, 349_480), (468_066, 2, 205_922), (381_643, 1, 381_643),
     (825_822, 3, 301_534), (560_968, 2, 298_824), (375_924, 1, 375_924), (769_448, 3, 245_160), (596_159, 2, 334_015),
@@ -54,6 +54,38 @@ def test_published_totals(spark):
         assert sum(r.num_samples for r in rows if r.src_start == i) == n
 
 
+# Edges of the published run; for each target range its first source range and how many it has; batch sizes by cell.
+PUBLISHED_SRC = [3, 7, 10, 13, 16, 19, 22, 25, 28, 31, 34, 38, 42, 46, 51, 57, 64, 73, 85, 102, 129]
+PUBLISHED_TGT = [2, 6, 9, 12, 15, 18, 21, 24, 27, 30, 33, 36, 40, 44, 49, 55, 62, 71, 82, 99, 128]
+PUBLISHED_KEPT = [
+    (0, 3), (0, 4), (0, 6), (1, 6), (2, 7), (3, 7), (4, 7), (5, 7), (5, 8), (6, 8),
+    (7, 7), (8, 7), (10, 6), (11, 6), (12, 5), (14, 4), (15, 4), (16, 3), (18, 2), (19, 1),
+]
+PUBLISHED_BATCHES = [
+    10290, 9179, 8192, 7829, 7168, 6420, 5855, 6149, 5734, 5263, 5043, 4608, 4363, 4875, 4576, 4240, 4096, 3840,
+    3603, 4056, 3748, 3584, 3405, 3263, 3073, 2922, 3411, 3191, 3072, 2890, 2864, 2725, 2590, 2925, 2824, 2661,
+    2560, 2560, 2411, 2309, 2560, 2532, 2418, 2336, 2274, 2196, 2096, 2408, 2322, 2274, 2224, 2121, 2048, 1984,
+    1876, 2178, 2082, 2048, 2007, 1897, 1859, 1801, 1703, 1981, 1912, 1861, 1832, 1739, 1706, 1635, 1792, 1720,
+    1706, 1631, 1576, 1568, 1462, 1574, 1538, 1475, 1459, 1358, 1318, 1424, 1323, 1350, 1281, 1199, 1197, 1280,
+    1223, 1204, 1112, 1055, 1096, 1075, 1024, 923, 930, 928, 861, 787, 787, 786, 697, 652, 603, 479,
+]
+
+
+def test_published_tokens_and_iterations(spark):
+    """Padded tokens, and batches of an epoch with and without the last ones."""
+    places = [(s, t) for t, (first, n) in enumerate(PUBLISHED_KEPT) for s in range(first, first + n)]
+    edges = [(PUBLISHED_SRC[s], PUBLISHED_SRC[s + 1], PUBLISHED_TGT[t], PUBLISHED_TGT[t + 1]) for s, t in places]
+    rows = [(*e, n, b) for e, n, b in zip(edges, PUBLISHED_CELLS, PUBLISHED_BATCHES, strict=True)]
+    kept = spark.createDataFrame(rows, f"{CELLS}, b int")
+    assert kept.selectExpr("sum(n * (src_end + tgt_end - 2)) AS t").first().t == 1_366_150_621
+    shards = sharding.manifest_from_counts(kept, 262_144).drop("suggested_batch_size")
+    sized = shards.join(kept.select(*cells.CELL, F.col("b").alias("suggested_batch_size")), cells.CELL)
+    assert sharding.epoch_iterations(sized, 0.75).first().iterations == 14_093
+    assert sharding.epoch_iterations(sized, 0.75, drop_last=True).first().iterations == 13_962
+    ordered = sharding.curriculum_order(sized).filter("shard_idx = 0").orderBy("position").collect()
+    assert [(r.src_start, r.tgt_start) for r in ordered] == [(e[0], e[2]) for e in edges]
+
+
 @pytest.mark.parametrize("cuts", [0, -1, 1001])
 def test_number_of_cuts_is_checked(spark, cuts):
     with pytest.raises(ValueError):
