@@ -5,7 +5,7 @@ social security numbers, account numbers, spelled-out mail addresses). Five labe
 *check* (the shape's own check), *gazetteer* (known top-level domains, card issuers, calling codes, reserved networks),
 *context* (words before it that announce such data), *counter-context* (words that announce versions, orders, sizes) and
 *edges* (whether it stands alone). Votes are counted by pattern, in the cluster. Expectation-maximisation over those counts
-(at most kinds x 3^5 rows, a fixed bound) estimates how reliable each labeler is, without labels. The posteriors then
+(at most kinds x 3^5 rows, a fixed bound) estimates how reliable each labeler is on each kind, without labels. The posteriors then
 train a logistic classifier on span features, again over counts by feature pattern, and the classifier's log-odds are an
 expression that every candidate is scored with.
 
@@ -124,33 +124,42 @@ def candidate_spans(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.concat(*[F.transform(f"_{k}", _candidate(k, i)) for i, k in enumerate(KINDS)]).alias("spans"))
 
 
-def expectation_maximisation(patterns: list[Row], rounds: int = 60) -> tuple[dict[str, float], list[dict[int, tuple[float, float]]]]:
-    """Share of true spans by kind, and for each labeler ``P(vote | false), P(vote | true)`` by vote.
+#: How many spans the labelers' reliabilities over all kinds weigh against those of one kind.
+SHARED_WEIGHT = 50.0
+Rates = dict[str, list[dict[int, tuple[float, float]]]]
+
+
+def expectation_maximisation(patterns: list[Row], rounds: int = 60) -> tuple[dict[str, float], Rates]:
+    """Share of true spans by kind, and by kind for each labeler ``P(vote | false), P(vote | true)`` by vote.
 
     ``patterns`` has ``kind``, the votes and ``n``. Starts from votes that are right three times in four; one pseudo-count
-    per vote keeps unseen votes possible.
+    per vote keeps unseen votes possible, and a kind with few spans leans on what is known of all.
     """
     prior = {r.kind: 0.5 for r in patterns}
-    rates = [{-1: (0.5, 0.2), 0: (0.3, 0.3), 1: (0.2, 0.5)} for _ in LABELERS]
+    start = {-1: (0.5, 0.2), 0: (0.3, 0.3), 1: (0.2, 0.5)}
+    rates: Rates = {kind: [start for _ in LABELERS] for kind in prior}
     for _ in range(rounds):
         posteriors = [posterior(r, prior, rates) for r in patterns]
         for kind in prior:
             rows = [(r.n, p) for r, p in zip(patterns, posteriors) if r.kind == kind]
             prior[kind] = min(0.99, max(0.01, (1 + sum(n * p for n, p in rows)) / (2 + sum(n for n, _ in rows))))
         for j, name in enumerate(LABELERS):
-            sums = {v: [1.0, 1.0] for v in (-1, 0, 1)}
+            sums = {kind: {v: [0.0, 0.0] for v in start} for kind in prior}
             for r, p in zip(patterns, posteriors):
-                sums[r[name]][0] += r.n * (1 - p)
-                sums[r[name]][1] += r.n * p
-            totals = [sum(s[k] for s in sums.values()) for k in (0, 1)]
-            rates[j] = {v: (s[0] / totals[0], s[1] / totals[1]) for v, s in sums.items()}
+                sums[r.kind][r[name]][0] += r.n * (1 - p)
+                sums[r.kind][r[name]][1] += r.n * p
+            every = {v: [1 + sum(of[v][k] for of in sums.values()) for k in (0, 1)] for v in start}
+            shared = {v: [s[k] / sum(x[k] for x in every.values()) for k in (0, 1)] for v, s in every.items()}
+            for kind, of in sums.items():
+                total = [SHARED_WEIGHT + sum(x[k] for x in of.values()) for k in (0, 1)]
+                rates[kind][j] = {v: tuple((x[k] + SHARED_WEIGHT * shared[v][k]) / total[k] for k in (0, 1)) for v, x in of.items()}
     return prior, rates
 
 
-def posterior(pattern: Row, prior: dict[str, float], rates: list[dict[int, tuple[float, float]]]) -> float:
+def posterior(pattern: Row, prior: dict[str, float], rates: Rates) -> float:
     """Probability that spans with these votes are personal data."""
     odds = math.log(prior[pattern.kind] / (1 - prior[pattern.kind]))
-    for name, rate in zip(LABELERS, rates):
+    for name, rate in zip(LABELERS, rates[pattern.kind]):
         no, yes = rate[pattern[name]]
         odds += math.log(yes / no)
     return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
