@@ -1,6 +1,7 @@
 """Toxicity and the language model: held-out accuracy, brute force, and normalisation."""
 
 import math
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,6 +12,7 @@ from hard_words import thue_morse
 from pyspark.sql import functions as F
 
 from pairweave.llm import language_model as lm, toxicity as tox
+from pairweave.llm.words import words_of
 
 DATA = "/root/testdata/sf0.01"
 
@@ -37,6 +39,81 @@ def test_held_out_accuracy(labelled):
     assert severe(True) > severe(False) + 1
 
 
+def plain_features(text):
+    """``(word or beginning, level)`` of a text and how often each word or beginning occurs."""
+    words = "".join(" " if c in string.punctuation else c for c in (text or "").lower()).split()
+    counts = Counter(words)
+    for word, n in Counter(words).items():
+        for size in (4, 6):
+            if len(word) >= size:
+                counts[word[:size] + "*"] += n
+    limits = ((1, 0.0), (2, 0.004), (3, 0.01))
+    return {(f, k) for f, n in counts.items() for k, (least, share) in enumerate(limits) if n >= least and n >= share * len(words)}
+
+
+def plain_severities(docs, labels):
+    """Scores of all documents by a model fitted in dense matrices on the same sample."""
+    toxic = {}
+    for doc, label in labels:
+        if doc is not None and label is not None:
+            toxic[doc] = max(toxic.get(doc, 0), int(label > 0))
+    first = {}
+    for doc, text in docs:
+        if doc in toxic:
+            hashes = words_of([tox.plain(text)]).hashes()
+            grams = tox.window_hashes(hashes, min(5, max(1, len(hashes))))
+            sketch = int(grams.min()) if len(grams) else 0
+            first[sketch] = min(first.get(sketch, (doc, text)), (doc, text))
+    sample = [(plain_features(t), toxic[d]) for d, t in first.values()]
+    size = Counter(label for _, label in sample)
+    held = [Counter(f for fs, label in sample if label == k for f in fs) for k in (0, 1)]
+    chosen = []
+    for f in held[0].keys() | held[1].keys():
+        a, b = held[1][f], held[0][f]
+        ratio = math.log((a + 0.5) / (size[1] + 0.5 - a)) - math.log((b + 0.5) / (size[0] + 0.5 - b))
+        z = ratio / math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+        if a + b >= max(3, int(0.01 * size[1])) and abs(z) >= 3:
+            chosen.append((-abs(z), *f, ratio))
+    chosen.sort()
+    features = [(f, k) for _, f, k, _ in chosen][:4096]
+    markers = {(f, k) for _, f, k, ratio in chosen[:4096] if ratio >= 3}
+    x = np.array([[f in fs for f in features] for fs, _ in sample], float)
+    marks = np.array([len(fs & markers) for fs, _ in sample])
+    y = np.array([label for _, label in sample])
+    cuts = np.quantile(marks[y == 1], [1 / 3, 2 / 3])
+    grades = np.where(y == 1, 1 + (marks > cuts[0]) + (marks > cuts[1]), 0)
+    sigmoid = lambda v: 1 / (1 + np.exp(-np.clip(v, -40, 40)))
+    above = np.clip([(grades > k).mean() for k in range(3)], 1e-4, 1 - 1e-4)
+    theta = np.maximum.accumulate(np.log((1 - above) / above) + 1e-2 * np.arange(3))
+    p = np.concatenate([np.zeros(len(features)), [theta[0]], np.log(np.maximum(np.diff(theta), 1e-2))])
+    m, v, n = 0.0, 0.0, len(features)
+    for step in range(1, 401):
+        steps = np.exp(p[n + 1 :])
+        theta = p[n] + np.concatenate([[0.0], np.cumsum(steps)])
+        tails = sigmoid((x @ p[:n])[:, None] - theta)  # P(grade > k)
+        wide = np.hstack([np.ones((len(y), 1)), tails, np.zeros((len(y), 1))])
+        at = np.arange(len(y))
+        mass = np.maximum(wide[at, grades] - wide[at, grades + 1], 1e-12)
+        slope = wide * (1 - wide)
+        to_score = (slope[at, grades] - slope[at, grades + 1]) / mass
+        to_theta = np.array([((grades == k) * slope[:, k + 1] / mass).sum() - ((grades == k + 1) * slope[:, k + 1] / mass).sum() for k in range(3)])
+        tail = to_theta[::-1].cumsum()[::-1]
+        g = np.concatenate([x.T @ to_score - 0.1 * p[:n], [tail[0]], tail[1:] * steps])
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        p = p + 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    theta = p[n] + np.concatenate([[0.0], np.cumsum(np.exp(p[n + 1 :]))])
+    weight = dict(zip(features, p[:n]))
+    return {d: sum(sigmoid(sum(weight.get(f, 0.0) for f in plain_features(t)) - theta)) for d, t in docs}
+
+
+def test_scores_of_a_plain_refit(labelled):
+    docs, labels = labelled
+    found = {r.doc_id: r.expected_severity for r in tox.score_severity(docs, tox.fit_severity(docs, labels)).collect()}
+    wanted = plain_severities([(r.doc_id, r.text) for r in docs.collect()], [(r.doc_id, r.toxic) for r in labels.collect()])
+    assert found.keys() == wanted.keys()
+    assert [found[d] for d in wanted] == pytest.approx(list(wanted.values()), abs=1e-3)
+
+
 def test_thresholds_are_ordered_and_shared():
     rng = np.random.default_rng(5)
     rows = [np.flatnonzero(rng.random(6) < 0.5) for _ in range(3000)]
