@@ -10,8 +10,6 @@ from pairweave.functions.arrays import EOS
 from pairweave.operators.selection import beam_step, length_scaled, repetition_penalty
 from pairweave.session import remove, rewrite
 
-STATE = ["item_id", "beam", "tokens", "score", "len", "finished"]
-
 
 def log_softmax(cands: DataFrame) -> DataFrame:
     """Add ``logp``: logits normalised over the candidates of a beam, to nine places, so that sums in another order tie alike."""
