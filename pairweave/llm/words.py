@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 import numpy as np
 
-_MASK = 2**64 - 1
 _CHUNK = 1 << 20
 _BASES = {0: 0x9E3779B97F4A7C15, 1: 0xD1342543DE82EF95}
 #: Keeps the first 0 to 8 bytes of a little-endian number.

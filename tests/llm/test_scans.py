@@ -153,9 +153,6 @@ def test_further_personal_data_is_added(spark, docs):
     assert kinds["phone_local"] == 60 and kinds["ssn"] >= 59
 
 
-VOTES = {-1: 0, 0: 1, 1: 2}
-
-
 def plain_candidates(text):
     """Candidates of a text with their votes and features, from Python's regular expressions."""
     flat = lambda p: re.compile(p.replace("++", "+").replace("}+", "}").replace(r"\G|", "(?!)|"))
