@@ -138,9 +138,8 @@ def hypotheses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shifted labels, and the same with an unknown token in every fifth place."""
-    ids = F.slice("tgt_ids", F.lit(2), F.size("tgt_ids") - 1)
-    labelled = encoded_pairs(spark, sf_dir).select("pair_id", ids.alias("labels"))
+    """Every whole document as labels, and the same with an unknown token in every fifth place."""
+    labelled = encoded_documents(spark, sf_dir).select(F.col("doc_id").cast("string").alias("pair_id"), F.concat("ids", F.array(F.lit(EOS))).alias("labels"))
     number = F.length("pair_id")
     wrong = lambda y, i: F.when((number + i) % 5 == 0, F.lit(UNK)).otherwise(y)
     return labelled.withColumn("preds", F.transform("labels", wrong))

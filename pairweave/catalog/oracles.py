@@ -319,7 +319,7 @@ _CTES["live"] = """
 SELECT *, score + CASE WHEN finished THEN CASE WHEN token = 2 THEN 0.0 ELSE '-infinity'::DOUBLE END ELSE logp END AS new_score
 FROM candidates"""
 _CTES["predictions"] = """
-SELECT pair_id, tgt_ids[2:] AS labels FROM encoded_pairs"""
+SELECT CAST(doc_id AS VARCHAR) AS pair_id, list_append(ids, 2) AS labels FROM doc_words"""
 _CTES["token_logits"] = """
 SELECT vec_id // 64 AS batch_id, vec_id // 8 AS row_id, list_transform(embedding, lambda x: x::DOUBLE) AS z,
        CAST(CASE WHEN vec_id % 7 = 0 THEN 0 ELSE vec_id % len(embedding) END AS INTEGER) AS label
@@ -466,8 +466,8 @@ GROUP BY epoch, bucket, split""",
 {_joined('src_ids || tgt_ids')} AS pair FROM encoded_pairs""",
     "length_filter": """SELECT pair_id, CAST(len(src_ids) AS INTEGER) AS src_n, CAST(len(tgt_ids) AS INTEGER) AS tgt_n
 FROM encoded_pairs WHERE len(src_ids) <= 64 AND len(tgt_ids) <= 64""",
-    "eval_discards": """SELECT count(*) AS total, count(*) FILTER (len(src_ids) <= 64) AS valid,
-count(*) FILTER (len(src_ids) > 64) AS discarded FROM encoded_pairs""",
+    "eval_discards": """SELECT count(*) AS total, count(*) FILTER (len(ids) + 2 <= 256) AS valid,
+count(*) FILTER (len(ids) + 2 > 256) AS discarded FROM doc_words""",
     "shifted_pairs": f"SELECT pair_id, {_joined('src')} AS src, {_joined('tgt')} AS tgt, {_joined('label')} AS label FROM shifted",
     "narrow_pairs": f"SELECT doc_id, {_joined('ids')} AS ids FROM doc_words",
     "cut_at_eos": f"SELECT pair_id, {_joined('tgt_ids')} AS ids FROM encoded_pairs",

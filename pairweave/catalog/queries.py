@@ -324,7 +324,8 @@ def length_filter(spark, sf_dir):
 
 @query
 def eval_discards(spark, sf_dir):
-    flagged = split_by_source_length(fx.encoded_pairs(spark, sf_dir), "src_ids", 64)
+    whole = fx.encoded_documents(spark, sf_dir).select(add_specials(F.col("ids")).alias("src_ids"))
+    flagged = split_by_source_length(whole, "src_ids", 256)
     return flagged.agg(
         F.count(F.lit(1)).alias("total"), F.count_if("kept").alias("valid"), F.count_if(~F.col("kept")).alias("discarded")
     )
