@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -25,23 +24,28 @@ def translate_batches(
     sorted_rows = sized.repartitionByRange("_len", key).sortWithinPartitions("_len", key).drop("_len")
     schema = StructType([*sorted_rows.schema.fields, StructField("hyp_text", StringType())])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        translate, left = None, None
-        for frame in itertools.chain(frames, [None]):
-            if frame is not None:
-                left = frame if left is None else pd.concat([left, frame], ignore_index=True)
-            if left is None or frame is not None and len(left) < batch_size:
-                continue
-            if translate is None:
-                translate = translator()
-            whole = len(left) if frame is None else len(left) - len(left) % batch_size
-            for start in range(0, whole, batch_size):
-                part = left.iloc[start : min(start + batch_size, whole)]
-                there = part[source].notna()
-                out = pd.Series([None] * len(part), index=part.index, dtype=object)
-                if there.any():
-                    out[there] = translate(part.loc[there, source].tolist())
-                yield part.assign(hyp_text=out)
-            left = left.iloc[whole:] if whole < len(left) else None
-
-    return sorted_rows.mapInPandas(run, schema)
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        translate, left, waiting = None, [], 0  # rows of a batch that is not yet full
+
+        def translated(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            nonlocal translate
+            translate = translate or translator()
+            (part,) = pa.Table.from_batches(parts).combine_chunks().to_batches()
+            sources = part.column(source).to_pylist()
+            there = [s for s in sources if s is not None]
+            found = iter(translate(there) if there else [])
+            out = [None if s is None else next(found) for s in sources]
+            return pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], [*part.schema.names, "hyp_text"])
+
+        for frame in frames:
+            at = 0
+            while at < len(frame):
+                part = frame.slice(at, batch_size - waiting)
+                left, waiting, at = [*left, part], waiting + len(part), at + len(part)
+                if waiting == batch_size:
+                    yield translated(left)
+                    left, waiting = [], 0
+        if left:
+            yield translated(left)
+
+    return sorted_rows.mapInArrow(run, schema)
