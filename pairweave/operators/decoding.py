@@ -44,6 +44,8 @@ def beam_decode(
     state, path = rewrite(first, "beams")
     start_path = path
     for step in range(max_length):
+        # Beams meet by item before they get their candidates, which are many times as many and then need no shuffle.
+        state = state.repartition("item_id")
         going = next_tokens(state.filter(~F.col("finished")).drop("finished"))
         emitted = F.slice("tokens", F.lit(2), F.greatest(F.size("tokens") - 1, F.lit(0)))
         going = going.withColumn("logit", repetition_penalty(F.col("logit"), F.col("token"), emitted, penalty))

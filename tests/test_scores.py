@@ -285,3 +285,15 @@ def test_plan_steps_are_dense_and_resumable(spark, sized):
     assert left.filter("epoch = 0").count() == 0 and left.filter("epoch = 1").agg(F.min("position")).first()[0] == 2
     assert resume_plan(plan, 0, shards).agg(F.min("step")).first()[0] == len(steps) // 3
     assert resume_plan(plan, 2, shards).count() == 0
+
+
+def test_candidates_of_a_beam_step_are_not_shuffled(spark, monkeypatch):
+    from pairweave.operators import decoding
+
+    plans, rewrite = [], decoding.rewrite
+    monkeypatch.setattr(decoding, "rewrite", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or rewrite(df, name))
+    table = F.broadcast(spark.createDataFrame([(1, 5, 0.1), (1, 6, 0.2), (5, 6, 0.1), (5, 2, 0.3), (6, 2, 0.5)], "prev int, token int, logit double"))
+    items = spark.range(10).select(F.col("id").alias("item_id"), F.lit(1).alias("start"))
+    found = decoding.beam_decode(items, lambda b: b.join(table, F.element_at("tokens", -1) == F.col("prev")), 3)
+    assert found.count() == 10
+    assert all("Exchange hashpartitioning" not in p[: p.index("BroadcastHashJoin")] for p in plans[1:])
