@@ -215,7 +215,8 @@ def segment_runs(df: DataFrame, text: str, dictionary: DataFrame, out: str, run:
         @F.pandas_udf("array<string>")
         def split_runs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for texts in batches:
-                yield texts.map(lambda of: None if of is None else _cut(of, [] if tree is None else _found(tree.value, of), unknown, states.value))
+                found = _found(None if tree is None else tree.value, texts.tolist())
+                yield pd.Series([None if of is None else _cut(of, own, unknown, states.value) for of, own in zip(texts, found)], dtype=object)
 
         cut = df.withColumn("_runs", split_runs(runs))
         return cut.withColumn(out, _rejoin(F.col(text), F.col("_runs"), run)).drop("_runs")
@@ -249,14 +250,36 @@ def _words_in(texts: DataFrame, tree: Broadcast) -> DataFrame:
     @F.pandas_udf("array<bigint>")
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for lists in batches:
-            yield lists.map(lambda of: [x for triple in _found(tree.value, list(of)) for x in triple])
+            yield pd.Series([np.asarray(own, np.int64).reshape(-1) for own in _found(tree.value, lists.tolist())], dtype=object)
 
     return texts.select("_text", find("_runs").alias("_found"))
 
 
-def _found(tree: Automaton, runs: list[str]) -> list[tuple[int, int, int]]:
-    """Matches in runs set apart by a character that no word holds; places count from the first run on."""
-    return list(zip(*(column.tolist() for column in tree.matches("\n".join(runs)))))
+#: Characters whose matches are found by the same array steps.
+_MATCHED_TOGETHER = 200_000
+
+
+def _found(tree: Automaton | None, rows: list[list[str] | None]) -> Iterator[list[tuple[int, int, int]]]:
+    """For each list of runs its matches; places count from its first run on, and a character that no word holds sets runs apart.
+
+    Many lists are matched at once, as one text: the array steps of a short one cost as much as those of a thousand.
+    """
+    start = 0
+    while start < len(rows):
+        texts, size = [], 0
+        while start + len(texts) < len(rows) and (not texts or size < _MATCHED_TOGETHER):
+            of = rows[start + len(texts)]
+            texts.append("\n".join(of) if of is not None else "")
+            size += len(texts[-1]) + 1
+        start += len(texts)
+        if tree is None:
+            yield from ([] for _ in texts)
+            continue
+        places, lengths, scores = tree.matches("\n".join(texts))
+        firsts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        ends = np.searchsorted(places, firsts)
+        for first, low, high in zip(firsts.tolist(), ends.tolist(), ends[1:].tolist()):
+            yield list(zip((places[low:high] - first).tolist(), lengths[low:high].tolist(), scores[low:high].tolist()))
 
 
 def _cut(runs: list[str], matches: list[tuple[int, int, int]], unknown: int, states: HiddenStates) -> list[str]:
