@@ -331,3 +331,38 @@ def test_spread_moves_only_narrow_scans(spark):
     assert spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == cores
     wide = spark.range(0, 100, 1, cores + 3)
     assert spread(wide) is wide
+
+
+def test_small_shards_are_not_split_between_files(spark, tmp_path):
+    from pairweave.plans.buckets import plan_buckets
+    from pairweave.sources import shards
+
+    pairs = spark.range(6000).select(F.col("id").cast("string").alias("pair_id"), F.lit(5).alias("src_len"), F.lit(7).alias("tgt_len"))
+    plan = plan_buckets(pairs, 2, 1, 100)
+    shards.write_shards(plan.sharded, f"{tmp_path}/s")
+    files = shards.read_shards(spark, f"{tmp_path}/s").select(F.col("_metadata.file_path").alias("f"), "shard_idx").distinct().collect()
+    assert len({r.shard_idx for r in files}) == 60 == len(files)
+
+
+def test_many_files_are_scanned_instead_of_named(spark, tmp_path, monkeypatch):
+    from pairweave.plans.buckets import plan_buckets
+    from pairweave.sources import shards
+
+    pairs = spark.range(600).select(F.col("id").cast("string").alias("pair_id"), F.lit(5).alias("src_len"), F.lit(7).alias("tgt_len"))
+    plan = plan_buckets(pairs, 2, 1, 100)
+    shards.write_shards(plan.sharded, f"{tmp_path}/s")
+    shards.index_shards(spark, f"{tmp_path}/s", f"{tmp_path}/i", 100)
+    wanted = plan.shards.select("src_start", "tgt_start", "shard_idx", F.lit(3).cast("bigint").alias("row"))
+    rows = lambda: sorted((r.shard_idx, r.pair_id) for r in shards.read_rows(spark, f"{tmp_path}/s", f"{tmp_path}/i", wanted, 100).collect())
+    named = rows()
+    monkeypatch.setattr(shards, "NAMED_FILES", 2)
+    assert rows() == named and len(named) == 6
+    assert len(shards.read_rows(spark, f"{tmp_path}/s", f"{tmp_path}/i", wanted, 100).inputFiles()) >= 6
+
+
+def test_a_part_is_one_file(spark, tmp_path):
+    from pairweave.catalog.fixtures import write_file_per_part
+
+    write_file_per_part(spark.range(100, numPartitions=7).select("id", (F.col("id") % 3).alias("part")), f"{tmp_path}/p")
+    back = spark.read.parquet(f"{tmp_path}/p")
+    assert len(back.inputFiles()) == 3 and back.filter("id % 3 = part").count() == 100
