@@ -365,6 +365,34 @@ def _cut(runs: list[str], parts: list[_Part], unknown: int, states: HiddenStates
     return pa.array([joined[i:j] for i, j in zip((starts + before[starts]).tolist(), (starts + sizes + before[starts + sizes]).tolist())], pa.string())
 
 
+#: Characters whose matches are found by the same array steps.
+_MATCHED_TOGETHER = 200_000
+
+
+def _found(tree: Automaton | None, rows: list[list[str] | None]) -> Iterator[list[tuple[int, int, int]]]:
+    """For each list of runs its matches; places count from its first run on, and a character that no word holds sets runs apart.
+
+    Many lists are matched at once, as one text: the array steps of a short one cost as much as those of a thousand. These are
+    Python objects, to look at or to test against; ``_split`` keeps what it finds in arrays.
+    """
+    start = 0
+    while start < len(rows):
+        texts, size = [], 0
+        while start + len(texts) < len(rows) and (not texts or size < _MATCHED_TOGETHER):
+            of = rows[start + len(texts)]
+            texts.append("\n".join(of) if of is not None else "")
+            size += len(texts[-1]) + 1
+        start += len(texts)
+        if tree is None:
+            yield from ([] for _ in texts)
+            continue
+        places, lengths, scores = tree.matches("\n".join(texts))
+        firsts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        ends = np.searchsorted(places, firsts)
+        for first, low, high in zip(firsts.tolist(), ends.tolist(), ends[1:].tolist()):
+            yield list(zip((places[low:high] - first).tolist(), lengths[low:high].tolist(), scores[low:high].tolist()))
+
+
 def _rejoin(text: Column, runs: Column, run: str) -> Column:
     """Put segmented runs back into the text, set off by a space where the text has none; the rest stays as it was."""
     edge = ""
